@@ -148,6 +148,10 @@ def _known(h1: np.ndarray, packed: np.ndarray, bits: int) -> np.ndarray:
     return on
 
 
+def _width(table: list[bytes]) -> str:
+    return "<u2" if len(table) <= 1 << 16 else "<u4"
+
+
 def _plain(raw: np.ndarray) -> str:
     return raw.tobytes().decode("utf-8", "replace")
 
@@ -223,37 +227,42 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, digest: bool =
                 yield pa.RecordBatch.from_arrays([take("doc_id"), take("key"), pa.array(h1[on].view(np.int64)), pa.array(h2[on].view(np.int64)), pa.array(texts, pa.string())], ["doc_id", "key", "h1", "h2", "body"])
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, _ = load(path)
+        encoding, table = load(path)
         for b in batches:
-            got = [encode_text(encoding, x).astype("<u4").tobytes() for x in b.column("body").to_pylist()]
+            got = [encode_text(encoding, x).astype(_width(table)).tobytes() for x in b.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), pa.array(got, pa.binary())], ["h1", "h2", "code"])
 
+    def rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What a text has around its known chunks: one piece more than there are chunks."""
+        for b in batches:
+            data, offs = text_buffer(b.column("text"))
+            out = []
+            for i in range(len(b)):
+                text = data[offs[i] : offs[i + 1]]
+                _, start, end, h1, h2 = chunks(text, np.array([0, len(text)]))
+                on = _known(h1, known.value, bits)
+                edges = zip([0, *end[on].tolist()], [*start[on].tolist(), len(text)], strict=True)
+                out.append(([_plain(text[s:e]) for s, e in edges], h1[on].view(np.int64), h2[on].view(np.int64)))
+            gaps, one, two = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), pa.array(gaps, pa.list_(pa.string())), pa.array(one, pa.list_(pa.int64())), pa.array(two, pa.list_(pa.int64()))], ["doc_id", "key", "gaps", "h1s", "h2s"])
+
     places = waiting.mapInArrow(bodies, "doc_id long, key long, h1 long, h2 long, body string")
     once = places.groupBy("h1", "h2").agg(F.first("body").alias("body")).mapInArrow(code, "h1 long, h2 long, code binary")
     each = places.select("doc_id", "key", "h1", "h2").distinct().join(once, ["h1", "h2"]).groupBy("doc_id", "key").agg(F.collect_list(F.struct("h1", "h2", "code")).alias("codes"))
     each = each.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "codes")
-    whole = waiting.join(each, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left").select("doc_id", "text", "codes")
+    parts = waiting.mapInArrow(rests, "doc_id long, key long, gaps array<string>, h1s array<long>, h2s array<long>")
+    whole = parts.join(each, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left").select("doc_id", "gaps", "h1s", "h2s", "codes")
 
     def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, table = load(path)
         for b in batches:
-            data, offs = text_buffer(b.column("text"))
-            ids = b.column("doc_id").to_pylist()
-            lists = b.column("codes")
-            for i in range(len(b)):
-                have = {(c["h1"], c["h2"]): np.frombuffer(c["code"], "<u4") for c in lists[i].as_py() or ()}
-                text = data[offs[i] : offs[i + 1]]
-                _, start, end, h1, h2 = chunks(text, np.array([0, len(text)]))
-                out, at = [], 0
-                for s, e, x, y in zip(start.tolist(), end.tolist(), h1.view(np.int64).tolist(), h2.view(np.int64).tolist(), strict=True):
-                    if (got := have.get((x, y))) is not None:
-                        if s > at:
-                            out.append(encode_text(encoding, _plain(text[at:s])))
-                        out.append(got)
-                        at = e
-                if at < len(text):
-                    out.append(encode_text(encoding, _plain(text[at:])))
-                yield _out([ids[i]], [np.concatenate(out) if out else np.zeros(0, np.uint32)], table, digest)
+            for r in range(len(b)):
+                doc_id, gaps, h1s, h2s, codes = (b.column(n)[r].as_py() for n in range(5))
+                have = {(c["h1"], c["h2"]): np.frombuffer(c["code"], _width(table)) for c in codes or ()}
+                out = [encode_text(encoding, gaps[0])]
+                for gap, x, y in zip(gaps[1:], h1s, h2s, strict=True):
+                    out += [have[x, y], encode_text(encoding, gap)]
+                yield _out([doc_id], [np.concatenate(out)], table, digest)
 
     return done.unionAll(whole.mapInArrow(repair, DIGESTS if digest else CODES))
 
