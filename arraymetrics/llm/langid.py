@@ -149,6 +149,25 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     return src.mapInArrow(score, "doc_id long, lang_pred string, score double")
 
 
+def keep(docs: DataFrame, model: dict, least: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is not ``und`` and scores ``least`` or more. Null and letterless texts
+    go; without a learned language all go."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, offs = text_buffer(b.column("__am_text"))
+            ok = np.zeros(len(b), bool)
+            for i, j in slices(offs):
+                if shared.value["langs"]:
+                    ok[i:j] = _scores(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], shared.value)[1] >= least
+            good = b.filter(pa.array(ok))
+            yield good.select([n for n in good.schema.names if n != "__am_text"])
+
+    known = docs.where(F.col("text").rlike(r"\p{L}")).withColumn("__am_text", F.lower("text"))
+    return known.mapInArrow(judge, docs.schema)
+
+
 def identify(docs: DataFrame, mod: int = 5, rest: int = 0) -> DataFrame:
     """Learn from the rows outside the held-out fold, then predict every row: doc_id, held_out, lang_pred, score."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")

@@ -27,10 +27,15 @@ ORACLE_SQL = {
         ), f AS (
             SELECT line, min((doc_id, no)) AS place, length(line) AS chars
             FROM l WHERE regexp_matches(line, '\S') GROUP BY line
+        ), long AS (
+            SELECT *, chars // 3 AS third FROM f WHERE chars >= 24
         ), near AS (
-            SELECT DISTINCT b.line
-            FROM f a JOIN f b ON a.place < b.place AND a.chars >= 24 AND b.chars >= 24 AND abs(a.chars - b.chars) <= 2
-            WHERE levenshtein(a.line, b.line) <= 2
+            -- two edits leave one third of a line as it was
+            SELECT DISTINCT CASE WHEN a.place < b.place THEN b.line ELSE a.line END AS line
+            FROM (SELECT *, unnest([0, 1, 2]) + chars AS other FROM long) a JOIN long b ON b.chars = a.other
+            WHERE a.line <> b.line
+              AND (contains(b.line, a.line[1:a.third]) OR contains(b.line, a.line[a.third + 1:2 * a.third]) OR contains(b.line, a.line[2 * a.third + 1:]))
+              AND levenshtein(a.line, b.line) <= 2
         ), gone AS (
             SELECT l.doc_id, l.no FROM l JOIN f USING (line)
             WHERE (l.doc_id, l.no) <> f.place OR l.line IN (SELECT line FROM near)
@@ -62,10 +67,10 @@ ORACLE_SQL = {
     """,
     "op5_top_k_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(CAST(x AS DOUBLE) * 1024)) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id
