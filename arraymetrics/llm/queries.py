@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jaccard, langid, linededup, quality, substring, topk, urlfilter
+from . import bpe, decontaminate, jaccard, langid, linededup, quality, substring, suffixes, topk, urlfilter
 
 QUERIES = {
     f.__name__: f
@@ -15,6 +15,7 @@ QUERIES = {
         quality.op6_quality_classifier,
         urlfilter.op7_url_filters,
         jaccard.op8_ngram_jaccard_join,
+        suffixes.op9_suffix_array_dedup,
         langid.op10_language_id,
     )
 }
