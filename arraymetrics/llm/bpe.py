@@ -75,13 +75,15 @@ def _cuts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     end = np.arange(WINDOW, len(data))
     h = (r.prefix[end] - r.prefix[end - WINDOW]) * r.inverse[end - WINDOW]
     end = end[(mix(h) % np.uint64(CHUNK) == 0) & ((data[WINDOW:] & 0xC0) != 0x80)]
-    end = end[end - WINDOW >= offs[np.searchsorted(offs, end, side="right") - 1]]
-    if len(end) and np.diff(end).min(initial=LEAST) < LEAST:
-        kept, last = [], -LEAST
-        for x in end.tolist():
-            if x - last >= LEAST:
+    row = np.searchsorted(offs, end, side="right") - 1
+    inside = end - WINDOW >= offs[row]
+    end, row = end[inside], row[inside]
+    if len(end) and ((np.diff(end) < LEAST) & (row[1:] == row[:-1])).any():
+        kept, last, of = [], -LEAST, -1
+        for x, r in zip(end.tolist(), row.tolist(), strict=True):
+            if r != of or x - last >= LEAST:
                 kept.append(x)
-                last = x
+                last, of = x, r
         end = np.array(kept, np.int64)
     return end
 

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 2_000_000
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _MASK = (1 << 64) - 1
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _TABLE_SEEDS = (11, 23)
@@ -39,7 +41,12 @@ def stored(df: DataFrame) -> DataFrame:
     executors cost nothing but a reread."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/am-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")  # the shuffles behind the table are not needed once it stands
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
