@@ -50,7 +50,8 @@ def file_fields(path: Column) -> Column:
     pattern = r"PerfData_(.+?)_SN_([0-9A-Z]+)_SP(\d+)_\d+_(\d{14})"
     part = lambda i: F.regexp_extract(name, pattern, i)
     stamp = F.to_timestamp(F.nullif(part(4), F.lit("")), "yyyyMMddHHmmss")
-    return F.struct(part(1).alias("model"), F.regexp_extract(name, r"_SN_([0-9A-Z]+)_SP\d+", 1).alias("sn"), F.nullif(part(3), F.lit("")).cast("int").alias("sp"), stamp.alias("dumped"))
+    sn = F.regexp_extract(name, r"_SN_([0-9A-Z]+)_SP\d+", 1)
+    return F.named_struct(F.lit("model"), part(1), F.lit("sn"), sn, F.lit("sp"), F.nullif(part(3), F.lit("")).cast("int"), F.lit("dumped"), stamp)
 
 
 def sn_of(member: Column, archive: Column) -> Column:

@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def coverage(expected: DataFrame, available: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def with_original(cov: DataFrame, metrics: DataFrame) -> DataFrame:
     return cov.join(names, "metric", "left").withColumn("in_dictionary", F.col("display_name").isNotNull())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
