@@ -49,7 +49,7 @@ class _Text:
 
     def __init__(self, text: np.ndarray):
         self.n = len(text)
-        self.r, self.r2 = Rolling(byte_values(text)), Rolling(byte_values(text, 1), 1)
+        self.text, self.r = text, Rolling(byte_values(text))
         self.z, _ = _samples(text, np.array([0, self.n]), self.r)
         self.starts = max(0, self.n - THRESHOLD + 1)  # strings start before this
         self.low = np.concatenate([[0], self.z[:-1] + 1]) if len(self.z) else self.z
@@ -77,13 +77,17 @@ class _Text:
         a, b = self.z[j] + FIRST, np.minimum(self.z[j] + SECOND, self.n)
         return mix(self.r.windows(self.z[j], a) * np.uint64(3) + self.r.windows(a, b))
 
-    def singles(self, gaps: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Strings to compare one by one: one place and the two hashes of each different one, and all places with the number of theirs."""
+    def singles(self, gaps: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Strings to compare one by one: one place and the hash of each different one, and all places with the number of theirs."""
         at = [self.lonely()] + [self.in_gap(g["j"], g["second"]) for g in gaps if g["single"]]
         at = np.unique(np.concatenate(at).astype(np.int64))
         h = self.r.windows(at, at + THRESHOLD)
         _, first, which = np.unique(h, return_index=True, return_inverse=True)
-        return at[first], h[first], self.r2.windows(at[first], at[first] + THRESHOLD), np.stack([at, which])
+        return at[first], h[first], np.stack([at, which])
+
+    def second_hash(self, at: np.ndarray) -> np.ndarray:
+        """32 more bits of the strings' hashes."""
+        return (Rolling(byte_values(self.text, 1), 1).windows(at, at + THRESHOLD) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _positions(tk: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -176,15 +180,16 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
         """Further ranks of the samples that the first left."""
         for b in batches:
             data, offs = text_buffer(b.column("text"))
-            tk = b.column("tk").to_numpy()
+            tk, ids, cols = b.column("tk").to_numpy(), b.column("doc_id"), []
             for i in range(len(b)):
                 j = np.sort(b.column("alive")[i].values.to_numpy().astype(np.int64))
-                if not len(j):
-                    continue
-                t = _Text(data[offs[i] : offs[i + 1]])
-                r1 = t.r.windows(t.z[j], t.z[j] + FIRST)
-                cols = [np.full(len(j), tk[i]), j.astype(np.int32), _positions(np.full(len(j), tk[i]), j), r1.view(np.int64), t.second_names(j).view(np.int64), t.last_names(j).view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array([b.column("doc_id")[i].as_py()] * len(j), pa.int64()), *map(pa.array, cols)], ["doc_id", "tk", "j", "place", "r1", "r2", "r3"])
+                if len(j):
+                    t, own = _Text(data[offs[i] : offs[i + 1]]), np.full(len(j), tk[i])
+                    r1 = t.r.windows(t.z[j], t.z[j] + FIRST)
+                    cols.append((np.full(len(j), i), own, j.astype(np.int32), _positions(own, j), r1.view(np.int64), t.second_names(j).view(np.int64), t.last_names(j).view(np.int64)))
+            if cols:
+                row, *rest = (np.concatenate(c) for c in zip(*cols, strict=True))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), *map(pa.array, rest)], ["doc_id", "tk", "j", "place", "r1", "r2", "r3"])
 
     ranks = stored(open_.mapInArrow(reranked, "doc_id long, tk long, j int, place long, r1 long, r2 long, r3 long"))
     two, three = again(ranks.select("r2", "place"), "r2").select("r2", F.lit(True).alias("second")), again(ranks.select("r3", "place"), "r3")
@@ -193,20 +198,28 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     # a stretch that repeats as a whole is settled; the first of its kind still speaks for it where others have an edge
     gaps = judged.join(edges, "r1", "left").select("doc_id", "tk", F.struct("j", "second", "whole", (F.col("speaks") & F.col("edge").isNotNull()).alias("single")).alias("g")).where("g.whole OR g.single")
     gaps = renamed(gaps.groupBy("doc_id", "tk").agg(F.array_sort(F.collect_set("g")).alias("gaps")))
-    ready = open_.join(gaps, key(open_, gaps), "left").select("doc_id", "tk", "text", "copy", "gaps")
+    ready = stored(open_.join(gaps, key(open_, gaps), "left").select("doc_id", "tk", "text", "copy", "gaps"))
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = text_buffer(b.column("text"))
+            tk, cols = b.column("tk").to_numpy(), []
             for i in range(len(b)):
-                at, h1, h2, _ = _Text(data[offs[i] : offs[i + 1]]).singles(b.column("gaps")[i].as_py() or [])
-                same = [pa.array([b.column(c)[i].as_py()] * len(at), pa.int64()) for c in ("doc_id", "tk")]
-                yield pa.RecordBatch.from_arrays([*same, pa.array(at.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], ["doc_id", "tk", "pos", "w1", "w2"])
-
-    single = ready.mapInArrow(strings, "doc_id long, tk long, pos int, w1 long, w2 long")
+                t = _Text(data[offs[i] : offs[i + 1]])
+                at, h, _ = t.singles(b.column("gaps")[i].as_py() or [])
+                if len(at):
+                    cols.append((np.full(len(at), tk[i]), at.astype(np.int32), h.view(np.int64), t.second_hash(at)))
+                if cols and (sum(len(c[0]) for c in cols) > 100_000 or i + 1 == len(b)):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*cols, strict=True)], ["tk", "pos", "w1", "w2"])
+                    cols = []
+            if cols:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*cols, strict=True)], ["tk", "pos", "w1", "w2"])
+
+    # equal texts stand here once, so the text's hash names the place
+    single = ready.mapInArrow(strings, "tk long, pos int, w1 long, w2 int")
     both = single.groupBy("w1", "w2").agg(F.min("tk").alias("lo"), F.max("tk").alias("hi")).where("lo < hi").select("w1", "w2")
-    hits = renamed(single.join(both, ["w1", "w2"]).groupBy("doc_id", "tk").agg(F.collect_set("pos").alias("hits")))
-    last = ready.where("NOT copy").join(hits, key(ready, hits), "left").select("doc_id", "text", "gaps", "hits")
+    hits = single.join(both, ["w1", "w2"]).groupBy(F.col("tk").alias("_t")).agg(F.collect_set("pos").alias("hits"))
+    last = ready.where("NOT copy").join(hits, F.col("tk") == F.col("_t"), "left").select("doc_id", "text", "gaps", "hits")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -215,7 +228,7 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
             for i in range(len(b)):
                 text = data[offs[i] : offs[i + 1]]
                 t, gaps_ = _Text(text), b.column("gaps")[i].as_py() or []
-                at, _, _, (places, which) = t.singles(gaps_)
+                at, _, (places, which) = t.singles(gaps_)
                 hit = np.isin(at, np.array(b.column("hits")[i].as_py() or [], np.int64)) | (np.bincount(which, minlength=len(at)) > 1)
                 whole = [g["j"] for g in gaps_ if g["whole"]]
                 start = places[hit[which]]
