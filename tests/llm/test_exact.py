@@ -162,3 +162,23 @@ def test_top_k(spark, size):
             best = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in q.items() if j != i)[:5]
             want |= {(i, n, j, -s) for n, (s, j) in enumerate(best, 1)}
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_lines_of_one_template(spark):
+    """Many variants share segments; all near ones are found among them."""
+    import random
+
+    rng = random.Random(9)
+    base = "seven quiet harbour lights under the copper stone walking"
+    docs = []
+    for i in range(60):
+        x = list(base)
+        for _ in range(rng.choice([1, 1, 2, 6])):
+            x[rng.randrange(18)] = rng.choice("abcdefgh")
+        docs.append((i, "".join(x)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    lines = df.select("doc_id", "text")
+    pairs = lines.alias("x").join(lines.alias("y"), F.expr("x.doc_id < y.doc_id AND levenshtein(x.text, y.text) <= 2")).select(F.col("y.doc_id")).distinct()
+    want = {r[0] for r in pairs.collect()}
+    assert 10 < len(want) < 60
+    assert {r.doc_id for r in linededup.decisions(df).collect() if r.n_removed} == want
