@@ -26,8 +26,8 @@ def test_sanitise(spark, name, want):
 
 
 def test_file_fields_labels_and_slots(spark):
-    x = _one(spark, names.file_fields(F.lit("/a/PerfData_OceanStorDorado6000V6_SN_2102355THQFSQ2100014_SP0_0_20251020000400.tgz")))
-    assert (x.model, x.sn, x.sp, x.dumped) == ("OceanStorDorado6000V6", "2102355THQFSQ2100014", 0, dt.datetime(2025, 10, 20, 0, 4))
+    x = _one(spark, names.file_fields(F.lit("/a/PerfData_Model6000_SN_2102355THQFSQ2100014_SP0_0_20251020000400.tgz")))
+    assert (x.model, x.sn, x.sp, x.dumped) == ("Model6000", "2102355THQFSQ2100014", 0, dt.datetime(2025, 10, 20, 0, 4))
     assert [_one(spark, names.interval_label(F.lit(s))) for s in (5, 60, 300, 5400)] == ["5s", "1m", "5m", "1h"]
     assert _one(spark, names.conversion(F.lit(1 / 1024))) == "×1024"
     assert names.header_text("[0K,4K) [128K,+∞)") == "[0K_4K) [128K_+8)"
