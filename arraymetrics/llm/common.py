@@ -50,6 +50,19 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """As ``stored``, in as many buckets of ``key`` as there are shuffle partitions: joins on the key don't move the table again."""
+    spark = df.sparkSession
+    name = f"am_{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.bucketBy(partitions(spark), key).sortBy(key).option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.table(name)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable ``checkpoint()`` in the shared folder, for small tables in loops."""
     sc = df.sparkSession.sparkContext

@@ -10,53 +10,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bucketed, stored
+
 MAX_EDITS = 2
-#: Shorter lines are compared for equality only: a few edits would make them anything.
+#: Shorter lines are compared for equality only: a few edits would make them anything. No less than (MAX_EDITS + 1) * MAX_EDITS.
 MIN_CHARS = 24
+#: Lines with one segment in common beyond which they meet under a bound only, and the buckets of that bound.
+CROWD, BUCKETS = 8, 256
 _LAST = (1 << 63) - 1
 
 
-def _segment(length: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment ``i`` of a line of ``length``: even parts, the longer ones last."""
-    parts = edits + 1
-    size, longer = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    short = F.lit(parts) - longer
-    start = size * i + F.greatest(F.lit(i) - short, F.lit(0))
-    return start, size + (F.lit(i) >= short).cast("int")
+def _hash(line: Column, n: Column, edits: int, i: Column, shift: Column) -> Column:
+    """Hash of segment ``i`` of a line of ``n`` characters, read ``shift`` characters later in ``line``. Segments are even parts."""
+    cut = lambda k: F.floor(k * n / (edits + 1)).cast("int")
+    return F.xxhash64(F.substr(line, cut(i) + shift + 1, cut(i + 1) - cut(i)), n, i)
 
 
 def _index(line: Column, n: Column, edits: int) -> Column:
     """Hashes under which a line can be found."""
-    out = []
-    for i in range(edits + 1):
-        start, size = _segment(n, i, edits)
-        out.append(F.xxhash64(F.substr(line, start + 1, size), n, F.lit(i)))
-    return F.array(*out)
+    return F.transform(F.array(*(F.lit(i) for i in range(edits + 1))), lambda i: _hash(line, n, edits, i, F.lit(0)))
 
 
 def _probes(line: Column, n: Column, edits: int) -> Column:
     """Hashes under which a line finds lines that are ``gap`` characters shorter, for every gap up to ``edits``. Of a segment's
     possible places only those are taken that leave enough edits for both sides (the multi-match-aware choice)."""
-    out = []
-    for gap in range(edits + 1):
-        other = n - gap
-        for i in range(edits + 1):
-            start, size = _segment(other, i, edits)
-            low = max(-i, gap - (edits - i))
-            high = min(i, gap + (edits - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                out.append(F.when((at >= 0) & (at + size <= n), F.xxhash64(F.substr(line, at + 1, size), other, F.lit(i))))
-    return F.array_compact(F.array(*out))
-
-
-def edit_distance(p: Column, t: Column, edits: int = MAX_EDITS) -> Column:
-    """Edits between two strings if they are ``edits`` at most, else a greater number; for arrays of characters whose lengths differ
-    by no more than that.
+    places = [
+        F.struct(F.lit(gap).alias("gap"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+        for gap in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1)
+    ]
+    return F.transform(F.array(*places), lambda p: _hash(line, n - p["gap"], edits, p["i"], p["shift"]))
+
+
+def edit_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
+    """Edits between two strings if they are ``edits`` at most, else a greater number; for strings whose lengths differ by no more than
+    that.
 
     Column j of the matrix is held as bits for the rows j - edits to j + edits: where the value goes up (vp) and down (vn)
     from the row before. Rows outside count as one more than their neighbour, which no cheap path needs.
     """
+    # one-element arrays bind a value to a name, so that it is worked out once: here the characters, above the match mask
+    def distance(x: Column) -> Column:
+        return _walk(x["p"], x["t"], edits)
+
+    chars = lambda c: F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, ""))
+    return F.get(F.transform(F.array(F.struct(chars(a).alias("p"), chars(b).alias("t"))), distance), F.lit(0))
+
+
+def _walk(p: Column, t: Column, edits: int) -> Column:
     width = 2 * edits + 1
     every = (1 << width) - 1
     long = lambda x: F.lit(x).cast("long")
@@ -83,7 +85,6 @@ def edit_distance(p: Column, t: Column, edits: int = MAX_EDITS) -> Column:
                 (s["d"] + F.when((j + diagonal >= 1) & ~same, 1).otherwise(0)).alias("d"),
             )
 
-        # a one-element array binds the match mask to a name, so that it is worked out once
         return F.when(s["d"] > edits, s).otherwise(F.get(F.transform(F.array(match), advance), F.lit(0)))
 
     start = F.struct(long(every & ~((1 << (edits + 1)) - 1)).alias("vp"), long(0).alias("vn"), F.abs(diagonal).alias("d"))
@@ -99,25 +100,56 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row for each distinct line: key, first place (struct of place and number), n, and the text if long enough to be
-    compared by edits. Lines whose keys collide are left out, and so are never removed."""
+    """One row for each distinct line: key, first place (struct of place and number), n, and the text and its length if long enough
+    to be compared by edits. Lines whose keys collide are left out, and so are never removed. Written in buckets of ``key``, so
+    that lines are looked up without shuffling their texts again."""
     text = F.when(F.length("line") >= min_chars, F.col("line"))
     grouped = _lines(docs).groupBy("key").agg(F.min("other").alias("_a"), F.max("other").alias("_b"), F.min(F.struct("place", "no")).alias("first"), F.count("*").alias("n"), F.first(text, ignorenulls=True).alias("line"))
-    return grouped.where("_a = _b").select("key", "first", "n", "line")
+    return bucketed(grouped.where("_a = _b").select("key", "first", "n", "line", F.length("line").alias("chars")), "key")
+
+
+def _odd(line: Column) -> Column:
+    """Which of BUCKETS hold an odd number of the line's character pairs, as an array of 64-bit masks."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length(line) - 1), lambda i: F.pmod(F.hash(F.substr(line, i, F.lit(2))), F.lit(BUCKETS)))
+
+    def masks(p: Column) -> Column:
+        flip = lambda k: lambda s, x: F.when(F.floor(x / 64) == k, s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x % 64))).otherwise(s)
+        return F.array(*(F.aggregate(p, F.lit(0).cast("long"), flip(k)) for k in range(BUCKETS // 64)))
+
+    return F.get(F.transform(F.array(pairs), masks), F.lit(0))
+
+
+def _close(a: Column, b: Column, edits: int) -> Column:
+    """True for all lines within ``edits`` edits: an edit takes away two character pairs at most and adds two."""
+    out = F.lit(0)
+    for k in range(BUCKETS // 64):
+        out = out + F.bit_count(F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k))))
+    return out <= 4 * edits
 
 
 def near_lines(table: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
     """Keys of the lines that lie within ``edits`` edits of another line whose first place comes earlier.
 
-    Only this existence is asked for, so of the lines that share a segment's hash each meets those with an earlier place."""
-    long = table.where("line IS NOT NULL").select("key", "line", F.length("line").alias("chars"))
-    index = long.select(F.col("key").alias("short"), F.explode(_index(F.col("line"), F.col("chars"), edits)).alias("part"))
-    probes = long.select(F.col("key").alias("long"), F.explode(F.array_distinct(_probes(F.col("line"), F.col("chars"), edits))).alias("part"))
-    pairs = probes.join(index, "part").where("long <> short").select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct()
-    text = table.where("line IS NOT NULL").select("key", "first", "line")
-    a, b = text.select(F.col("key").alias("a"), F.col("first").alias("fa"), F.col("line").alias("la")), text.select(F.col("key").alias("b"), F.col("first").alias("fb"), F.col("line").alias("lb"))
-    both = pairs.join(a, "a").join(b, "b").select("a", "b", "fa", "fb", F.split("la", "").alias("pa"), F.split("lb", "").alias("pb"))
-    near = both.where(edit_distance(F.col("pa"), F.col("pb"), edits) <= edits)
+    A segment that more than CROWD lines share (the variants of one template, say) would pair all of them. Of such segments the probes
+    only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds.
+    """
+    long = table.where("line IS NOT NULL")
+    index = stored(long.select(F.col("key").alias("short"), F.explode(_index(F.col("line"), F.col("chars"), edits)).alias("part")))
+    crowds = stored(index.groupBy("part").count().where(F.col("count") > CROWD).select("part"))
+    probes = long.select(F.col("key").alias("long"), F.explode(_probes(F.col("line"), F.col("chars"), edits)).alias("part"))
+    single = index.join(crowds, "part", "left_anti").select("part", "short").unionAll(crowds.select("part", F.lit(None).cast("long")))
+    met = stored(probes.join(single, "part").where("short IS NULL OR long <> short").select("long", "part", "short"))
+
+    crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), "line"), key).select(key, "parts", _odd(F.col("line")).alias("bag"))).select(key, "bag", F.explode("parts").alias("part"))
+    a = crowded(met.where("short IS NULL").select("long", "part"), "long")
+    b = crowded(index.join(crowds, "part", "left_semi"), "short").withColumnRenamed("bag", "other")
+    inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & _close(F.col("bag"), F.col("other"), edits))
+    pairs = met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
+    pairs = stored(pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct())
+
+    text = lambda k: long.select(F.col("key").alias(k), F.col("first").alias(f"f{k}"), F.col("line").alias(f"l{k}"))
+    both = stored(pairs.join(text("a"), "a")).join(text("b"), "b")
+    near = both.where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits)
     return near.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
 
 
