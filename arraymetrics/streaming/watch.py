@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..sources.archive import decode, ingest, quarantine
 
@@ -46,6 +46,29 @@ def counters(points: DataFrame, lost: DataFrame) -> DataFrame:
     return done.withColumn("_", F.lit(1)).join(lost.agg(F.count("*").alias("failed")).withColumn("_", F.lit(1)), "_").drop("_")
 
 
+def observed(points: DataFrame, name: str = "points") -> DataFrame:
+    """I8: the same rows; their number and span come with each batch's progress, at no extra pass."""
+    return points.observe(name, F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+
+
+class Progress(StreamingQueryListener):
+    """I8: running totals of the observed points of all queries of a session."""
+
+    def __init__(self, name: str = "points"):
+        self.name, self.batches, self.points = name, 0, 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(self.name)
+        self.batches += 1
+        self.points += row.n if row is not None else 0
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def retry_quarantine(spark: SparkSession, lost: DataFrame, most: int = 3) -> tuple[DataFrame, DataFrame]:
     """I4: files of the quarantine read again: their blocks, and those that still fail with the attempt counted. Files tried ``most`` times
     are given up."""

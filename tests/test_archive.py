@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import numpy as np
 from encoder import block, dump, tgz, zipped
@@ -110,11 +111,19 @@ def test_rollup_stream(spark, tmp_path):
     rows = [("S", "R", "E", "m", dt.datetime(2024, 1, 1, 0, k), float(k)) for k in range(12)]
     df = spark.createDataFrame(rows, "sn string, resource string, element string, metric string, ts timestamp, value double")
     df.write.parquet(str(tmp_path / "p"))
-    stream = watch.rollup(spark.readStream.schema(df.schema).parquet(str(tmp_path / "p")))
+    seen = watch.Progress()
+    spark.streams.addListener(seen)
+    stream = watch.rollup(watch.observed(spark.readStream.schema(df.schema).parquet(str(tmp_path / "p"))))
     q = stream.writeStream.outputMode("complete").format("memory").queryName("rolled").trigger(availableNow=True).start()
     q.awaitTermination(120)
     got = sorted(map(tuple, spark.sql("select * from rolled").collect()))
     assert got == sorted(map(tuple, watch.rollup(df).collect())) and len(got) == 3
+    for _ in range(50):
+        if seen.points:
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(seen)
+    assert seen.points == 12
 
 
 def test_dedupe_and_skip(spark):
