@@ -227,7 +227,3 @@ def covered(n: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     np.add.at(d, start, 1)
     np.add.at(d, end, -1)
     return np.cumsum(d[:-1]) > 0
-
-
-def binary_array(parts: list[bytes]) -> pa.Array:
-    return pa.array(parts, pa.binary())

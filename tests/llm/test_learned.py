@@ -43,10 +43,6 @@ def test_decontamination(spark):
     assert decontaminate.overlaps(df, bench.where("false")).count() == 0 and decontaminate.overlaps(df.where("false"), bench).count() == 0
 
 
-def _fold(n):
-    return [i for i in range(n)]
-
-
 def test_language_id(spark):
     rng = random.Random(5)
     words = {"xx": ["aba", "abba", "baab", "aab"], "yy": ["cdc", "dccd", "ddc", "cdd"]}
