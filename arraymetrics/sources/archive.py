@@ -21,13 +21,13 @@ FILES = "path string, member string, content binary"
 SERIES_BLOCKS = "path string, member string, sn string, block int, start long, step int, resource_id string, element string, metric_id string, data array<int>, reason string, detail string"
 
 
-def scan_tgz(spark: SparkSession, folder: str, prefix: str | None = None) -> DataFrame:
+def scan_tgz(spark: SparkSession, folder: str | list[str], prefix: str | None = None) -> DataFrame:
     """Every .tgz below a folder, by name prefix if given: path, member (null), content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"{prefix or ''}*.tgz").load(folder)
     return files.select("path", F.lit(None).cast("string").alias("member"), "content")
 
 
-def scan_zip_members(spark: SparkSession, folder: str) -> DataFrame:
+def scan_zip_members(spark: SparkSession, folder: str | list[str]) -> DataFrame:
     """A2: the .tgz members of every .zip below a folder, one row each: path, member, content. Members are dealt anew, since few
     archives hold many."""
 

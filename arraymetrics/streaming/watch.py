@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..sources.archive import decode, ingest, quarantine
+from ..sources.archive import FILES, decode, ingest, quarantine, scan_tgz, scan_zip_members
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -69,16 +71,32 @@ class Progress(StreamingQueryListener):
         pass
 
 
-def retry_quarantine(spark: SparkSession, lost: DataFrame, most: int = 3) -> tuple[DataFrame, DataFrame]:
-    """I4: files of the quarantine read again: their blocks, and those that still fail with the attempt counted. Files tried ``most`` times
-    are given up."""
-    again = lost.where(F.col("attempt") < most).select("path", "attempt").distinct()
-    paths = [r.path for r in again.select("path").limit(10_000).collect()]
-    if not paths:
-        return decode(spark.createDataFrame([], "path string, member string, content binary")), lost.where(F.lit(False))
-    blocks = decode(spark.read.format("binaryFile").load(paths).select("path", F.lit(None).cast("string").alias("member"), "content"))
-    failed = quarantine(blocks).drop("attempt").join(again, "path").withColumn("attempt", F.col("attempt") + 1)
-    return blocks.where("reason IS NULL"), failed.select("path", "member", "reason", "detail", "attempt")
+def _folders(spark: SparkSession, paths: DataFrame) -> list[str]:
+    """The folders that hold ``paths`` and still exist, without those below another one."""
+    found: list[str] = []
+    for folder in sorted(r[0] for r in paths.select(F.regexp_extract("path", "^(.*)/[^/]*$", 1)).distinct().collect()):
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder or "/")
+        if not any(folder.startswith(f"{f}/") for f in found) and at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            found.append(folder)
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", f) or "/" for f in found]
+
+
+def retry_quarantine(spark: SparkSession, lost: DataFrame, most: int = 3, folders: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """I4: files and zip members of the quarantine read again: their blocks, and the quarantine that is left. In it stand those that still
+    fail, with the attempt counted, and unchanged those given up (tried ``most`` times) and those no longer found. A zip that
+    couldn't be opened is read again with all its members. ``folders`` are scanned; None: those that hold the files."""
+    again = lost.groupBy("path", "member").agg(F.max("attempt").alias("attempt")).where(F.col("attempt") < most)
+    again = again.select(F.col("path").alias("_path"), F.col("member").alias("_member"), F.col("attempt").alias("_attempt"))
+    folders = _folders(spark, again.select(F.col("_path").alias("path"))) if folders is None else folders
+    if not folders:
+        return decode(spark.createDataFrame([], FILES)), lost.select("path", "member", "reason", "detail", "attempt")
+    meant = (F.col("path") == F.col("_path")) & (F.col("member").eqNullSafe(F.col("_member")) | (F.col("_member").isNull() & F.col("_path").endswith(".zip")))
+    files = scan_tgz(spark, folders).unionAll(scan_zip_members(spark, folders)).join(again, meant, "left_semi")
+    blocks = decode(files)
+    failed = quarantine(blocks).drop("attempt").join(again, meant).groupBy("path", "member", "reason", "detail").agg((F.max("_attempt") + 1).alias("attempt"))
+    read = again.join(files.select("path", "member"), meant, "left_semi").drop("_attempt")
+    rest = lost.join(read, (F.col("path") == F.col("_path")) & F.col("member").eqNullSafe(F.col("_member")), "left_anti")
+    return blocks.where("reason IS NULL"), failed.unionByName(rest.select(*failed.columns))
 
 
 def rollup(points: DataFrame, late: str = "1 hour", width: str = "5 minutes") -> DataFrame:
