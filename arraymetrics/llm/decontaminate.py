@@ -16,7 +16,7 @@ from .common import Words, mix, slices, text_buffer
 MASKS = ("1101010011", "11001111")
 #: An overlap is a run of WINDOW words (all of a shorter item), of which SHARE at least agree in place.
 WINDOW, SHARE = 13, 0.8
-#: Items with fewer words say nothing about a leak and are left out.
+#: Items with fewer words are left out unless the caller asks for them.
 LEAST = 6
 #: The benchmark goes to the tasks in blocks of about so many bytes, one pass over the documents for each.
 BLOCK_BYTES = 16_000_000
@@ -33,10 +33,16 @@ def _seeds(h: np.ndarray, left: np.ndarray, span: int, places: list[int]) -> tup
     return at, mix(x)
 
 
+def split_masks(n: int) -> list[list[int]]:
+    """Places of the seeds for items of ``n`` words, fewer than WINDOW: one more disjoint part than words may differ, so that one part fits."""
+    bear = max(k for k in range(n) if n - k >= SHARE * n)
+    return [list(range(k, n, bear + 1)) for k in range(bear + 1)]
+
+
 class _Index:
     """One block of the benchmark: its words, and the sorted seed hashes of each mask."""
 
-    def __init__(self, rows: list):
+    def __init__(self, rows: list, least: int = LEAST):
         self.ids = np.array([r.item_id for r in rows], np.int64)
         data, offs = text_buffer(pa.array([r.text for r in rows], pa.string()))
         w = Words(data, offs, "alnum")
@@ -47,13 +53,13 @@ class _Index:
         for mask in MASKS:
             places = [i for i, c in enumerate(mask) if c == "1"]
             at, x = _seeds(self.hash, self.left, len(mask), places)
-            self._add(len(mask), places, at[size[at] >= LEAST], x[size[at] >= LEAST])
-        longest = max(len(m) for m in MASKS)
-        for n in range(LEAST, longest):  # items too short for a mask's span are looked up whole
-            at, x = _seeds(self.hash, self.left, n, list(range(n)))
-            whole = size[at] == n
-            if whole.any():
-                self._add(n, list(range(n)), at[whole], x[whole])
+            long = size[at] >= WINDOW
+            self._add(len(mask), places, at[long], x[long])
+        for n in range(max(1, least), WINDOW):
+            for places in split_masks(n) if (size == n).any() else ():
+                at, x = _seeds(self.hash, self.left, n, places)
+                whole = size[at] == n
+                self._add(n, places, at[whole], x[whole])
 
     def _add(self, span: int, places: list[int], at: np.ndarray, x: np.ndarray) -> None:
         order = np.argsort(x, kind="stable")
@@ -99,11 +105,11 @@ def _overlaps(w: Words, left: np.ndarray, index: _Index) -> tuple[np.ndarray, ..
     return tuple(np.concatenate(out, axis=1)) if out else tuple(np.zeros((5, 0), np.int64))
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
     """One row for each document and benchmark item that overlap: doc_id, item_id, first_word, last_word (numbers of
     words in the document, from 0), agreeing (most words that agree within one window).
 
-    Words are runs of letters and digits, case folded. Null texts, and items of fewer than LEAST words, overlap nothing;
+    Words are runs of letters and digits, case folded. Null texts, and items of fewer than ``least`` words, overlap nothing;
     repeated rows, documents or items, give equal rows once for each item. The benchmark is sent in blocks of about BLOCK_BYTES, so it may be of
     any size; documents are never shuffled by seed, so a passage that a third of them holds costs its checks only.
     """
@@ -115,7 +121,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     schema = "doc_id long, item_id long, first_word long, last_word long, agreeing int"
     found = spark.createDataFrame([], schema)
     for k in range(blocks):
-        shared = spark.sparkContext.broadcast(_Index(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()))
+        shared = spark.sparkContext.broadcast(_Index(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect(), least))
 
         def check(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
@@ -144,12 +150,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return found
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, with all their columns. Rows with a null id or text stay."""
-    leaks = overlaps(docs, benchmark).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__am_leak")).distinct()
+    leaks = overlaps(docs, benchmark, least).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__am_leak")).distinct()
     return docs.join(leaks, docs["doc_id"] == leaks["__am_leak"], "left_anti")
 
 
 def op2_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     """Every document that holds a passage of the benchmark, with the item and the place."""
-    return overlaps(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return overlaps(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least=1)
