@@ -3,6 +3,11 @@
 A line is cut into MAX_EDITS + 1 segments. Two lines within MAX_EDITS edits share one segment of the shorter line unchanged, at a
 place in the longer one that the lengths narrow to a few; so lines are joined on hashes of (length, segment number, segment), and the
 pairs found are verified with a bit-parallel edit distance over the 2 * MAX_EDITS + 1 diagonals that matter.
+
+With ``edits`` None the bound grows with the line (``allowed``). Lines of one bound t form a band and are cut alike, into t + 1 segments as
+long as the band's shortest line has room for, the first half counted from the line's start and the rest from its end. One
+segment is unchanged with as many edits before it as its number says and no more than t less that behind it, so it is probed within that
+many places: about t * t / 2 probes, an eighth of the line's length.
 """
 
 from __future__ import annotations
@@ -15,6 +20,10 @@ from .common import bucketed, stored
 MAX_EDITS = 2
 #: Shorter lines are compared for equality only: a few edits would make them anything. No less than (MAX_EDITS + 1) * MAX_EDITS.
 MIN_CHARS = 24
+#: The shortest line that ``allowed`` gives an edit.
+LEAST_CHARS = 12
+#: Rounds in which the segments of growing bounds are probed, each a part of their numbers, so that a part of the probes is on disk at once.
+PASSES = 4
 #: Lines with one segment in common beyond which they meet under a bound only, and the buckets of that bound.
 CROWD, BUCKETS = 8, 256
 _LAST = (1 << 63) - 1
@@ -43,6 +52,50 @@ def _probes(line: Column, n: Column, edits: int) -> Column:
     return F.transform(F.array(*places), lambda p: _hash(line, n - p["gap"], edits, p["i"], p["shift"]))
 
 
+def allowed(n: Column) -> Column:
+    """Edits between a line of ``n`` characters and a longer one that leave them near: one in 12 characters below 36, from there half the
+    root of the length (5 at 100, 10 at 400)."""
+    return F.when(n < 36, F.floor(n / LEAST_CHARS)).otherwise(F.floor(F.sqrt(n) / 2)).cast("int")
+
+
+def _shortest(t: Column) -> Column:
+    """Characters of the shortest line with ``t`` allowed edits."""
+    return F.when(t < 3, t * LEAST_CHARS).otherwise(4 * t * t)
+
+
+def _cut(line: Column, n: Column, t: Column, i: Column, shift: Column) -> Column:
+    """Hash of segment ``i`` of the band ``t``, read ``shift`` characters later in ``line``."""
+    size = F.floor(_shortest(t) / (t + 1)).cast("int")
+    at = F.when(2 * i <= t, i * size).otherwise(n - (t + 1 - i) * size)
+    return F.xxhash64(F.substr(line, (at + shift + 1).cast("int"), size), t, i)
+
+
+def _numbers(t: Column, turn: int) -> Column:
+    """The segments of the band ``t`` that are probed in round ``turn``."""
+    return F.filter(F.sequence(F.lit(0), t), lambda i: i % PASSES == turn)
+
+
+def _band_index(line: Column, n: Column, turn: int) -> Column:
+    """As ``_index``, for the line's own bound."""
+    return F.transform(_numbers(allowed(n), turn), lambda i: _cut(line, n, allowed(n), i, F.lit(0)))
+
+
+def _band_probes(line: Column, n: Column, turn: int) -> Column:
+    """Hashes under which a line finds lines no longer than itself: of its own band, and of the one before if its longest lines can
+    grow to this one."""
+
+    def places(t: Column) -> Column:
+        def around(i: Column) -> Column:
+            most = F.when(2 * i <= t, i).otherwise(t - i)
+            return F.transform(F.sequence(-most, most), lambda shift: _cut(line, n, t, i, shift))
+
+        return F.flatten(F.transform(_numbers(t, turn), around))
+
+    t = allowed(n)
+    bands = F.filter(F.array(t, t - 1), lambda x: (x == t) | ((x > 0) & (n < _shortest(t) + x)))
+    return F.array_distinct(F.flatten(F.transform(bands, places)))
+
+
 def edit_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
     """Edits between two strings if they are ``edits`` at most, else a greater number; for strings whose lengths differ by no more than
     that.
@@ -119,7 +172,7 @@ def _odd(line: Column) -> Column:
     return F.get(F.transform(F.array(pairs), masks), F.lit(0))
 
 
-def _close(a: Column, b: Column, edits: int) -> Column:
+def _close(a: Column, b: Column, edits: int | Column) -> Column:
     """True for all lines within ``edits`` edits: an edit takes away two character pairs at most and adds two."""
     out = F.lit(0)
     for k in range(BUCKETS // 64):
@@ -127,33 +180,47 @@ def _close(a: Column, b: Column, edits: int) -> Column:
     return out <= 4 * edits
 
 
-def near_lines(table: DataFrame, edits: int = MAX_EDITS) -> DataFrame:
-    """Keys of the lines that lie within ``edits`` edits of another line whose first place comes earlier.
+def _candidates(long: DataFrame, edits: int | None, turn: int) -> DataFrame:
+    """Pairs of lines (long, short) with a segment in common.
 
     A segment that more than CROWD lines share (the variants of one template, say) would pair all of them. Of such segments the probes
     only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds.
     """
-    long = table.where("line IS NOT NULL")
-    index = stored(long.select(F.col("key").alias("short"), F.explode(_index(F.col("line"), F.col("chars"), edits)).alias("part")))
+    line = F.col("line")
+    n = F.col("chars") if edits is None else F.lit(0)  # the hashes of a fixed bound tell the lengths themselves
+    bound = F.lit(edits) if edits is not None else allowed(F.col("n_short"))
+    fits = (F.col("n_long") >= F.col("n_short")) & (F.col("n_long") <= F.col("n_short") + bound)
+    index = stored(long.select(F.col("key").alias("short"), n.alias("n_short"), F.explode(_band_index(line, n, turn) if edits is None else _index(line, F.col("chars"), edits)).alias("part")))
     crowds = stored(index.groupBy("part").count().where(F.col("count") > CROWD).select("part"))
-    probes = long.select(F.col("key").alias("long"), F.explode(_probes(F.col("line"), F.col("chars"), edits)).alias("part"))
-    single = index.join(crowds, "part", "left_anti").select("part", "short").unionAll(crowds.select("part", F.lit(None).cast("long")))
-    met = stored(probes.join(single, "part").where("short IS NULL OR long <> short").select("long", "part", "short"))
+    probes = long.select(F.col("key").alias("long"), n.alias("n_long"), F.explode(_band_probes(line, n, turn) if edits is None else _probes(line, F.col("chars"), edits)).alias("part"))
+    single = index.join(crowds, "part", "left_anti").select("part", "short", "n_short").unionAll(crowds.select("part", F.lit(None).cast("long"), F.lit(None).cast("int")))
+    met = stored(probes.join(single, "part").where(F.col("short").isNull() | ((F.col("long") != F.col("short")) & fits)).select("long", "part", "short"))
 
-    crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), "line"), key).select(key, "parts", _odd(F.col("line")).alias("bag"))).select(key, "bag", F.explode("parts").alias("part"))
+    crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line"), key).select(key, f"n_{key}", "parts", _odd(F.col("line")).alias("bag"))).select(key, f"n_{key}", "bag", F.explode("parts").alias("part"))
     a = crowded(met.where("short IS NULL").select("long", "part"), "long")
-    b = crowded(index.join(crowds, "part", "left_semi"), "short").withColumnRenamed("bag", "other")
-    inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & _close(F.col("bag"), F.col("other"), edits))
-    pairs = met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
+    b = crowded(index.join(crowds, "part", "left_semi").select("short", "part"), "short").withColumnRenamed("bag", "other")
+    inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag"), F.col("other"), bound))
+    return met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
+
+
+def near_lines(table: DataFrame, edits: int | None = MAX_EDITS) -> DataFrame:
+    """Keys of the lines that lie within ``edits`` edits (None: as ``allowed``) of another line whose first place comes earlier."""
+    long = table.where("line IS NOT NULL")
+    pairs = _candidates(long, edits, 0)
+    for turn in range(1, PASSES if edits is None else 1):
+        pairs = pairs.unionAll(_candidates(long, edits, turn))
     pairs = stored(pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct())
 
     text = lambda k: long.select(F.col("key").alias(k), F.col("first").alias(f"f{k}"), F.col("line").alias(f"l{k}"))
     both = stored(pairs.join(text("a"), "a")).join(text("b"), "b")
-    near = both.where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits)
+    if edits is None:  # Spark's own distance, banded by the bound; -1 beyond it
+        near = both.where(F.call_function("levenshtein", F.col("la"), F.col("lb"), allowed(F.least(F.length("la"), F.length("lb")))) >= 0)
+    else:
+        near = both.where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits)
     return near.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
 
 
-def removals(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def removals(docs: DataFrame, edits: int | None = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc, dk and ``gone``, the sorted numbers (from 0) of the lines to remove, for each document that has any."""
     table = line_table(docs, min_chars)
     near = near_lines(table, edits).withColumn("near", F.lit(True))
@@ -162,11 +229,11 @@ def removals(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS
     return hit.groupBy("doc", "dk").agg(F.array_sort(F.collect_set("no")).alias("gone"))
 
 
-def deduplicate(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def deduplicate(docs: DataFrame, edits: int | None = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """All rows and columns of ``docs``, with the duplicate lines taken out of ``text``.
 
     Lines end at ``\\n``. Places are ordered by doc_id (nulls last), then line number. A line goes if the same line, or one
-    within ``edits`` edits (for lines of ``min_chars`` characters and more), has an earlier place, itself removed or not. Blank lines
+    within ``edits`` edits (None: as ``allowed``; for lines of ``min_chars`` characters and more), has an earlier place, itself removed or not. Blank lines
     stay; null and empty texts stay as they are; a text whose lines all go becomes empty. Rows that repeat one document are judged alike, as
     one. ``n_chars``, where there is one, is set anew.
     """
@@ -180,7 +247,7 @@ def deduplicate(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CH
     return out.select(*docs.columns)
 
 
-def decisions(docs: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def decisions(docs: DataFrame, edits: int | None = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, n_lines, n_removed and removed_lines (numbers from 0, as text with commas) of every row of ``docs``; see
     ``deduplicate``. A null text has no lines."""
     gone = removals(docs, edits, min_chars)

@@ -21,8 +21,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take out lines that an earlier place also has, or nearly has."""
-    return linededup.deduplicate(docs)
+    """Take out lines that an earlier place also has, or nearly has; the edits allowed grow with the line."""
+    return linededup.deduplicate(docs, None, linededup.LEAST_CHARS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
