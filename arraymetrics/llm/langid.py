@@ -17,6 +17,8 @@ HASHES = 3
 #: A language keeps the n-grams that make up this share of its own, so at most 1 / MIN_SHARE of them.
 MIN_SHARE = 1e-5
 FLUSH = 2_000_000
+#: Texts with fewer n-grams (about four words) are too short to be rejected by their score.
+ENOUGH = 20
 
 
 def _grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -106,8 +108,8 @@ def fit(docs: DataFrame) -> dict:
     return {"langs": langs, "filter": filt, "fpr": fill}
 
 
-def _scores(data: np.ndarray, offs: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the best language and its score for each text of a slice."""
+def _scores(data: np.ndarray, offs: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the best language, its score and the number of n-grams for each text of a slice."""
     key, row = _grams(data, offs)
     n, langs = len(offs) - 1, model["langs"]
     slots, total = _slots(key), np.bincount(row, minlength=n)
@@ -117,7 +119,7 @@ def _scores(data: np.ndarray, offs: np.ndarray, model: dict) -> tuple[np.ndarray
         hit = np.bincount(row, ((masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1)).astype(np.float64), minlength=n)
         fixed = np.maximum(0.0, (hit - total * model["fpr"][i]) / max(1e-9, 1 - model["fpr"][i]))
         best, most = np.where(fixed > most, i, best), np.maximum(fixed, most)
-    return best, np.clip(most / np.maximum(total, 1), 0.0, 1.0)
+    return best, np.clip(most / np.maximum(total, 1), 0.0, 1.0), total
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
@@ -139,7 +141,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
             data, offs = text_buffer(b.column("text"))
             letters = b.column("letters").to_numpy(zero_copy_only=False)
             for i, j in slices(offs):
-                best, s = _scores(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], m)
+                best, s, _ = _scores(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], m)
                 ok = letters[i:j] & (len(m["langs"]) > 0)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(i, j - i), pa.array(names[np.where(ok, best, len(m["langs"]))], pa.string()), pa.array(np.where(ok, s, 0.0))],
@@ -149,9 +151,9 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     return src.mapInArrow(score, "doc_id long, lang_pred string, score double")
 
 
-def keep(docs: DataFrame, model: dict, least: float) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text is not ``und`` and scores ``least`` or more. Null and letterless texts
-    go; without a learned language all go."""
+def keep(docs: DataFrame, model: dict, least: float, enough: int = ENOUGH) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is not ``und`` and scores ``least`` or more, or has fewer than ``enough``
+    n-grams to judge by. Null and letterless texts go; without a learned language all go."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +162,8 @@ def keep(docs: DataFrame, model: dict, least: float) -> DataFrame:
             ok = np.zeros(len(b), bool)
             for i, j in slices(offs):
                 if shared.value["langs"]:
-                    ok[i:j] = _scores(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], shared.value)[1] >= least
+                    _, s, total = _scores(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], shared.value)
+                    ok[i:j] = (s >= least) | (total < enough)
             good = b.filter(pa.array(ok))
             yield good.select([n for n in good.schema.names if n != "__am_text"])
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arraymetrics.llm import bpe, decontaminate, jaccard, langid, linededup
 from arraymetrics.llm.common import in_fold, stored
 
-#: Texts whose best language knows less than this share of their n-grams are rejected.
+#: Texts whose best language knows less than this share of their n-grams are rejected, where there are langid.ENOUGH of them.
 LEAST_SCORE = 0.3
 
 
