@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +19,9 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 20
 TOLERANCE = 1e-6
+#: Rounds after which the mass of both kinds still under way is less than TOLERANCE, wherever the links lead.
+ROUNDS = math.ceil(math.log(TOLERANCE / 2) / math.log(DAMPING))
 #: A host is blocked if its distrust exceeds this many times its trust.
 MARGIN = 4.0
 _LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
