@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, byte_values, mix, slices, stored, text_buffer
+from .common import grams8, mix, slices, span_keys, stored, text_buffer
 
 #: Mean and least bytes from one cut to the next, and the rolling hash's window.
 CHUNK, LEAST, WINDOW = 1024, 64, 16
@@ -66,15 +67,49 @@ def encode_text(encoding, text: str) -> np.ndarray:
     return np.asarray(encoding.encode(text, allowed_special="all", disallowed_special=()), np.uint32)
 
 
+@functools.lru_cache(2)
+def _edges(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Which ids begin with a blank, and which end with a visible ASCII character."""
+    table = load(path)[1]
+    return np.array([b[:1] in (b" ", b"\n") for b in table]), np.array([len(b) > 0 and 32 < b[-1] < 127 for b in table])
+
+
+def repaired(gaps: list[str], codes: list[np.ndarray], path: str) -> np.ndarray:
+    """The ids of a text from those of its chunks and the text around them (one piece more than there are chunks).
+
+    A join is encoded again together with a word of the chunk on either side, and these must come out as the chunk's own ids; until
+    they agree the join takes in more words, twice as many each time, up to the whole of both chunks.
+    """
+    encoding, table = load(path)
+    opens, shuts = _edges(path)
+    none = np.zeros(0, np.uint32)
+    breaks = lambda x: np.flatnonzero(opens[x[1:]] & shuts[x[:-1]]) + 1
+    plain = lambda x: b"".join([table[t] for t in x.tolist()]).decode("utf-8", "replace")
+    out, left = [], none
+    for gap, right in zip(gaps, [*codes, none], strict=True):
+        before, behind, words = breaks(left), breaks(right), 1
+        while True:
+            a = int(before[-1 - words]) if len(before) > words else 0
+            b = int(behind[words]) if len(behind) > words else len(right)
+            got = encode_text(encoding, plain(left[a:]) + gap + plain(right[:b]))
+            keep, drop = int(before[-1]) - a if a else 0, b - int(behind[0]) if b < len(right) else 0
+            if keep + drop <= len(got) and (got[:keep] == left[a : a + keep]).all() and (got[len(got) - drop :] == right[b - drop : b]).all():
+                break
+            words *= 2
+        out += [left[: a + keep], got[keep : len(got) - drop]]
+        left = right[b - drop :]
+    return np.concatenate(out)
+
+
 def _cuts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Places of the cuts in a slice of texts: the end of a window whose hash is 0 modulo CHUNK, inside one text,
     not within a UTF-8 character, and LEAST bytes after the last."""
     if len(data) < WINDOW:
         return np.zeros(0, np.int64)
-    r = Rolling(byte_values(data))
+    g = grams8(data)
     end = np.arange(WINDOW, len(data))
-    h = (r.prefix[end] - r.prefix[end - WINDOW]) * r.inverse[end - WINDOW]
-    end = end[(mix(h) % np.uint64(CHUNK) == 0) & ((data[WINDOW:] & 0xC0) != 0x80)]
+    h = mix(g[: len(end)] * np.uint64(0x9E3779B97F4A7C15) + g[8 : 8 + len(end)])
+    end = end[(h % np.uint64(CHUNK) == 0) & ((data[WINDOW:] & 0xC0) != 0x80)]
     row = np.searchsorted(offs, end, side="right") - 1
     inside = end - WINDOW >= offs[row]
     end, row = end[inside], row[inside]
@@ -99,7 +134,8 @@ def chunks(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
     b = np.searchsorted(safe, edge[1:], side="left") - 1
     ok = np.flatnonzero(b > a)
     start, end = safe[a[ok]], safe[b[ok]]
-    return row[ok], start, end, Rolling(byte_values(data)).windows(start, end), Rolling(byte_values(data, 1), 1).windows(start, end)
+    key = span_keys(data, start, end)
+    return row[ok], start, end, key[:, 0], key[:, 1]
 
 
 def _slots(h1: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -205,7 +241,8 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, digest: bool =
                 here = np.flatnonzero(~wait)
                 done = _out([ids[i + r] for r in here], [encode_text(encoding, _plain(part[o[r] : o[r + 1]])) for r in here], table, digest)
                 held = np.flatnonzero(wait)
-                key = Rolling(byte_values(part, 1), 1).windows(o[held], o[held + 1]).view(np.int64)
+                texts = [_plain(part[o[r] : o[r + 1]]).encode() for r in held]
+                key = np.array([xxhash.xxh3_64_intdigest(x) for x in texts], np.uint64).view(np.int64)
                 late = [pa.array([ids[i + r] for r in held], pa.int64())] + [pa.nulls(len(held), done.column(n).type) for n in names[1:]]
                 for cols, key_, text in (
                     (done.columns, pa.nulls(len(here), pa.int64()), pa.nulls(len(here), pa.string())),
@@ -253,18 +290,19 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, digest: bool =
     each = places.select("doc_id", "key", "h1", "h2").distinct().join(once, ["h1", "h2"]).groupBy("doc_id", "key").agg(F.collect_list(F.struct("h1", "h2", "code")).alias("codes"))
     each = each.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "codes")
     parts = waiting.mapInArrow(rests, "doc_id long, key long, gaps array<string>, h1s array<long>, h2s array<long>")
-    whole = parts.join(each, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left").select("doc_id", "gaps", "h1s", "h2s", "codes")
+    whole = parts.join(each, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left").select("doc_id", "key", "gaps", "h1s", "h2s", "codes")
 
     def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, table = load(path)
         for b in batches:
             for r in range(len(b)):
-                doc_id, gaps, h1s, h2s, codes = (b.column(n)[r].as_py() for n in range(5))
-                have = {(c["h1"], c["h2"]): np.frombuffer(c["code"], _width(table)) for c in codes or ()}
-                out = [encode_text(encoding, gaps[0])]
-                for gap, x, y in zip(gaps[1:], h1s, h2s, strict=True):
-                    out += [have[x, y], encode_text(encoding, gap)]
-                yield _out([doc_id], [np.concatenate(out)], table, digest)
+                doc_id, gaps, h1s, h2s, codes = (b.column(n)[r].as_py() for n in ("doc_id", "gaps", "h1s", "h2s", "codes"))
+                have = {(c["h1"], c["h2"]): np.frombuffer(c["code"], _width(table)).astype(np.uint32) for c in codes or ()}
+                ids = repaired(gaps, [have[x] for x in zip(h1s, h2s, strict=True)], path)
+                raw = b"".join([table[t] for t in ids.tolist()])
+                if np.uint64(xxhash.xxh3_64_intdigest(raw)).astype(np.int64) != b.column("key")[r].as_py():
+                    raise ValueError(f"the ids of document {doc_id} are not those of its text")
+                yield _out([doc_id], [ids], table, digest)
 
     return done.unionAll(whole.mapInArrow(repair, DIGESTS if digest else CODES))
 

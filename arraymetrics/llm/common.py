@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,19 +21,23 @@ SLICE_BYTES = 2_000_000
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-_MASK = (1 << 64) - 1
-_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_TABLE_SEEDS = (11, 23)
+_PRIME, _LOW30, _LOW31, _LOW32 = (np.uint64((1 << n) - d) for n, d in ((61, 1), (30, 1), (31, 1), (32, 1)))
+_BASES = (0x1E3779B97F4A7C15, 0x16E8FEB86659FD93)
+_SEEDS = (11, 23)
+#: Bytes of a word beyond which it is hashed on its own.
+LONG_WORD = 64
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; one of our own only where the cluster names none."""
+    """The folder in ``spark.checkpoint.dir``, or the one set on the context. Only Spark in one process gets one of its own where none is set."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isDefined():
         return held.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix="arraymetrics-")
 
 
@@ -50,6 +55,16 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables that ``stored`` wrote, once all that was read from them is stored itself."""
+    for t in tables:
+        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            at = jvm.org.apache.hadoop.fs.Path(folder)
+            if at.getName().startswith("am-"):
+                at.getFileSystem(conf).delete(at, True)
+
+
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """As ``stored``, in as many buckets of ``key`` as there are shuffle partitions: joins on the key don't move the table again."""
     spark = df.sparkSession
@@ -125,46 +140,92 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _PRIME) + (x >> np.uint64(61))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime 2**61 - 1 of numbers below it, by halves that fit 64 bits."""
+    a1, a0, b1, b0 = a >> np.uint64(31), a & _LOW31, b >> np.uint64(31), b & _LOW31
+    mid = a1 * b0 + a0 * b1
+    return _reduced(((a1 * b1) << np.uint64(1)) + (mid >> np.uint64(30)) + ((mid & _LOW30) << np.uint64(31)) + a0 * b0)
+
+
 class Rolling:
-    """Polynomial prefix hashes modulo 2**64 of a sequence of 64-bit values; any window's hash is then one
-    subtraction and one product. Values must be random-like (see ``byte_values`` and ``mix``)."""
+    """Polynomial prefix hashes modulo the prime 2**61 - 1 of a sequence of 64-bit values; any window's hash is then one subtraction and
+    one product. A prime modulus has no sequences that collide for every base, as a power of two has (Thue-Morse sequences)."""
 
     _pow: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def __init__(self, values: np.ndarray, which: int = 0):
         n = len(values)
         power, self.inverse = self._powers(n + 1, which)
+        term = _times(_reduced(values), power[:n])
+        high, low = np.cumsum(term >> np.uint64(32)), np.cumsum(term & _LOW32)  # neither sum passes 64 bits
+        high = _reduced(high)
         self.prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * power[:n], out=self.prefix[1:])
+        self.prefix[1:] = _reduced(((high & np.uint64((1 << 29) - 1)) << np.uint64(32)) + (high >> np.uint64(29)) + low)
 
     @classmethod
     def _powers(cls, n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
         have = cls._pow.get(which)
         if have is None or len(have[0]) < n:
-            size = max(n, SLICE_BYTES + 1)
-            base = _BASES[which]
-            back = pow(base, -1, 1 << 64)
+            size = max(n, 1 << 16)
+            base = _BASES[which] % int(_PRIME)
             pair = []
-            for b in (base, back):
+            for b in (base, pow(base, -1, int(_PRIME))):
                 p = np.empty(size, np.uint64)
                 p[0] = 1
                 done, step = 1, b
                 while done < size:
                     take = min(done, size - done)
-                    p[done : done + take] = p[:take] * np.uint64(step)
-                    step = step * step & _MASK
+                    p[done : done + take] = _times(p[:take], np.uint64(step))
+                    step = step * step % int(_PRIME)
                     done += take
                 pair.append(p)
             have = cls._pow[which] = (pair[0], pair[1])
         return have
 
     def windows(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.prefix[end] - self.prefix[start]) * self.inverse[start])
+        return mix(_times(_reduced(self.prefix[end] + (_PRIME - self.prefix[start])), self.inverse[start]))
+
+
+def grams8(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on, as one number; none for the last 7 places."""
+    if len(data) < 8:
+        return np.zeros(0, np.uint64)
+    return np.ndarray(len(data) - 7, "<u8", np.ascontiguousarray(data).data, strides=(1,)).copy()
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """XXH3 of byte ranges: an array of 64-bit numbers."""
+    view, h = memoryview(np.ascontiguousarray(data)), xxhash.xxh3_64_intdigest
+    return np.fromiter((h(view[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)), np.uint64, len(start))
+
+
+def span_keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """128-bit XXH3 of byte ranges: an array of pairs of 64-bit numbers."""
+    view, h = memoryview(np.ascontiguousarray(data)), xxhash.xxh3_128_digest
+    return np.frombuffer(b"".join([h(view[a:b]) for a, b in zip(start.tolist(), end.tolist(), strict=True)]), "<u8").reshape(-1, 2)
 
 
-def byte_values(data: np.ndarray, which: int = 0) -> np.ndarray:
-    table = np.random.default_rng(_TABLE_SEEDS[which]).integers(1, 1 << 63, 256, dtype=np.uint64)
-    return table[data]
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each word: 8 bytes at a time; those of over LONG_WORD bytes by XXH3."""
+    size = end - start
+    h = mix(size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    packed = grams8(np.concatenate([data, np.zeros(8, np.uint8)]))
+    rows, k = np.flatnonzero(size <= LONG_WORD), 0
+    while len(rows):
+        left = size[rows] - k
+        shift = (8 * (8 - np.minimum(left, 8))).astype(np.uint64)
+        h[rows] = mix(h[rows] * np.uint64(0xD6E8FEB86659FD93) + (packed[start[rows] + k] << shift))
+        k += 8
+        rows = rows[left > 8]
+    long = np.flatnonzero(size > LONG_WORD)
+    if len(long):
+        h[long] = mix(span_hashes(data, start[long], end[long]) + np.uint64(seed))
+    return h
 
 
 #: Classes of bytes. Bytes of 0x80 and up count as letters, so that no UTF-8 character is split.
@@ -197,8 +258,8 @@ class Words:
         keep = c[first] != SPACE if len(data) else np.zeros(0, bool)
         self.start, self.end = first[keep], last[keep]
         self.doc = np.searchsorted(self.start, offs, side="left")
-        self.hash = Rolling(byte_values(data)).windows(self.start, self.end)
-        self.hash2 = Rolling(byte_values(data, 1), 1).windows(self.start, self.end) if two else None
+        self.hash = _word_hashes(data, self.start, self.end, _SEEDS[0])
+        self.hash2 = _word_hashes(data, self.start, self.end, _SEEDS[1]) if two else None
 
     def __len__(self) -> int:
         return len(self.start)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .common import Words, mix, slices, text_buffer
 
 #: Fixed masks over consecutive words; words under a 0 are ignored. With any 2 of 13 words replaced, one of them still fits
-#: (tests/llm/test_decontaminate.py tries every case).
+#: (tests/llm/test_short_items.py tries every case).
 MASKS = ("1101010011", "11001111")
 #: An overlap is a run of WINDOW words (all of a shorter item), of which SHARE at least agree in place.
 WINDOW, SHARE = 13, 0.8
@@ -105,6 +105,16 @@ def _overlaps(w: Words, left: np.ndarray, index: _Index) -> tuple[np.ndarray, ..
     return tuple(np.concatenate(out, axis=1)) if out else tuple(np.zeros((5, 0), np.int64))
 
 
+def _indexes(benchmark: DataFrame, least: int) -> Iterator:
+    """The benchmark's index, broadcast in blocks of about BLOCK_BYTES, one made when it is asked for."""
+    spark = benchmark.sparkSession
+    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).distinct()
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-total // BLOCK_BYTES))
+    for k in range(blocks):
+        yield spark.sparkContext.broadcast(_Index(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect(), least))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
     """One row for each document and benchmark item that overlap: doc_id, item_id, first_word, last_word (numbers of
     words in the document, from 0), agreeing (most words that agree within one window).
@@ -113,15 +123,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
     repeated rows, documents or items, give equal rows once for each item. The benchmark is sent in blocks of about BLOCK_BYTES, so it may be of
     any size; documents are never shuffled by seed, so a passage that a third of them holds costs its checks only.
     """
-    spark = docs.sparkSession
-    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
     src = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
     schema = "doc_id long, item_id long, first_word long, last_word long, agreeing int"
-    found = spark.createDataFrame([], schema)
-    for k in range(blocks):
-        shared = spark.sparkContext.broadcast(_Index(items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect(), least))
+    found = docs.sparkSession.createDataFrame([], schema)
+    for shared in _indexes(benchmark, least):
 
         def check(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
@@ -146,14 +151,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
                     )
 
         one = src.mapInArrow(check, schema)
-        found = one if k == 0 else found.unionAll(one)
+        found = found.unionAll(one)
     return found
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
-    """The rows of ``docs`` that overlap no benchmark item, with all their columns. Rows with a null id or text stay."""
-    leaks = overlaps(docs, benchmark, least).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__am_leak")).distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["__am_leak"], "left_anti")
+    """The rows of ``docs`` that overlap no benchmark item, with all their columns. A row is judged by its own text, whatever its id; rows
+    with a null text stay. Nothing is shuffled."""
+    out = docs.withColumn("__am_low", F.lower(F.coalesce("text", F.lit(""))))
+    for shared in _indexes(benchmark, least):
+
+        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = shared.value
+            for batch in batches:
+                data, offs = text_buffer(batch.column("__am_low"))
+                clean = np.ones(len(batch), bool)
+                for i, j in slices(offs):
+                    w = Words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], "alnum")
+                    clean[i + _overlaps(w, w.left(), index)[0]] = False
+                yield batch.filter(pa.array(clean))
+
+        out = out.mapInArrow(keep, out.schema)
+    return out.drop("__am_low")
 
 
 def op2_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

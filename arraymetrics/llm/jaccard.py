@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, slices, stored, text_buffer
+from .common import Rolling, Words, slices, span_keys, stored, text_buffer
 from .components import components
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99
@@ -45,11 +45,23 @@ def _shingles(w: Words, n_docs: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _lowered(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
+    """doc_id, text in lower case, and tk, a hash of the text as it stands."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tk"), F.lower(text).alias("text"))
+
+
+def _word_keys(data: np.ndarray, w: Words) -> np.ndarray:
+    """128-bit hashes of the word sequence of every text."""
+    size = w.end - w.start + 1  # each word and a blank
+    at = np.concatenate([[0], np.cumsum(size)])
+    flat = np.repeat(w.start - at[:-1], size) + np.arange(at[-1])
+    plain = np.append(data, np.uint8(32))[np.minimum(flat, len(data))]
+    plain[at[1:] - 1] = 32
+    return span_keys(plain, at[w.doc[:-1]], at[w.doc[1:]])
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, k1, k2 (hash of the word sequence), n_shingles and, where there are any, one hash for each band."""
+    """doc_id, tk, k1, k2 (hash of the word sequence), n_shingles and, where there are any, one hash for each band."""
     rng = np.random.default_rng(5)
     mul = rng.integers(0, 1 << 31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     add = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)
@@ -58,8 +70,9 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
         for b in batches:
             data, offs = text_buffer(b.column("text"))
             for i, j in slices(offs):
-                w = Words(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i], "alnum", two=True)
-                k1, k2 = Rolling(w.hash).windows(w.doc[:-1], w.doc[1:]), Rolling(w.hash2, 1).windows(w.doc[:-1], w.doc[1:])
+                part = data[offs[i] : offs[j]]
+                w = Words(part, offs[i : j + 1] - offs[i], "alnum")
+                words = _word_keys(part, w).view(np.int64)
                 h, at = _shingles(w, j - i, n)
                 full = np.flatnonzero(np.diff(at))
                 x = (h >> np.uint64(32)).astype(np.uint32)
@@ -71,9 +84,9 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 size = np.zeros(j - i + 1, np.int32)
                 size[full + 1] = bands
                 listed = pa.ListArray.from_arrays(pa.array(np.cumsum(size, dtype=np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), pa.array(np.diff(at).astype(np.int32)), listed], ["doc_id", "k1", "k2", "n_shingles", "bands"])
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("doc_id", "tk")), pa.array(words[:, 0].copy()), pa.array(words[:, 1].copy()), pa.array(np.diff(at).astype(np.int32)), listed], ["doc_id", "tk", "k1", "k2", "n_shingles", "bands"])
 
-    return _lowered(docs).mapInArrow(run, "doc_id long, k1 long, k2 long, n_shingles int, bands array<long>")
+    return _lowered(docs).mapInArrow(run, "doc_id long, tk long, k1 long, k2 long, n_shingles int, bands array<long>")
 
 
 def _links(sets: list[np.ndarray], side: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -139,20 +152,14 @@ def _blocks(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
     yield flush()
 
 
-def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, class_id, n_links, n_copies.
-
-    Words are runs of letters and digits, case folded. Texts of the same words are copies; they have one class and their
-    links are counted once. ``n_links`` is the number of other texts whose sets of n-word shingles have a Jaccard similarity of the
-    threshold or more; linked texts share a class, named after its smallest doc_id. A text of fewer than n words is one shingle;
-    texts without words, null or empty, are copies of each other and link to nothing. Null ids get a class of
-    their text's. Candidates come from MinHash bands (``recall`` is reached at the threshold); every candidate
-    group is verified in blocks of bounded size, pairs are not written out, and no group is cut.
-    """
+def _judged(docs: DataFrame, n: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and of every different text (k1, k2) its class (``root``, the class's smallest doc_id ``class_id``, and the class's
+    first row ``speaker``: by doc_id, nulls last, then hash of the text), its links and its copies. A text is known by its own key
+    all the way, never by an id."""
     bands, rows = band_shape(threshold, recall)
     sig = stored(signatures(docs, n, bands, rows))
-    node = F.coalesce(F.min("doc_id"), F.min("k1"))
-    texts = stored(sig.groupBy("k1", "k2").agg(node.alias("node"), F.count("*").alias("n_copies"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk")
+    texts = stored(sig.groupBy("k1", "k2").agg(F.col("k1").alias("node"), F.min(row).alias("row"), F.count("*").alias("n_copies"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles")))
     members = texts.where("n_shingles > 0").select("node", F.posexplode("bands").alias("band", "hash"))
     roots = members.groupBy("band", "hash").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     stars = members.join(roots, ["band", "hash"]).where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
@@ -170,7 +177,9 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOL
                 yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in ("id", "root", "of", "block")), pa.array(got, pa.binary())], ["id", "root", "of", "block", "shingles"])
 
     # one row of each text that stands in a candidate group
-    found = _lowered(docs).join(placed, F.col("doc_id") == F.col("id")).select("id", "root", "of", "block", "text").dropDuplicates(["id"])
+    placed = placed.join(texts.select("node", "row"), placed["id"] == texts["node"]).select("id", "root", "of", "block", F.col("row.doc_id").alias("_d"), F.col("row.tk").alias("_t"))
+    low = _lowered(docs)
+    found = low.join(placed, low["doc_id"].eqNullSafe(placed["_d"]) & (low["tk"] == placed["_t"])).select("id", "root", "of", "block", "text").dropDuplicates(["id"])
     sided = found.mapInArrow(sets, "id long, root long, of long, block int, shingles binary").select(
         "id", "root", "shingles", "block", F.explode(F.sequence(F.lit(0), F.col("of").cast("int") - 1)).alias("other")
     )
@@ -179,15 +188,34 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOL
     counts = links.groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n_links"))
     classes = components(links.select("a", "b"))
     judged = texts.join(counts, F.col("node") == counts["id"], "left").join(classes.select(F.col("id").alias("cid"), "root"), F.col("node") == F.col("cid"), "left")
-    judged = judged.select(F.col("k1").alias("_1"), F.col("k2").alias("_2"), F.coalesce("root", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies")
+    judged = stored(judged.select("k1", "k2", F.coalesce("root", "node").alias("root"), "row", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies"))
+    speakers = judged.groupBy("root").agg(F.min("row").alias("speaker"))
+    return sig, judged.join(speakers, "root").withColumn("class_id", F.coalesce("speaker.doc_id", "root"))
+
+
+def near_duplicates(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """One row for each row of ``docs``: doc_id, class_id, n_links, n_copies.
+
+    Words are runs of letters and digits, case folded. Texts of the same words are copies; they have one class and their
+    links are counted once. ``n_links`` is the number of other texts whose sets of n-word shingles have a Jaccard similarity of the
+    threshold or more; linked texts share a class, named after its smallest doc_id (one of null ids only after a hash). A text of fewer than n words is one
+    shingle; texts without words, null or empty, are copies of each other and link to nothing. Rows that share an id are judged
+    each by its text. Candidates come from MinHash bands (``recall`` is reached at the threshold); every candidate
+    group is verified in blocks of bounded size, pairs are not written out, and no group is cut.
+    """
+    sig, judged = _judged(docs, n, threshold, recall)
+    judged = judged.select(F.col("k1").alias("_1"), F.col("k2").alias("_2"), "class_id", "n_links", "n_copies")
     return sig.select("doc_id", "k1", "k2").join(judged, (F.col("k1") == F.col("_1")) & (F.col("k2") == F.col("_2"))).select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that name their class, with all their columns: one of each group of near-duplicates. Of rows
-    that repeat an id one stays. Rows with a null id can't be named and all stay."""
-    kept = near_duplicates(docs).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("__am_kept")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["__am_kept"], "left_semi").dropDuplicates(["doc_id"]).unionAll(docs.where("doc_id IS NULL"))
+    """One row of each group of near-duplicates, with all its columns: that of the smallest doc_id (null ids last), and of the smallest
+    hash of the text among rows that share it. Rows are judged by their texts, whatever their ids."""
+    _, judged = _judged(docs, WORDS, THRESHOLD, RECALL)
+    kept = judged.select(F.col("speaker.doc_id").alias("__am_doc"), F.col("speaker.tk").alias("__am_tk")).distinct()
+    named = docs.withColumn("__am_id", F.col("doc_id").cast("long")).withColumn("__am_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    out = named.join(kept, named["__am_id"].eqNullSafe(kept["__am_doc"]) & (named["__am_key"] == kept["__am_tk"]), "left_semi")
+    return out.dropDuplicates(["__am_id", "__am_key"]).drop("__am_id", "__am_key")
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

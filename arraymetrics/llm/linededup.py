@@ -26,6 +26,8 @@ LEAST_CHARS = 12
 PASSES = 4
 #: Lines with one segment in common beyond which they meet under a bound only, and the buckets of that bound.
 CROWD, BUCKETS = 8, 256
+#: Lines of a crowded segment that meet in one task.
+CROWD_BLOCK = 4096
 _LAST = (1 << 63) - 1
 
 
@@ -37,19 +39,27 @@ def _hash(line: Column, n: Column, edits: int, i: Column, shift: Column) -> Colu
 
 def _index(line: Column, n: Column, edits: int) -> Column:
     """Hashes under which a line can be found."""
-    return F.transform(F.array(*(F.lit(i) for i in range(edits + 1))), lambda i: _hash(line, n, edits, i, F.lit(0)))
+    return F.array(*(_hash(line, n, edits, F.lit(i), F.lit(0)) for i in range(edits + 1)))
 
 
 def _probes(line: Column, n: Column, edits: int) -> Column:
     """Hashes under which a line finds lines that are ``gap`` characters shorter, for every gap up to ``edits``. Of a segment's
     possible places only those are taken that leave enough edits for both sides (the multi-match-aware choice)."""
-    places = [
-        F.struct(F.lit(gap).alias("gap"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+    return F.array(*(
+        _hash(line, n - gap, edits, F.lit(i), F.lit(shift))
         for gap in range(edits + 1)
         for i in range(edits + 1)
         for shift in range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1)
-    ]
-    return F.transform(F.array(*places), lambda p: _hash(line, n - p["gap"], edits, p["i"], p["shift"]))
+    ))
+
+
+def _pieces_fit(a: Column, b: Column, edits: int) -> Column:
+    """True for all lines within ``edits`` edits: of three times as many even pieces of ``a`` all but ``edits`` are unchanged, so they stand
+    in ``b`` no more than ``edits`` characters away. Far cheaper than the distance."""
+    n, m = F.length(a), 3 * edits
+    cut = lambda k: F.floor(k * n / m).cast("int")
+    stands = (F.substr(b, F.greatest(cut(k) - edits, F.lit(0)) + 1, cut(k + 1) - cut(k) + 2 * edits).contains(F.substr(a, cut(k) + 1, cut(k + 1) - cut(k))) for k in range(m))
+    return sum(x.cast("int") for x in stands) >= m - edits
 
 
 def allowed(n: Column) -> Column:
@@ -153,12 +163,12 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def line_table(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row for each distinct line: key, first place (struct of place and number), n, and the text and its length if long enough
-    to be compared by edits. Lines whose keys collide are left out, and so are never removed. Written in buckets of ``key``, so
-    that lines are looked up without shuffling their texts again."""
+    """One row for each distinct line: key, other, first place (struct of place and number), n, and the text and its length if long enough
+    to be compared by edits. Lines of one key are told apart by ``other``. Written in buckets of ``key``, so that lines are looked
+    up without shuffling their texts again."""
     text = F.when(F.length("line") >= min_chars, F.col("line"))
-    grouped = _lines(docs).groupBy("key").agg(F.min("other").alias("_a"), F.max("other").alias("_b"), F.min(F.struct("place", "no")).alias("first"), F.count("*").alias("n"), F.first(text, ignorenulls=True).alias("line"))
-    return bucketed(grouped.where("_a = _b").select("key", "first", "n", "line", F.length("line").alias("chars")), "key")
+    grouped = _lines(docs).groupBy("key", "other").agg(F.min(F.struct("place", "no")).alias("first"), F.count("*").alias("n"), F.first(text, ignorenulls=True).alias("line"))
+    return bucketed(grouped.select("key", "other", "first", "n", "line", F.length("line").alias("chars")), "key")
 
 
 def _odd(line: Column) -> Column:
@@ -191,41 +201,45 @@ def _candidates(long: DataFrame, edits: int | None, turn: int) -> DataFrame:
     bound = F.lit(edits) if edits is not None else allowed(F.col("n_short"))
     fits = (F.col("n_long") >= F.col("n_short")) & (F.col("n_long") <= F.col("n_short") + bound)
     index = stored(long.select(F.col("key").alias("short"), n.alias("n_short"), F.explode(_band_index(line, n, turn) if edits is None else _index(line, F.col("chars"), edits)).alias("part")))
-    crowds = stored(index.groupBy("part").count().where(F.col("count") > CROWD).select("part"))
+    crowds = stored(index.groupBy("part").count().where(F.col("count") > CROWD).select("part", F.ceil(F.col("count") / CROWD_BLOCK).cast("int").alias("blocks")))
     probes = long.select(F.col("key").alias("long"), n.alias("n_long"), F.explode(_band_probes(line, n, turn) if edits is None else _probes(line, F.col("chars"), edits)).alias("part"))
-    single = index.join(crowds, "part", "left_anti").select("part", "short", "n_short").unionAll(crowds.select("part", F.lit(None).cast("long"), F.lit(None).cast("int")))
+    single = index.join(crowds.select("part"), "part", "left_anti").select("part", "short", "n_short").unionAll(crowds.select("part", F.lit(None).cast("long"), F.lit(None).cast("int")))
     met = stored(probes.join(single, "part").where(F.col("short").isNull() | ((F.col("long") != F.col("short")) & fits)).select("long", "part", "short"))
 
     crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line"), key).select(key, f"n_{key}", "parts", _odd(F.col("line")).alias("bag"))).select(key, f"n_{key}", "bag", F.explode("parts").alias("part"))
     a = crowded(met.where("short IS NULL").select("long", "part"), "long")
-    b = crowded(index.join(crowds, "part", "left_semi").select("short", "part"), "short").withColumnRenamed("bag", "other")
-    inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag"), F.col("other"), bound))
+    b = crowded(index.join(crowds.select("part"), "part", "left_semi").select("short", "part"), "short").withColumnRenamed("bag", "other")
+    # the lines of a segment are dealt to blocks, which every line that probes it goes to
+    a = a.join(crowds, "part").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    b = b.join(crowds, "part").withColumn("block", F.pmod(F.xxhash64("short"), F.col("blocks")).cast("int")).drop("blocks")
+    inside = a.join(b, (a["part"] == b["part"]) & (a["block"] == b["block"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag"), F.col("other"), bound))
     return met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
 
 
 def near_lines(table: DataFrame, edits: int | None = MAX_EDITS) -> DataFrame:
-    """Keys of the lines that lie within ``edits`` edits (None: as ``allowed``) of another line whose first place comes earlier."""
+    """Keys (key, other) of the lines that lie within ``edits`` edits (None: as ``allowed``) of another line whose first place comes earlier."""
     long = table.where("line IS NOT NULL")
     pairs = _candidates(long, edits, 0)
     for turn in range(1, PASSES if edits is None else 1):
         pairs = pairs.unionAll(_candidates(long, edits, turn))
     pairs = stored(pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct())
 
-    text = lambda k: long.select(F.col("key").alias(k), F.col("first").alias(f"f{k}"), F.col("line").alias(f"l{k}"))
+    text = lambda k: long.select(F.col("key").alias(k), F.col("other").alias(f"o{k}"), F.col("first").alias(f"f{k}"), F.col("line").alias(f"l{k}"))
     both = stored(pairs.join(text("a"), "a")).join(text("b"), "b")
     if edits is None:  # Spark's own distance, banded by the bound; -1 beyond it
         near = both.where(F.call_function("levenshtein", F.col("la"), F.col("lb"), allowed(F.least(F.length("la"), F.length("lb")))) >= 0)
     else:
-        near = both.where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits)
-    return near.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
+        near = both.where(_pieces_fit(F.col("la"), F.col("lb"), edits)).where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits)
+    later = lambda x: F.when(F.col("fa") < F.col("fb"), F.col(f"{x}b")).otherwise(F.col(f"{x}a"))
+    return near.select(later("").alias("key"), later("o").alias("other")).distinct()
 
 
 def removals(docs: DataFrame, edits: int | None = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc, dk and ``gone``, the sorted numbers (from 0) of the lines to remove, for each document that has any."""
     table = line_table(docs, min_chars)
     near = near_lines(table, edits).withColumn("near", F.lit(True))
-    judged = table.select("key", "first", "n").join(near, "key", "left").where("n > 1 OR near").select("key", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    hit = _lines(docs).select("doc", "place", "dk", "no", "key").join(judged, "key").where(F.col("near") | (F.col("first") != F.struct("place", "no")))
+    judged = table.select("key", "other", "first", "n").join(near, ["key", "other"], "left").where("n > 1 OR near").select("key", "other", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    hit = _lines(docs).select("doc", "place", "dk", "no", "key", "other").join(judged, ["key", "other"]).where(F.col("near") | (F.col("first") != F.struct("place", "no")))
     return hit.groupBy("doc", "dk").agg(F.array_sort(F.collect_set("no")).alias("gone"))
 
 

@@ -57,12 +57,12 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """Weights, the last of them the bias, from texts and ``labels`` (doc_id, quality).
 
-    The sample is bounded by SAMPLE rows, so its features fit the driver at every size of the input. Null labels and ids
-    teach nothing; an id with several labels takes the highest. Without any label the weights are 0.
+    The sample is bounded by SAMPLE ids, each with one text (the smallest, where rows repeat an id) and at most SIZE different features, so what reaches
+    the driver doesn't grow with the input. Null labels and ids teach nothing; an id with several labels takes the highest. Without any label the weights are 0.
     """
     want = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("label"))
     sample = want.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").select("doc_id", "label", "text")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     found = rows.mapInArrow(_rows, "doc_id long, label int, ids binary, values binary").collect()
     found.sort(key=lambda r: (np.int64(r.doc_id) * 2654435761 % 2**32, r.doc_id, r.ids))
     z, g2, w = np.zeros(SIZE + 1), np.zeros(SIZE + 1), np.zeros(SIZE + 1)

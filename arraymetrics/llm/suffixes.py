@@ -1,13 +1,14 @@
 """Substring dedup over bytes by distributed prefix doubling.
 
-Which byte strings of THRESHOLD bytes occur twice is what a suffix array's neighbours would tell. Suffixes are ranked here as in prefix
-doubling: positions get a rank by a first stretch of bytes, then by pairs of their rank and the rank of the stretch behind it, at growing
-offsets; a position whose rank is unique takes no further part, and ranking ends past the threshold. Ranks are 64-bit names of equal
-strings, not places in an order, as only equality counts.
-
-Only sampled positions are ranked: those where a rolling hash is smallest among its neighbours, which equal texts pick alike. The last rank of a
-sample covers all of the strings that start between it and the sample before. Strings between two samples whose last rank is unique, though a shorter
-one is not, lie at the edge of a repeat; these, and strings with no sample near, are compared one by one, by hash.
+Which byte strings of THRESHOLD bytes occur twice is what the neighbours in a suffix array would tell. Ranking all suffixes would move every byte of the
+corpus many times over, so suffixes are ranked at *samples*: places where a rolling hash is smallest among its neighbours, which equal
+texts pick alike. A sample's first rank is that of its first FIRST bytes. Then Spark sorts pairs of the ranks at a sample and at the sample 1 further
+on, 2 further on, and at last as many further on as take the pair past the threshold; a sample whose pair stands at one place only has no
+rank and takes no further part. The pieces between two samples that first ranks don't cover enter the pairs with their hash.
+
+The last rank of a sample covers all strings that start between it and the sample before (its *gap*), so these repeat if it does. Where
+it doesn't, though the ranks that lie inside a string do, the string is at the edge of a repeat; such strings, and those with no sample near, are sorted by
+hash and compared with their neighbours.
 """
 
 from __future__ import annotations
@@ -17,81 +18,97 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Rolling, byte_values, covered, mix, slices, stored, text_buffer
+from .common import covered, dropped, grams8, mix, slices, span_hashes, span_keys, stored, text_buffer
 from .substring import slide
 
 THRESHOLD = 400
-#: A sample's hash is the smallest of REACH on either side, each of GRAM bytes.
+#: A sample's hash is the smallest of REACH on either side, each of GRAM bytes; its place is REACH before it, so all that picks it lies behind.
 REACH, GRAM = 48, 8
-#: Bytes that the first two ranks cover. A string finds its sample up to THRESHOLD - FIRST bytes after its start.
-FIRST, SECOND = 150, 300
+#: Bytes of the first rank. A string finds its first sample up to NEAR bytes after its start.
+FIRST = 150
+NEAR = THRESHOLD - FIRST
+#: Samples are more than REACH apart, so so many steps take a sample past NEAR.
+STEPS = -(-NEAR // (REACH + 1))
 
 
-def _samples(data: np.ndarray, offs: np.ndarray, r: Rolling) -> tuple[np.ndarray, np.ndarray]:
-    """Starts of the samples (a sample and what picks it lie within FIRST bytes from there, in one text), and the text of each."""
+def _samples(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the samples, whose context and first rank lie within one text, and the text of each."""
     n = len(data) - GRAM + 1
-    span = max(2 * REACH + GRAM, FIRST)
     if n < 2 * REACH + 1:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    h = (mix((r.prefix[GRAM:] - r.prefix[: n]) * r.inverse[:n]) >> np.uint64(32)).astype(np.uint32)
+    h = (mix(grams8(data)) >> np.uint64(32)).astype(np.uint32)
     low = slide(h, REACH, np.minimum, np.uint32(2**32 - 1))
     z = np.flatnonzero((h[REACH : n - REACH] < low[: n - 2 * REACH]) & (h[REACH : n - REACH] <= low[REACH + 1 : n - REACH + 1]))
     row = np.searchsorted(offs, z, side="right") - 1
-    ok = z + span <= offs[row + 1]
+    ok = z + FIRST <= offs[row + 1]
     return z[ok], row[ok]
 
 
-class _Text:
-    """One text's samples, and the gaps between: gap j holds the strings whose first sample is j."""
-
-    def __init__(self, text: np.ndarray):
-        self.n = len(text)
-        self.text, self.r = text, Rolling(byte_values(text))
-        self.z, _ = _samples(text, np.array([0, self.n]), self.r)
-        self.starts = max(0, self.n - THRESHOLD + 1)  # strings start before this
-        self.low = np.concatenate([[0], self.z[:-1] + 1]) if len(self.z) else self.z
-        self.high = np.minimum(self.z + 1, self.starts)
-
-    def lonely(self) -> np.ndarray:
-        """Strings with no sample in reach."""
-        i = np.arange(self.starts)
-        at = np.searchsorted(self.z, i)
-        near = np.append(self.z, np.iinfo(np.int64).max // 2)[at]
-        return i[near - i > THRESHOLD - FIRST]
+def _table(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The samples of a slice: text, number in it, place, hash of the first bytes, distance to the next sample (0: none) and hash of what
+    its first bytes leave out of it, whether no sample NEAR behind follows, and hash of a side piece: for such last samples all from
+    the sample before to the end, for other first samples what stands before."""
+    z, row = _samples(data, offs)
+    m = len(z)
+    no = np.arange(m) - np.searchsorted(row, row)
+    follows = np.append(row[1:] == row[:-1], False) if m else np.zeros(0, bool)
+    gap = np.where(follows, np.append(z[1:], 0) - z, 0)
+    more = np.zeros(m, np.uint64)
+    wide = np.flatnonzero(gap > FIRST)
+    more[wide] = span_hashes(data, z[wide] + FIRST, z[wide] + gap[wide])
+    final = z[np.searchsorted(row, row, side="right") - 1] < z + NEAR
+    begin = np.where(no > 0, z[np.maximum(np.arange(m) - 1, 0)], offs[row])
+    side = np.zeros(m, np.uint64)
+    apart = np.flatnonzero(final | (no == 0))
+    side[apart] = span_hashes(data, begin[apart], np.where(final, offs[row + 1], z)[apart])
+    return row, no, z - offs[row], span_hashes(data, z, z + FIRST), gap, more, final, side
 
-    def in_gap(self, j: int, second: bool) -> np.ndarray:
-        """Strings of gap j that can repeat, given whether its sample's second rank does."""
-        i = np.arange(self.low[j], max(self.low[j], self.high[j]))
-        near = self.z[j] - i
-        return i[(near <= THRESHOLD - FIRST) & (second | (near > THRESHOLD - SECOND))]
 
-    def last_names(self, j: np.ndarray) -> np.ndarray:
-        """Rank of the stretch from the sample before (or the text's start) to the end of the last string of gap j."""
-        return self.r.windows(np.where(j > 0, self.z[np.maximum(j - 1, 0)], 0), np.minimum(self.z[j] + THRESHOLD, self.n))
+#: What a text learns of a sample with a first rank: that the pair one further on has a rank; that the last pair has; that strings of such a gap are
+#: compared all the same, on behalf of all gaps of its last rank.
+PAIR, WHOLE, SPEAKS = 1, 2, 4
 
-    def second_names(self, j: np.ndarray) -> np.ndarray:
-        """Rank pair of the sample: of its first FIRST bytes, and of those up to SECOND (or the text's end) behind."""
-        a, b = self.z[j] + FIRST, np.minimum(self.z[j] + SECOND, self.n)
-        return mix(self.r.windows(self.z[j], a) * np.uint64(3) + self.r.windows(a, b))
-
-    def singles(self, gaps: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Strings to compare one by one: one place and the hash of each different one, and all places with the number of theirs."""
-        at = [self.lonely()] + [self.in_gap(g["j"], g["second"]) for g in gaps if g["single"]]
-        at = np.unique(np.concatenate(at).astype(np.int64))
-        h = self.r.windows(at, at + THRESHOLD)
-        _, first, which = np.unique(h, return_index=True, return_inverse=True)
-        return at[first], h[first], np.stack([at, which])
-
-    def second_hash(self, at: np.ndarray) -> np.ndarray:
-        """32 more bits of the strings' hashes."""
-        return (Rolling(byte_values(self.text, 1), 1).windows(at, at + THRESHOLD) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
+class _Text:
+    """One text's samples, and the gaps between: gap j holds the strings whose first sample is j."""
 
-def _positions(tk: np.ndarray, j: np.ndarray) -> np.ndarray:
-    return mix(tk.view(np.uint64) + j.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    def __init__(self, text: np.ndarray, marks: np.ndarray):
+        self.n, self.text = len(text), text
+        self.z, _ = _samples(text, np.array([0, self.n]))
+        m = len(self.z)
+        self.starts = max(0, self.n - THRESHOLD + 1)  # strings start before this
+        self.low = np.concatenate([[0], self.z[:-1] + 1]) if m else self.z
+        self.high = np.minimum(self.z + 1, self.starts)
+        kind = np.full(m, -1)
+        kind[marks >> 3] = marks & 7
+        self.whole = np.flatnonzero((kind >= 0) & (kind & WHOLE > 0) & (self.high > self.low))
+        self.open = np.flatnonzero((kind >= 0) & ((kind & WHOLE == 0) | (kind & SPEAKS > 0)))
+        self.dead = np.concatenate([[0], np.cumsum(kind < 0)])
+        self.odd = np.concatenate([[0], np.cumsum((kind < 0) | (kind & PAIR == 0))])
+
+    def singles(self) -> np.ndarray:
+        """Strings to compare one by one: those of open gaps in which every rank repeats that lies inside the string, and those with no sample near."""
+        z = self.z
+        size = np.maximum(0, self.high - self.low)[self.open]
+        i = np.repeat(self.low[self.open] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum()) if len(size) else np.zeros(0, np.int64)
+        j = np.repeat(self.open, size)
+        i, j = (x[z[j] - i <= NEAR] for x in (i, j)) if len(i) else (i, j)
+        last = np.searchsorted(z, i + NEAR, side="right")
+        pairs = np.maximum(j, last - 2)
+        i = i[(self.dead[last] == self.dead[j]) & (self.odd[pairs] == self.odd[j])]
+        every = np.arange(self.starts)
+        lonely = every[np.append(z, np.iinfo(np.int64).max // 2)[np.searchsorted(z, every)] - every > NEAR]
+        return np.unique(np.concatenate([i, lonely]))
+
+    def compared(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The singles, their keys, the first place of each different one, and the number of that one for each."""
+        at = self.singles()
+        key = span_keys(self.text, at, at + THRESHOLD)
+        _, first, which = np.unique(key[:, 0] ^ (key[:, 1] << np.uint64(1)), return_index=True, return_inverse=True)
+        return at, key, first, which
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -104,6 +121,122 @@ def _rows(rows: list[tuple], digest: bool) -> list[pa.Array]:
     return [*(pa.array(x, pa.int64()) for x in c[:4]), kept]
 
 
+_SAMPLES = "tk long, j int, z int, name long, gap int, more long, final boolean, side long"
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        data, offs = text_buffer(b.column("text"))
+        tk = b.column("tk").to_numpy()
+        for i, j in slices(offs):
+            row, no, z, name, gap, more, final, side = _table(data[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+            cols = [tk[i + row], no.astype(np.int32), z.astype(np.int32), name.view(np.int64), gap.astype(np.int32), more.view(np.int64), final, side.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [x.split()[0] for x in _SAMPLES.split(", ")])
+
+
+def _ranked(rows: DataFrame, keys: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows whose keys stand at two places or more (tk, j), with the rank of the keys in sorted order, and the table of ranks. Each
+    key is counted and sorted once, however many rows have it; the ranks are written, so that they stay as they are."""
+    place = F.xxhash64("tk", "j")
+    twice = rows.groupBy(*keys).agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select(*keys, "lo")
+    ranks = stored(twice.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(name, F.monotonically_increasing_id()))
+    return rows.join(ranks, keys), ranks
+
+
+def _further(ranks: DataFrame, name: str, offset: int) -> DataFrame:
+    """Pairs of the ranks at a sample and ``offset`` samples on."""
+    return ranks.join(ranks.select("tk", (F.col("j") - offset).alias("j"), F.col(name).alias("far")), ["tk", "j"])
+
+
+def _bound(value: Column, f) -> Column:
+    """``f`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _last_keys(alive: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
+    """For each sample the key that covers its gap's strings: the ranks of the longest runs from the sample before on, and up to the first
+    sample NEAR behind, and that sample's own rank; no row where one of them has none."""
+    all_ = alive.join(one, ["tk", "j"], "left").join(two, ["tk", "j"], "left")
+    around = F.collect_list(F.struct("j", "z", "r", "one", "two")).over(Window.partitionBy("tk").orderBy("j").rowsBetween(-1, STEPS))
+
+    def key(x: Column) -> Column:
+        of = lambda j: F.get(F.filter(x["around"], lambda e: e["j"] == j), F.lit(0))
+        ahead = F.get(F.filter(x["around"], lambda e: (e["j"] > x["j"]) & (e["z"] >= x["z"] + NEAR)), F.lit(0))
+        return _bound(F.struct(ahead.alias("ahead"), of(x["j"] - F.when(x["j"] == 0, 0).otherwise(1)).alias("from")), lambda y: run(x, y, of))
+
+    def run(x: Column, y: Column, of) -> Column:
+        length = y["ahead"]["j"] - y["from"]["j"]  # samples passed
+        two_, one_ = of(y["ahead"]["j"] - 4)["two"], of(y["ahead"]["j"] - 2)["one"]
+        return F.when(length < 8, F.struct(
+            F.when(length >= 4, 2).when(length >= 2, 1).otherwise(0).alias("depth"),
+            F.when(length >= 4, y["from"]["two"]).when(length >= 2, y["from"]["one"]).otherwise(x["r"]).alias("a"),
+            F.when(length >= 4, two_).when(length >= 2, one_).otherwise(x["more"]).alias("b"),
+            y["ahead"]["r"].alias("end"), (y["ahead"]["z"] - y["from"]["z"]).alias("span"), F.when(x["j"] == 0, x["side"]).otherwise(0).cast("long").alias("side"),
+        ))
+
+    inner = all_.withColumn("around", around).where("NOT final").select("tk", "j", _bound(F.struct("j", "z", "r", "more", "side", "around"), key).alias("k")).select("tk", "j", "k.*")
+    zero = F.lit(0).cast("long")
+    tails = alive.where("final").select("tk", "j", F.lit(-1).alias("depth"), zero.alias("a"), zero.alias("b"), zero.alias("end"), F.lit(0).alias("span"), "side")
+    return stored(inner.dropna().unionAll(tails))
+
+
+def _marks(base: DataFrame) -> DataFrame:
+    """tk and the marks (8 times the sample's number, plus PAIR, WHOLE and SPEAKS) of all samples with a first rank."""
+    first = stored(base.select("tk", "text").mapInArrow(_sampled, _SAMPLES))
+    named, ranks0 = _ranked(first, ["name"], "r")
+    # texts equal as a whole have equal samples, and stand here once
+    alive = stored(named.select("tk", "j", "z", "gap", "more", "final", "side", "r").repartition("tk").dropDuplicates(["tk", "j"]))
+    dropped(first, ranks0)
+    next_ = alive.select("tk", (F.col("j") - 1).alias("j"), F.col("r").alias("r1"), F.col("more").alias("more1"), F.col("gap").alias("gap1")).where("gap1 > 0")
+    one, ranks1 = _ranked(alive.where("gap > 0").select("tk", "j", "r", "more", "gap").join(next_, ["tk", "j"]), ["r", "more", "gap", "r1", "more1", "gap1"], "one")
+    one = stored(one.select("tk", "j", "one"))
+    two, ranks2 = _ranked(_further(one, "one", 2), ["one", "far"], "two")
+    two = stored(two.select("tk", "j", "two"))
+    keys = _last_keys(alive, one, two)
+    last, ranks3 = _ranked(keys, ["depth", "a", "b", "end", "span", "side"], "whole")
+    last = last.select("tk", "j", "whole", (F.col("lo") == F.xxhash64("tk", "j")).alias("speaks"))
+    judged = stored(alive.select("tk", "j", "r").join(one, ["tk", "j"], "left").join(last, ["tk", "j"], "left"))
+    # a gap that repeats as a whole is settled; the first of its rank still speaks for it where others have an edge
+    edges = judged.where("whole IS NULL").select("r").distinct().withColumn("edge", F.lit(True))
+    bit = lambda c, v: F.when(c, v).otherwise(0)
+    mark = F.col("j") * 8 + bit(F.col("one").isNotNull(), PAIR) + bit(F.col("whole").isNotNull(), WHOLE) + bit(F.col("speaks") & F.col("edge").isNotNull(), SPEAKS)
+    marks = stored(judged.join(edges, "r", "left").groupBy("tk").agg(F.array_sort(F.collect_list(mark)).alias("marks")))
+    dropped(alive, one, two, keys, ranks1, ranks2, ranks3, judged)
+    return marks
+
+
+def _doubles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of the strings that other texts have too, from rows sorted by string, then text. Of a string that only one text is seen to have,
+    that text's rows wait."""
+    names = ["tk", "pos"]
+    known, wait = None, None  # last string, its first text, whether another text has it; its waiting rows
+    for b in batches:
+        w1, w2, tk, pos = (b.column(c).to_numpy() for c in ("w1", "w2", "tk", "pos"))
+        n = len(tk)
+        if not n:
+            continue
+        new = np.ones(n, bool)
+        new[1:] = (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])
+        goes_on = known is not None and (w1[0], w2[0]) == known[:2]
+        new[0] = not goes_on
+        at = np.flatnonzero(new)
+        group = np.cumsum(new)  # 0: the string of the batch before
+        firsts = np.concatenate([[known[2] if goes_on else 0], tk[at]])
+        other = tk != firsts[group]
+        shared = np.zeros(len(at) + 1, bool)
+        shared[group[other]] = True
+        if goes_on and known[3]:
+            shared[0] = True
+        if wait is not None and len(wait) and goes_on and shared[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(wait), known[2])), pa.array(wait)], names)
+        hit = shared[group]
+        yield pa.RecordBatch.from_arrays([pa.array(tk[hit]), pa.array(pos[hit])], names)
+        end = group[-1]
+        held = pos[(group == end) & ~hit] if not shared[end] else pos[:0]
+        wait = np.concatenate([wait, held]) if end == 0 and wait is not None and not shared[0] else held
+        known = (w1[-1], w2[-1], firsts[end], bool(shared[end]))
+
+
 def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the bytes kept (``digest``: their SHA-256), for every row.
 
@@ -114,30 +247,15 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
     Texts equal as a whole count once. Where many texts share a passage, each adds rows for the two edges of the passage, and no pairs.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).select("*", F.xxhash64("text").alias("tk"))
-
-    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            data, offs = text_buffer(b.column("text"))
-            tk = b.column("tk").to_numpy()
-            for i, j in slices(offs):
-                part, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
-                r = Rolling(byte_values(part))
-                z, row = _samples(part, o, r)
-                no = np.arange(len(z)) - np.searchsorted(row, row)
-                take = lambda c: b.column(c).slice(i, j - i).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays([take("doc_id"), take("tk"), pa.array(no.astype(np.int32)), pa.array(_positions(tk[i + row], no)), pa.array(r.windows(z, z + FIRST).view(np.int64))], ["doc_id", "tk", "j", "place", "name"])
-
-    first = base.mapInArrow(ranked, "doc_id long, tk long, j int, place long, name long")
-    again = lambda df, name: df.groupBy(name).agg(F.min("place").alias("lo"), F.max("place").alias("hi")).where("lo < hi").select(name, F.col("lo").alias(f"{name}_first"))
-    alive = first.select("doc_id", "tk", "j", "name").join(again(first.select("name", "place"), "name").select("name"), "name").groupBy("doc_id", "tk").agg(F.collect_set("j").alias("alive"))
+    marks = _marks(base)
     ids = base.select("doc_id", "tk", F.xxhash64("text", F.lit(7)).alias("tk2"))
-    copies = ids.groupBy("tk", "tk2").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")).where("n > 1")
-    copies = ids.join(copies, ["tk", "tk2"]).select("doc_id", "tk", F.coalesce(F.col("doc_id") == F.col("low"), F.col("low").isNull()).alias("stands"), F.lit(True).alias("copy")).distinct()
+    texts = stored(ids.groupBy("tk", "tk2").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")))
+    copies = ids.join(texts.where("n > 1"), ["tk", "tk2"]).select("doc_id", "tk", F.coalesce(F.col("doc_id") == F.col("low"), F.col("low").isNull()).alias("stands"), F.lit(True).alias("copy")).distinct()
     key = lambda a, b: a["doc_id"].eqNullSafe(b["_d"]) & (a["tk"] == b["_t"])
     renamed = lambda df: df.withColumnsRenamed({"doc_id": "_d", "tk": "_t"})
-    a, c = alive, renamed(copies)
-    notes = a.join(c, key(a, c), "full").select(F.coalesce("doc_id", "_d").alias("_d"), F.coalesce("tk", "_t").alias("_t"), "alive", "copy", "stands")
-    noted = base.join(notes, key(base, notes), "left").select("doc_id", "tk", "text", "alive", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("stands", F.lit(True)).alias("stands"))
+    a, c = texts.join(marks, "tk").select(F.col("low").alias("doc_id"), "tk", "marks"), renamed(copies)
+    notes = a.join(c, key(a, c), "full").select(F.coalesce("doc_id", "_d").alias("_d"), F.coalesce("tk", "_t").alias("_t"), "marks", "copy", "stands")
+    noted = base.join(notes, key(base, notes), "left").select("doc_id", "tk", "text", "marks", F.coalesce("copy", F.lit(False)).alias("copy"), F.coalesce("stands", F.lit(True)).alias("stands"))
     schema = _DIGEST if digest else _RESULT
     names = [x.split()[0] for x in schema.split(", ")]
 
@@ -145,96 +263,73 @@ def remove_repeats(docs: DataFrame, digest: bool = False) -> DataFrame:
         """Rows that are settled, and the texts that need more; of equal texts one stands for all."""
         for b in batches:
             data, offs = text_buffer(b.column("text"))
-            ids_, tks, copied, stand = (b.column(n).to_pylist() for n in ("doc_id", "tk", "copy", "stands"))
+            ids_, copied, stand = (b.column(n).to_pylist() for n in ("doc_id", "copy", "stands"))
             for i, j in slices(offs):
                 part, o = data[offs[i] : offs[j]], offs[i : j + 1] - offs[i]
-                z, row = _samples(part, o, Rolling(byte_values(part)))
+                z, row = _samples(part, o)
                 bound = np.searchsorted(row, np.arange(j - i + 1))
                 done, late = [], []
                 for k in range(j - i):
-                    n, listed = int(o[k + 1] - o[k]), b.column("alive")[i + k].is_valid
+                    n, listed = int(o[k + 1] - o[k]), b.column("marks")[i + k].is_valid
                     raw = part[o[k] : o[k + 1]]
                     if copied[i + k] and n >= THRESHOLD:
                         done.append((ids_[i + k], n, n, 1, b""))
                     if n >= THRESHOLD and (stand[i + k] or not copied[i + k]):
                         edges = np.concatenate([[-1], z[bound[k] : bound[k + 1]] - o[k]])
-                        far = (np.diff(np.append(edges, n - THRESHOLD + 1 + THRESHOLD - FIRST)) > THRESHOLD - FIRST + 1).any()
+                        far = (np.diff(np.append(edges, n - THRESHOLD + 1 + NEAR)) > NEAR + 1).any()
                         if listed or far:
-                            late.append((ids_[i + k], tks[i + k], b.column("text")[i + k].as_py(), b.column("alive")[i + k].as_py() or [], copied[i + k]))
+                            late.append(i + k)
                             continue
                     if not (copied[i + k] and n >= THRESHOLD):
                         done.append((ids_[i + k], n, 0, 0, raw.tobytes()))
                 if done:
                     none = [pa.nulls(len(done), t) for t in (pa.int64(), pa.string(), pa.list_(pa.int32()), pa.bool_())]
-                    yield pa.RecordBatch.from_arrays([*_rows(done, digest), *none], [*names, "tk", "text", "alive", "copy"])
+                    yield pa.RecordBatch.from_arrays([*_rows(done, digest), *none], [*names, "tk", "text", "marks", "copy"])
                 if late:
-                    c = list(zip(*late, strict=True))
                     none = [pa.nulls(len(late), pa.int64()) for _ in range(3)] + [pa.nulls(len(late), pa.string() if digest else pa.binary())]
-                    yield pa.RecordBatch.from_arrays([pa.array(c[0], pa.int64()), *none, pa.array(c[1], pa.int64()), pa.array(c[2], pa.string()), pa.array(c[3], pa.list_(pa.int32())), pa.array(c[4], pa.bool_())], [*names, "tk", "text", "alive", "copy"])
+                    take = [b.column(n).take(pa.array(late)) for n in ("doc_id", "tk", "text", "marks", "copy")]
+                    yield pa.RecordBatch.from_arrays([take[0], *none, *take[1:]], [*names, "tk", "text", "marks", "copy"])
 
-    mixed = stored(noted.mapInArrow(parse, f"{schema}, tk long, text string, alive array<int>, copy boolean"))
+    mixed = stored(noted.mapInArrow(parse, f"{schema}, tk long, text string, marks array<int>, copy boolean"))
+    dropped(marks, texts)
     done = mixed.where("text IS NULL").select(*names)
-    open_ = mixed.where("text IS NOT NULL").select("doc_id", "tk", "text", "alive", "copy")
+    open_ = mixed.where("text IS NOT NULL")
 
-    def reranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Further ranks of the samples that the first left."""
-        for b in batches:
-            data, offs = text_buffer(b.column("text"))
-            tk, ids, cols = b.column("tk").to_numpy(), b.column("doc_id"), []
-            for i in range(len(b)):
-                j = np.sort(b.column("alive")[i].values.to_numpy().astype(np.int64))
-                if len(j):
-                    t, own = _Text(data[offs[i] : offs[i + 1]]), np.full(len(j), tk[i])
-                    r1 = t.r.windows(t.z[j], t.z[j] + FIRST)
-                    cols.append((np.full(len(j), i), own, j.astype(np.int32), _positions(own, j), r1.view(np.int64), t.second_names(j).view(np.int64), t.last_names(j).view(np.int64)))
-            if cols:
-                row, *rest = (np.concatenate(c) for c in zip(*cols, strict=True))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), *map(pa.array, rest)], ["doc_id", "tk", "j", "place", "r1", "r2", "r3"])
-
-    ranks = stored(open_.mapInArrow(reranked, "doc_id long, tk long, j int, place long, r1 long, r2 long, r3 long"))
-    two, three = again(ranks.select("r2", "place"), "r2").select("r2", F.lit(True).alias("second")), again(ranks.select("r3", "place"), "r3")
-    judged = ranks.join(two, "r2", "left").join(three, "r3", "left").select("doc_id", "tk", "j", "r1", F.coalesce("second", F.lit(False)).alias("second"), F.col("r3_first").isNotNull().alias("whole"), F.coalesce(F.col("r3_first") == F.col("place"), F.lit(True)).alias("speaks"))
-    edges = judged.where("NOT whole").select("r1").distinct().withColumn("edge", F.lit(True))
-    # a stretch that repeats as a whole is settled; the first of its kind still speaks for it where others have an edge
-    gaps = judged.join(edges, "r1", "left").select("doc_id", "tk", F.struct("j", "second", "whole", (F.col("speaks") & F.col("edge").isNotNull()).alias("single")).alias("g")).where("g.whole OR g.single")
-    gaps = renamed(gaps.groupBy("doc_id", "tk").agg(F.array_sort(F.collect_set("g")).alias("gaps")))
-    ready = stored(open_.join(gaps, key(open_, gaps), "left").select("doc_id", "tk", "text", "copy", "gaps"))
+    def text_of(b: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, i: int) -> _Text:
+        own = b.column("marks")[i]
+        return _Text(data[offs[i] : offs[i + 1]], own.values.to_numpy(zero_copy_only=False).astype(np.int64) if own.is_valid else np.zeros(0, np.int64))
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = text_buffer(b.column("text"))
             tk, cols = b.column("tk").to_numpy(), []
             for i in range(len(b)):
-                t = _Text(data[offs[i] : offs[i + 1]])
-                at, h, _ = t.singles(b.column("gaps")[i].as_py() or [])
+                at, key_, first, _ = text_of(b, data, offs, i).compared()
                 if len(at):
-                    cols.append((np.full(len(at), tk[i]), at.astype(np.int32), h.view(np.int64), t.second_hash(at)))
+                    cols.append((np.full(len(first), tk[i]), at[first].astype(np.int32), key_[first, 0].view(np.int64), (key_[first, 1] >> np.uint64(32)).astype(np.uint32).view(np.int32)))
                 if cols and (sum(len(c[0]) for c in cols) > 100_000 or i + 1 == len(b)):
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*cols, strict=True)], ["tk", "pos", "w1", "w2"])
                     cols = []
             if cols:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*cols, strict=True)], ["tk", "pos", "w1", "w2"])
 
-    # equal texts stand here once, so the text's hash names the place
-    single = ready.mapInArrow(strings, "tk long, pos int, w1 long, w2 int")
-    both = single.groupBy("w1", "w2").agg(F.min("tk").alias("lo"), F.max("tk").alias("hi")).where("lo < hi").select("w1", "w2")
-    hits = single.join(both, ["w1", "w2"]).groupBy(F.col("tk").alias("_t")).agg(F.collect_set("pos").alias("hits"))
-    last = ready.where("NOT copy").join(hits, F.col("tk") == F.col("_t"), "left").select("doc_id", "text", "gaps", "hits")
+    # equal texts stand here once, so the text's hash names the place. One string is but one of a text's many, so no string has many of the rows
+    single = open_.select("tk", "text", "marks").mapInArrow(strings, "tk long, pos int, w1 long, w2 int")
+    hits = single.repartition("w1").sortWithinPartitions("w1", "w2", "tk").mapInArrow(_doubles, "tk long, pos int").groupBy(F.col("tk").alias("_t")).agg(F.collect_set("pos").alias("hits"))
+    last = open_.where("NOT copy").join(hits, F.col("tk") == F.col("_t"), "left").select("doc_id", "text", "marks", "hits")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offs = text_buffer(b.column("text"))
             rows = []
             for i in range(len(b)):
-                text = data[offs[i] : offs[i + 1]]
-                t, gaps_ = _Text(text), b.column("gaps")[i].as_py() or []
-                at, _, (places, which) = t.singles(gaps_)
-                hit = np.isin(at, np.array(b.column("hits")[i].as_py() or [], np.int64)) | (np.bincount(which, minlength=len(at)) > 1)
-                whole = [g["j"] for g in gaps_ if g["whole"]]
-                start = places[hit[which]]
-                gone = covered(t.n, np.concatenate([start, t.low[whole]]), np.concatenate([start + THRESHOLD, np.where(t.high[whole] > t.low[whole], t.high[whole] - 1 + THRESHOLD, t.low[whole])]))
+                t = text_of(b, data, offs, i)
+                at, _, first, which = t.compared()
+                hit = np.isin(at[first], np.array(b.column("hits")[i].as_py() or [], np.int64)) | (np.bincount(which, minlength=len(first)) > 1)
+                start = at[hit[which]] if len(at) else at
+                gone = covered(t.n, np.concatenate([start, t.low[t.whole]]), np.concatenate([start + THRESHOLD, t.high[t.whole] - 1 + THRESHOLD]))
                 spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1))
-                rows.append((b.column("doc_id")[i].as_py(), t.n, int(gone.sum()), spans, text[~gone].tobytes()))
+                rows.append((b.column("doc_id")[i].as_py(), t.n, int(gone.sum()), spans, t.text[~gone].tobytes()))
             yield pa.RecordBatch.from_arrays(_rows(rows, digest), names)
 
     return done.unionAll(last.mapInArrow(cut, schema))

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: Queries are taken in blocks of this many rows; a block and its thresholds are what goes to every task.
 QUERY_BLOCK = 1024
 BINS = 256
@@ -141,7 +143,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     BINS parts and its thresholds reach the driver. Rows that share an id are each a candidate, and a query never meets
     rows of its own id; a repeated query id is searched once, with its first vector. Empty tables give no rows.
     """
-    cand = quantised(vectors)
+    cand = stored(quantised(vectors))
     queries = cand.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
     total = queries.count()
     blocks = max(1, -(-total // QUERY_BLOCK))

@@ -50,11 +50,16 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+def site(host: Column) -> Column:
+    """A host without user and port, by which pages and links meet."""
+    return F.regexp_replace(host, r"^[^@]*@|:\d*$", "")
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
     """src, dst, n: links from the pages of one host to another host. Relative links stay on their host."""
     host, _ = split_url(F.col("url"))
-    links = pages.where(F.col("html").contains("//")).select(host.alias("src"), F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)))).alias("to"))
-    return links.select("src", _lowered(F.regexp_replace("to", r"^[^@]*@|:\d*$", "")).alias("dst")).where("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
+    links = pages.where(F.col("html").contains("//")).select(site(host).alias("src"), F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)))).alias("to"))
+    return links.select("src", _lowered(site(F.col("to"))).alias("dst")).where("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -93,13 +98,13 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     links. Repeated rows are judged alike, and other columns are ignored.
     """
     host, path = split_url(F.col("url"))
-    judged = pages.select("page_id", host.alias("host"), path.alias("path"), rule_for(host, path, rules).alias("r")).select("page_id", "host", "path", "r.rule", "r.rule_verdict")
-    counts = judged.where("rule IS NOT NULL").groupBy("host").agg(F.avg((F.col("rule_verdict") == "allow").cast("double")).alias("allowed"))
+    judged = pages.select("page_id", host.alias("host"), path.alias("path"), rule_for(host, path, rules).alias("r")).select("page_id", "host", "path", site(F.col("host")).alias("site"), "r.rule", "r.rule_verdict")
+    counts = judged.where("rule IS NOT NULL").groupBy(F.col("site").alias("host")).agg(F.avg((F.col("rule_verdict") == "allow").cast("double")).alias("allowed"))
     seeds = counts.select("host", F.explode(F.create_map(F.lit("trust"), F.col("allowed"), F.lit("distrust"), 1 - F.col("allowed"))).alias("kind", "weight")).where("weight > 0").select("kind", "host", "weight")
     mass = propagate(seeds, host_edges(pages))
     pick = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("mass"))), F.lit(0.0))
     hosts = mass.groupBy(F.col("host").alias("_host")).agg(pick("trust").alias("trust"), pick("distrust").alias("distrust"))
-    out = judged.join(hosts, judged["host"] == hosts["_host"], "left")
+    out = judged.join(hosts, judged["site"] == hosts["_host"], "left")
     spread = F.when(F.coalesce("distrust", F.lit(0.0)) > MARGIN * F.coalesce("trust", F.lit(0.0)), "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", spread).alias("verdict"), F.coalesce("trust", F.lit(0.0)).alias("trust"), F.coalesce("distrust", F.lit(0.0)).alias("distrust"))
 
