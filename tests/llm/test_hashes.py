@@ -87,3 +87,18 @@ def test_shared_and_null_ids(spark):
     items = spark.createDataFrame([(1, " ".join(b.split()[10:40]))], "item_id long, text string")
     left = decontaminate.decontaminated(frame(spark, rows), items)
     assert sorted(r.text for r in left.collect()) == sorted(t for _, t in rows if not t.startswith(b))
+
+
+def test_factors_copy_from_their_places(spark):
+    import random
+
+    rng = random.Random(6)
+    a, b = sentence(rng, 200).split(), sentence(rng, 150).split()
+    texts = [(1, " ".join(a)), (2, " ".join(b)), (9, " ".join(["new"] * 5 + a[20:120] + b[30:100] + a[5:60])), (10, " ".join(a))]
+    words = {i: t.split() for i, t in texts}
+    got = {r.doc_id: r for r in substring.remove_repeats(frame(spark, texts)).collect()}
+    assert not got[1].factors and [tuple(f) for f in got[10].factors] == [(0, 200, 1, 0)]
+    assert {(f.start, f.words, f.ref_doc, f.ref_start) for f in got[9].factors} >= {(5, 100, 1, 20), (105, 70, 2, 30), (175, 55, 1, 5)}
+    for f in got[9].factors:
+        assert f.words >= 50 and words[9][f.start : f.start + f.words] == words[f.ref_doc][f.ref_start : f.ref_start + f.words]
+    assert got[9].n_removed == 225 and got[9].kept == "new new new new new"
