@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -56,13 +56,15 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Remove tables that ``stored`` wrote, once all that was read from them is stored itself."""
+    """Remove tables that ``stored`` or ``bucketed`` wrote, once all that was read from them is stored itself."""
     for t in tables:
-        jvm, conf = t.sparkSession._jvm, t.sparkSession._jsc.hadoopConfiguration()
+        spark = t.sparkSession
         for folder in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
-            at = jvm.org.apache.hadoop.fs.Path(folder)
-            if at.getName().startswith("am-"):
-                at.getFileSystem(conf).delete(at, True)
+            at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if at.getName().startswith("am_"):
+                spark.sql(f"DROP TABLE IF EXISTS {at.getName()}")
+            if at.getName().startswith(("am-", "am_")):
+                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def bucketed(df: DataFrame, key: str) -> DataFrame:

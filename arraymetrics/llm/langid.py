@@ -16,7 +16,7 @@ SLOTS = 1 << 20
 HASHES = 3
 #: A language keeps the n-grams that make up this share of its own, so at most 1 / MIN_SHARE of them.
 MIN_SHARE = 1e-5
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 #: Texts with fewer n-grams (about four words) are too short to be rejected by their score.
 ENOUGH = 20
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucketed, stored
+from .common import bucketed, dropped, stored
 
 MAX_EDITS = 2
 #: Shorter lines are compared for equality only: a few edits would make them anything. No less than (MAX_EDITS + 1) * MAX_EDITS.
@@ -189,7 +189,7 @@ def _close(a: Column, b: Column, edits: int | Column) -> Column:
 
 
 def _candidates(long: DataFrame, edits: int | None, turn: int) -> DataFrame:
-    """Pairs of lines (long, short) with a segment in common.
+    """Pairs of lines (a, b) with a segment in common, written.
 
     A segment that more than CROWD lines share (the variants of one template, say) would pair all of them. Of such segments the probes
     only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds.
@@ -204,37 +204,49 @@ def _candidates(long: DataFrame, edits: int | None, turn: int) -> DataFrame:
     single = index.join(crowds, "part", "left_anti").select("part", "short", "n_short").unionAll(crowds.select("part", F.lit(None).cast("long"), F.lit(None).cast("int")))
     met = stored(probes.join(single, "part").where(F.col("short").isNull() | ((F.col("long") != F.col("short")) & fits)).select("long", "part", "short"))
 
-    crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line"), key).select(key, f"n_{key}", "parts", _odd(F.col("line")).alias("bag"))).select(key, f"n_{key}", "bag", F.explode("parts").alias("part"))
-    a = crowded(met.where("short IS NULL").select("long", "part"), "long")
-    b = crowded(index.join(crowds, "part", "left_semi").select("short", "part"), "short").withColumnRenamed("bag", "other")
+    crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line"), key).select(key, f"n_{key}", "parts", _odd(F.col("line")).alias("bag")))
+    bags = crowded(met.where("short IS NULL").select("long", "part"), "long"), crowded(index.join(crowds, "part", "left_semi").select("short", "part"), "short")
+    a, b = (x.withColumn("part", F.explode("parts")).drop("parts") for x in bags)
+    b = b.withColumnRenamed("bag", "other")
     inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag"), F.col("other"), bound))
-    return met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
+    pairs = met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
+    pairs = stored(pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct())
+    dropped(index, crowds, met, *bags)
+    return pairs
 
 
 def near_lines(table: DataFrame, edits: int | None = MAX_EDITS) -> DataFrame:
     """Keys of the lines that lie within ``edits`` edits (None: as ``allowed``) of another line whose first place comes earlier."""
     long = table.where("line IS NOT NULL")
-    pairs = _candidates(long, edits, 0)
-    for turn in range(1, PASSES if edits is None else 1):
-        pairs = pairs.unionAll(_candidates(long, edits, turn))
-    pairs = stored(pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct())
+    turns = [_candidates(long, edits, turn) for turn in range(PASSES if edits is None else 1)]
+    pairs = turns[0]
+    for more in turns[1:]:
+        pairs = pairs.unionAll(more)
+    pairs = pairs.distinct() if len(turns) > 1 else pairs
 
     text = lambda k: long.select(F.col("key").alias(k), F.col("first").alias(f"f{k}"), F.col("line").alias(f"l{k}"))
-    both = stored(pairs.join(text("a"), "a")).join(text("b"), "b")
+    half = stored(pairs.join(text("a"), "a"))
+    dropped(*turns)
+    both = half.join(text("b"), "b")
     if edits is None:  # Spark's own distance, banded by the bound; -1 beyond it
         near = both.where(F.call_function("levenshtein", F.col("la"), F.col("lb"), allowed(F.least(F.length("la"), F.length("lb")))) >= 0)
     else:
         near = both.where(_pieces_fit(F.col("la"), F.col("lb"), edits)).where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits)
-    return near.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("key")).distinct()
+    near = stored(near.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("key")).distinct())
+    dropped(half)
+    return near
 
 
 def removals(docs: DataFrame, edits: int | None = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc, dk and ``gone``, the sorted numbers (from 0) of the lines to remove, for each document that has any."""
     table = line_table(docs, min_chars)
-    near = near_lines(table, edits).withColumn("near", F.lit(True))
+    found = near_lines(table, edits)
+    near = found.withColumn("near", F.lit(True))
     judged = table.select("key", "first", "n").join(near, "key", "left").where("n > 1 OR near").select("key", "first", F.coalesce("near", F.lit(False)).alias("near"))
     hit = _lines(docs).select("doc", "place", "dk", "no", "key").join(judged, "key").where(F.col("near") | (F.col("first") != F.struct("place", "no")))
-    return hit.groupBy("doc", "dk").agg(F.array_sort(F.collect_set("no")).alias("gone"))
+    gone = stored(hit.groupBy("doc", "dk").agg(F.array_sort(F.collect_set("no")).alias("gone")))
+    dropped(table, found)
+    return gone
 
 
 def deduplicate(docs: DataFrame, edits: int | None = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
