@@ -84,6 +84,19 @@ def files_by_sn(files: DataFrame) -> DataFrame:
     return named.groupBy("sn").agg(F.count("*").alias("n_files"), F.array_sort(F.collect_list("path")).alias("paths"))
 
 
+def write_mapping(mapping: DataFrame, path: str) -> None:
+    """The mapping as CSV with a header and as JSON lines."""
+    mapping.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+    mapping.write.mode("overwrite").json(f"{path}/json")
+
+
+def ingest_outcome(points: DataFrame, quarantine: DataFrame, seconds: float) -> DataFrame:
+    """Files that gave points, files that failed, points, and points a second."""
+    done = points.agg(F.count_distinct("source_file").alias("files_ok"), F.count("*").alias("n_points")).withColumn("_", F.lit(1))
+    lost = quarantine.agg(F.count_distinct("path", F.coalesce("member", F.lit(""))).alias("files_failed")).withColumn("_", F.lit(1))
+    return done.join(lost, "_").drop("_").withColumn("points_per_second", F.round(F.col("n_points") / F.lit(seconds), 2))
+
+
 def ingest_summary(points: DataFrame) -> DataFrame:
     """Rows of each file and resource."""
     return points.groupBy("source_file", "resource_id").agg(F.count("*").alias("n_rows"))

@@ -1,4 +1,4 @@
-"""Reports over all arrays at once: one pass each, joined with the small table of KPIs."""
+"""Reports over all arrays at once: one pass each, joined with the small table of KPIs. With ``approx`` percentiles take bounded memory for each group."""
 
 from __future__ import annotations
 
@@ -20,17 +20,17 @@ def kpi_points(df: DataFrame, kpis=None) -> DataFrame:
     return present(df).join(F.broadcast(dim), "metric_id").withColumn("value", F.col("value") / F.col("divisor"))
 
 
-def array_summary(df: DataFrame, sn: str | None = None, digits: int = 2) -> DataFrame:
+def array_summary(df: DataFrame, sn: str | None = None, digits: int = 2, approx: bool = False) -> DataFrame:
     """For each array and KPI the statistics, with the array's resources, metrics and extent."""
     rows = select_labels(df, sn=sn)
     whole = rows.groupBy("sn").agg(F.count_distinct("resource").alias("n_resources"), F.count_distinct("metric_id").alias("n_metrics"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-    return kpi_points(rows).groupBy("sn", "kpi", "unit").agg(*aggregates(None, digits)).join(whole, "sn")
+    return kpi_points(rows).groupBy("sn", "kpi", "unit").agg(*aggregates(None, digits, approx)).join(whole, "sn")
 
 
-def performance_stats(df: DataFrame, sn: str | None = None, start=None, end=None, period: str = "all", digits: int = 2) -> DataFrame:
+def performance_stats(df: DataFrame, sn: str | None = None, start=None, end=None, period: str = "all", digits: int = 2, approx: bool = False) -> DataFrame:
     """Statistics of seven KPIs of each array, at a time of day if asked."""
     rows = time_of_day(between(select_labels(df, sn=sn), start, end), period)
-    return kpi_points(rows, PERFORMANCE).groupBy("sn", "kpi", "unit").agg(*aggregates(None, digits))
+    return kpi_points(rows, PERFORMANCE).groupBy("sn", "kpi", "unit").agg(*aggregates(None, digits, approx))
 
 
 def to_wide(df: DataFrame, ids: list[str], fill: str = "0") -> DataFrame:
@@ -39,21 +39,21 @@ def to_wide(df: DataFrame, ids: list[str], fill: str = "0") -> DataFrame:
     return out.select("sn", "resource_id", "element", "ts", *(F.coalesce(F.col(f"`{i}`").cast("string"), F.lit(fill)).alias(f"m{i}") for i in ids))
 
 
-def day_night_report(df: DataFrame, sn: str | None = None, start=None, end=None, digits: int = 2) -> DataFrame:
+def day_night_report(df: DataFrame, sn: str | None = None, start=None, end=None, digits: int = 2, approx: bool = False) -> DataFrame:
     """Max, p95 and upper median by day and night."""
     kpis = ("bandwidth_read", "bandwidth_write", "latency_read", "latency_write", "cpu")
     rows = kpi_points(between(select_labels(df, sn=sn), start, end), kpis).withColumn("daypart", daypart(F.col("ts")))
     cut = lambda c, name: F.round(c, digits).alias(name)
-    return rows.groupBy("sn", "kpi", "daypart").agg(cut(F.max("value"), "max"), cut(percentile(F.col("value"), 0.95), "p95"), cut(upper_median(), "median"))
+    return rows.groupBy("sn", "kpi", "daypart").agg(cut(F.max("value"), "max"), cut(percentile(F.col("value"), 0.95, approx), "p95"), cut(upper_median(), "median"))
 
 
-def period_report(df: DataFrame, sn: str | None = None, start=None, end=None, digits: int = 2) -> DataFrame:
+def period_report(df: DataFrame, sn: str | None = None, start=None, end=None, digits: int = 2, approx: bool = False) -> DataFrame:
     """Whole-period bandwidth of the busiest controller, latencies and cpu; ``available`` is false if all are missing."""
     rows = between(select_labels(df, sn=sn), start, end)
-    band = bandwidth_total(rows)
+    band = bandwidth_total(rows, approx=approx)
     v = lambda k: F.when(F.col("kpi") == k, F.col("value"))
     kpis = kpi_points(rows, ("latency_read", "latency_write", "cpu")).groupBy("sn").agg(
-        *(f for k in ("latency_read", "latency_write", "cpu") for f in (F.round(F.max(v(k)), digits).alias(f"{k}_max"), F.round(percentile(v(k), 0.95), digits).alias(f"{k}_p95")))
+        *(f for k in ("latency_read", "latency_write", "cpu") for f in (F.round(F.max(v(k)), digits).alias(f"{k}_max"), F.round(percentile(v(k), 0.95, approx), digits).alias(f"{k}_p95")))
     )
     out = rows.select("sn").distinct().join(band, "sn", "left").join(kpis, "sn", "left")
     values = [c for c in out.columns if c != "sn"]
@@ -61,28 +61,28 @@ def period_report(df: DataFrame, sn: str | None = None, start=None, end=None, di
     return out.withColumn("available", F.coalesce(*values).isNotNull())
 
 
-def compare_arrays(df: DataFrame, sn1: str, sn2: str, start=None, end=None, digits: int = 2) -> DataFrame:
+def compare_arrays(df: DataFrame, sn1: str, sn2: str, start=None, end=None, digits: int = 2, approx: bool = False) -> DataFrame:
     """C4: averages of two arrays by KPI and the difference in percent of the first; null on a zero base."""
     rows = kpi_points(between(df.where(F.col("sn").isin(sn1, sn2)), start, end), PERFORMANCE)
     one = lambda sn, f: f(F.when(F.col("sn") == sn, F.col("value")))
-    p95 = lambda c: percentile(c, 0.95)
+    p95 = lambda c: percentile(c, 0.95, approx)
     both = rows.groupBy("kpi").agg(one(sn1, F.avg).alias("avg_1"), one(sn2, F.avg).alias("avg_2"), one(sn1, p95).alias("p95_1"), one(sn2, p95).alias("p95_2"))
     diff = lambda k: F.round(100 * (F.col(f"{k}_2") - F.col(f"{k}_1")) / F.nullif(F.col(f"{k}_1"), F.lit(0.0)), 1).alias(f"{k}_diff_percent")
     return both.select("kpi", *(F.round(c, digits).alias(c) for c in ("avg_1", "avg_2", "p95_1", "p95_2")), diff("avg"), diff("p95"))
 
 
-def top_loaded(df: DataFrame, kpi: str, n: int = 10, start=None, end=None, digits: int = 2) -> DataFrame:
+def top_loaded(df: DataFrame, kpi: str, n: int = 10, start=None, end=None, digits: int = 2, approx: bool = False) -> DataFrame:
     """G1: arrays by p95 of a KPI; a zero or absent p95 counts as the maximum, then as 0."""
-    rows = kpi_points(between(df, start, end), (kpi,)).groupBy("sn").agg(*aggregates(None, digits))
+    rows = kpi_points(between(df, start, end), (kpi,)).groupBy("sn").agg(*aggregates(None, digits, approx))
     load = F.coalesce(F.nullif(F.col("p95"), F.lit(0.0)), F.nullif(F.col("max"), F.lit(0.0)), F.lit(0.0))
     return rows.withColumn("load", load).orderBy(F.desc("load"), "sn").limit(n)
 
 
-def outliers(df: DataFrame, multiplier: float = 1.5, top: int | None = 50) -> DataFrame:
+def outliers(df: DataFrame, multiplier: float = 1.5, top: int | None = 50, approx: bool = False) -> DataFrame:
     """Samples above ``multiplier`` times the p95 of their array and metric, the highest ``top`` of each with the count of all.
 
     The p95 is joined back rather than windowed over: points are not sorted by array, and partial counts do for the total."""
-    limits = present(df).groupBy("sn", "metric_id").agg(percentile(F.col("value"), 0.95).alias("p95"))
+    limits = present(df).groupBy("sn", "metric_id").agg(percentile(F.col("value"), 0.95, approx).alias("p95"))
     found = present(df).join(limits, ["sn", "metric_id"]).where(F.col("value") > F.col("p95") * multiplier)
     counts = found.groupBy("sn", "metric_id").agg(F.count("*").alias("n_outliers"))
     ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("sn", "metric_id").orderBy(F.desc("value"), "ts", "element")))
@@ -90,11 +90,11 @@ def outliers(df: DataFrame, multiplier: float = 1.5, top: int | None = 50) -> Da
     return ranked.join(counts, ["sn", "metric_id"]).select("sn", "metric_id", "element", "ts", "value", F.round("p95", 9).alias("p95"), "rank", "n_outliers")
 
 
-def rw_ratio_report(df: DataFrame, read_id: str = "265", heavy: float = 60.0, light: float = 40.0, digits: int = 2) -> DataFrame:
+def rw_ratio_report(df: DataFrame, read_id: str = "265", heavy: float = 60.0, light: float = 40.0, digits: int = 2, approx: bool = False) -> DataFrame:
     """Distribution of the share of reads, and the class of the workload."""
     v = F.col("value")
     rows = present(df).where(F.col("metric_id") == read_id).groupBy("sn").agg(
-        percentile(v, 0.5).alias("m"), percentile(v, 0.75).alias("q"), percentile(v, 0.95).alias("p"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_distinct("element").alias("n_controllers")
+        percentile(v, 0.5, approx).alias("m"), percentile(v, 0.75, approx).alias("q"), percentile(v, 0.95, approx).alias("p"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count_distinct("element").alias("n_controllers")
     )
     days = (F.unix_micros("last_ts") - F.unix_micros("first_ts")) / 86_400_000_000
     kind = F.when(F.col("m") >= heavy, "read").when(F.col("m") <= light, "write").otherwise("mixed")
@@ -108,20 +108,20 @@ def rw_class_distribution(report: DataFrame) -> DataFrame:
     return report.groupBy("workload").agg(F.count("*").alias("n_arrays"))
 
 
-def compare_picks(df: DataFrame, picks: DataFrame, digits: int = 2) -> DataFrame:
+def compare_picks(df: DataFrame, picks: DataFrame, digits: int = 2, approx: bool = False) -> DataFrame:
     """Statistics of up to a few picks (pick, resource, element, metric) side by side."""
     cut = lambda c, name: F.round(c, digits).alias(name)
     return present(df).join(picks, ["resource", "element", "metric"]).groupBy("pick", "sn", "resource", "element", "metric").agg(
-        cut(percentile(F.col("value"), 0.95), "p95"), cut(F.avg("value"), "avg"), cut(F.min("value"), "min"), cut(F.max("value"), "max")
+        cut(percentile(F.col("value"), 0.95, approx), "p95"), cut(F.avg("value"), "avg"), cut(F.min("value"), "min"), cut(F.max("value"), "max")
     )
 
 
-def threshold_report(df: DataFrame, growth: float = 0.3, digits: int = 2) -> DataFrame:
+def threshold_report(df: DataFrame, growth: float = 0.3, digits: int = 2, approx: bool = False) -> DataFrame:
     """the p95 of KPIs against the limits of the array's model, or the default's."""
     dim = threshold_dim(df.sparkSession)
     own = dim.where("model <> '_default'").select(F.col("model").alias("sn"), "kpi", F.col("warning").alias("_w"), F.col("critical").alias("_c"))
     base = dim.where("model = '_default'").select("kpi", "warning", "critical")
-    rows = kpi_points(df).groupBy("sn", "kpi").agg(percentile(F.col("value"), 0.95).alias("p95"))
+    rows = kpi_points(df).groupBy("sn", "kpi").agg(percentile(F.col("value"), 0.95, approx).alias("p95"))
     out = rows.join(F.broadcast(base), "kpi").join(F.broadcast(own), ["sn", "kpi"], "left")
     w, c = F.coalesce("_w", "warning"), F.coalesce("_c", "critical")
     return out.select("sn", "kpi", F.round("p95", digits).alias("p95"), w.alias("warning"), c.alias("critical"), threshold_check(F.round("p95", digits), w, c, growth).alias("outcome"))

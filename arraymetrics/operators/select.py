@@ -9,6 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHORT_LIST = 1000
+#: The resources that are read by default.
+DEFAULT_RESOURCES = ["207", "212", "225", "216", "266", "10", "11", "21"]
+#: The metrics that are read by default.
+DEFAULT_METRICS = [
+    "18", "22", "25", "28", "23", "26", "1079", "1073", "627", "1074", "240", "1158", "1154", "1162", "1166", "1170", "1174", "1332", "1333", "1334", "1335",
+    "1337", "1338", "1633", "260", "261", "262", "1298", "1297", "68", "1299", "1182", "33", "34", "35", "36", "37", "1183", "1184", "44", "45", "46", "47", "48",
+    "1185", "1188", "93", "95", "333", "384", "385", "24", "27", "228", "369", "808", "812", "813", "1075",
+]
+#: The metrics that the direct load reads by default.
+LOAD_METRICS = DEFAULT_METRICS[:17]
 
 
 def select_ids(df: DataFrame, resources=None, metrics=None, include_unknown: bool = True, dims: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
@@ -45,7 +55,7 @@ def select_labels(df: DataFrame, **equal) -> DataFrame:
 def match_labels(df: DataFrame, **patterns: str) -> DataFrame:
     """Fully anchored patterns; ``.+`` also asks that the label is there."""
     for name, pattern in patterns.items():
-        df = df.where(F.col(name).rlike(f"^(?:{pattern})$") & F.col(name).isNotNull())
+        df = df.where(F.col(name).rlike(f"\\A(?:{pattern})\\z") & F.col(name).isNotNull())
     return df
 
 

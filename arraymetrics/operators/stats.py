@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,9 +71,9 @@ def max_over_time(df: DataFrame, by: list[str]) -> DataFrame:
     return present(df).groupBy(*series_of(df)).agg(F.max("value").alias("value")).groupBy(*by).agg(F.max("value").alias("value"))
 
 
-def quantile_over_time(df: DataFrame, by: list[str], phi: float) -> DataFrame:
+def quantile_over_time(df: DataFrame, by: list[str], phi: float, approx: bool = False) -> DataFrame:
     """The quantile of each series, then the largest."""
-    return present(df).groupBy(*series_of(df)).agg(percentile(F.col("value"), phi).alias("value")).groupBy(*by).agg(F.max("value").alias("value"))
+    return present(df).groupBy(*series_of(df)).agg(percentile(F.col("value"), phi, approx).alias("value")).groupBy(*by).agg(F.max("value").alias("value"))
 
 
 def avg_over_time(df: DataFrame) -> DataFrame:
@@ -85,12 +87,15 @@ def add_series(a: DataFrame, b: DataFrame, keys=("sn", "resource", "element", "s
     return x.join(y, list(keys)).select(*keys, (F.col("va") + F.col("vb")).alias("value"))
 
 
-def bandwidth_total(df: DataFrame) -> DataFrame:
+def bandwidth_total(df: DataFrame, start: dt.datetime | None = None, end: dt.datetime | None = None, approx: bool = False) -> DataFrame:
     """For each array the most that one controller reached: greatest read plus greatest write, and the same of medians. One
-    pass of conditional aggregates in place of a join of reads and writes."""
+    pass of conditional aggregates in place of a join of reads and writes. With ``start`` and ``end`` the window is that of whole days back
+    from the end: (end - n days, end], n one more than the whole days between."""
+    if start is not None and end is not None:
+        df = df.where((F.col("ts") > F.lit(end - dt.timedelta(days=(end - start).days + 1))) & (F.col("ts") <= F.lit(end)))
     read, write = (F.when(F.col("metric_id") == m, F.col("value")) for m in ("23", "26"))
     each = present(df).where(F.col("metric_id").isin("23", "26")).groupBy("sn", "resource", "element", "scrape_interval").agg(
-        (F.max(read) + F.max(write)).alias("most"), (percentile(read, 0.5) + percentile(write, 0.5)).alias("middle")
+        (F.max(read) + F.max(write)).alias("most"), (percentile(read, 0.5, approx) + percentile(write, 0.5, approx)).alias("middle")
     )
     return each.groupBy("sn").agg(F.max("most").alias("max_total"), F.max("middle").alias("median_total"))
 

@@ -10,14 +10,24 @@ from pyspark.sql import functions as F
 from .select import present
 
 
-def step_grid(df: DataFrame, start: Column, end: Column, step: int) -> DataFrame:
+def step_grid(df: DataFrame, start: Column, end: Column, step: int, lookback: int | None = None) -> DataFrame:
     """The last sample of each series in (start + (k - 1) step, start + k step], stamped with the end; a sample at the very start
-    falls in bucket 0; an empty bucket gives no row."""
+    falls in bucket 0; an empty bucket gives no row. A sample counts for every step that comes within ``lookback`` seconds after it (None: one step), those before
+    ``start`` too if it is longer than a step."""
     from .stats import series_of
 
     micros = F.unix_micros("ts") - F.unix_micros(start)
     k = F.ceil(micros / F.lit(step * 1_000_000))
-    rows = present(df).where((F.col("ts") >= start) & (F.col("ts") <= end)).withColumn("bucket", k)
+    rows = present(df)
+    if lookback is None or lookback <= step:
+        rows = rows.where((F.col("ts") >= start) & (F.col("ts") <= end)).withColumn("bucket", k)
+        if lookback is not None:
+            rows = rows.where(F.col("bucket") * (step * 1_000_000) - micros < lookback * 1_000_000)
+    else:
+        last = F.ceil((micros + lookback * 1_000_000) / F.lit(step * 1_000_000)) - 1
+        most = F.floor((F.unix_micros(end) - F.unix_micros(start)) / F.lit(step * 1_000_000))
+        rows = rows.where((F.col("ts") > start - F.make_dt_interval(secs=F.lit(lookback))) & (F.col("ts") <= end)).withColumn("_from", F.greatest(k, F.lit(0))).withColumn("_to", F.least(last, most))
+        rows = rows.where("_from <= _to").withColumn("bucket", F.explode(F.sequence("_from", "_to")))
     keys = series_of(df)
     return rows.groupBy(*keys, "bucket").agg(F.max_by("value", "ts").alias("value")).select(*keys, F.timestamp_micros(F.unix_micros(start) + F.col("bucket") * (step * 1_000_000)).alias("ts"), "value")
 

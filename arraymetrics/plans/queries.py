@@ -189,7 +189,7 @@ _add("f04_sn_of", "raw", lambda d: d.select(F.when(F.col("metric_id") == "22", F
      ", x AS (SELECT DISTINCT CASE WHEN metric_id = '22' THEN 'PerfData_M_SN_' || sn || '_SP0_0_20240101000000.tgz' ELSE 'x.tgz' END AS m, CASE resource_id WHEN '10' THEN '/in/a_2102355THQFSQ2100014.zip' WHEN '11' THEN '/in/(10.0.0.7)/b.zip' ELSE '/in/b.zip' END AS a FROM raw) SELECT m, a, coalesce(nullif(regexp_extract(m, '_SN_([0-9A-Z]+)_SP', 1), ''), nullif(regexp_extract(a, '_(21[0-9A-Z]{18,})[.]zip', 1), ''), 'UNKNOWN_' || replace(nullif(regexp_extract(a, '[(]([0-9.]+)[)]', 1), ''), '.', '_'), 'UNKNOWN_SN') AS s FROM x")
 _add("f06_interval_label", "raw", lambda d: d.select((F.col("tie") % 9000).cast("int").alias("s")).distinct().select("s", names.interval_label(F.col("s")).alias("label")), ", x AS (SELECT DISTINCT CAST(tie % 9000 AS INTEGER) AS s FROM raw) SELECT s, CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN (s // 60) || 'm' ELSE (s // 3600) || 'h' END AS label FROM x")
 _add("f07_units", "raw", lambda d: _named(d).select("metric").distinct().select("metric", names.unit_of(F.col("metric")).alias("unit")), f"{_NAMED} SELECT DISTINCT metric, CASE WHEN metric = 'link_bandwidth_kb_s' THEN 'KBs' WHEN contains(metric, 'timeus') THEN 'µs' WHEN contains(metric, 'iops') THEN 'ops' ELSE 'short' END AS unit FROM named")
-_add("f11_rounding", "raw", lambda d: d.groupBy("sn").agg(F.round(F.avg("value") / 1024, 2).alias("v")), "SELECT sn, round(avg(value) / 1024, 2) AS v FROM raw GROUP BY sn")
+_add("f11_rounding", "raw", lambda d: stats.stats(d, ["sn"], F.lit(1024.0), 2).select("sn", F.col("avg").alias("v")), "SELECT sn, round(avg(value) / 1024, 2) AS v FROM raw GROUP BY sn")
 _add("f12_thresholds", "points", lambda d: reports.threshold_report(d, digits=9),
      """, q AS (SELECT sn, kpi, round(quantile_cont(value, 0.95), 9) AS p95 FROM kp GROUP BY ALL), t AS (SELECT *, CASE WHEN kpi = 'cpu' AND sn = 'SN00' THEN 300.0 WHEN kpi = 'cpu' THEN 350.0 WHEN kpi = 'bandwidth_read' THEN 300.0 ELSE 0.3 END AS warning, CASE WHEN kpi = 'cpu' AND sn = 'SN00' THEN 420.0 WHEN kpi = 'cpu' THEN 450.0 WHEN kpi = 'bandwidth_read' THEN 480.0 ELSE 0.46 END AS critical FROM q WHERE kpi IN ('cpu', 'bandwidth_read', 'latency_read'))
      SELECT sn, kpi, p95, CAST(warning AS DOUBLE) AS warning, CAST(critical AS DOUBLE) AS critical, CASE WHEN p95 >= critical THEN 'critical' WHEN p95 * 1.3 >= critical THEN 'forecast_critical' WHEN p95 >= warning THEN 'warning' WHEN p95 * 1.3 >= warning THEN 'forecast_warning' ELSE 'passed' END AS outcome FROM t""")

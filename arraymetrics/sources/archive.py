@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import json
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,8 @@ from ..functions.names import file_fields
 
 #: Fixed layout: 32 bytes check, 4 version, 256 serial number, 41 name, 4 length.
 HEADER = 337
+#: What reading a damaged, encrypted or unknown kind of archive raises.
+_BROKEN = (zipfile.BadZipFile, tarfile.TarError, zlib.error, OSError, EOFError, RuntimeError, NotImplementedError, ValueError)
 FILES = "path string, member string, content binary"
 SERIES_BLOCKS = "path string, member string, sn string, block int, start long, step int, resource_id string, element string, metric_id string, data array<int>, reason string, detail string"
 
@@ -28,8 +32,8 @@ def scan_tgz(spark: SparkSession, folder: str | list[str], prefix: str | None =
 
 
 def scan_zip_members(spark: SparkSession, folder: str | list[str]) -> DataFrame:
-    """A2: the .tgz members of every .zip below a folder, one row each: path, member, content. Members are dealt anew, since few
-    archives hold many."""
+    """A2: the .tgz members of every .zip below a folder, one row each: path, member, content; empty content for a member that can't be read, or for
+    the zip itself. Members are dealt anew, since few archives hold many."""
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -38,8 +42,12 @@ def scan_zip_members(spark: SparkSession, folder: str | list[str]) -> DataFrame:
                     with zipfile.ZipFile(io.BytesIO(content.as_py() or b"")) as z:
                         for name in z.namelist():
                             if name.endswith(".tgz"):
-                                yield pa.RecordBatch.from_pydict({"path": [path], "member": [name], "content": [z.read(name)]})
-                except zipfile.BadZipFile:
+                                try:
+                                    raw = z.read(name)
+                                except _BROKEN:
+                                    raw = b""
+                                yield pa.RecordBatch.from_pydict({"path": [path], "member": [name], "content": [raw]})
+                except _BROKEN:
                     yield pa.RecordBatch.from_pydict({"path": [path], "member": pa.array([None], pa.string()), "content": [b""]})
 
     zips = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.zip").load(folder)
@@ -52,16 +60,16 @@ class _Bad(Exception):
 
 
 def _dump(content: bytes) -> bytes:
-    """A3: the one member of a .tgz."""
+    """A3: the one member of a .tgz. The stream is read to its end first, so that its checksum is verified."""
     if not content:
         raise _Bad("empty")
     try:
-        with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as t:
+        with tarfile.open(fileobj=io.BytesIO(gzip.decompress(content)), mode="r:") as t:
             names = [m for m in t.getmembers() if m.isfile()]
             if len(names) != 1:
                 raise _Bad("member_count", str(len(names)))
             return t.extractfile(names[0]).read()
-    except (tarfile.TarError, OSError, EOFError) as e:
+    except _BROKEN as e:
         raise _Bad("not_gzip", str(e)[:200]) from e
 
 
@@ -80,8 +88,10 @@ def _blocks(raw: bytes):
             start, end, step = int(head["StartTime"]), int(head["EndTime"]), int(head["Archive"])
             layout = [(r, dict(g)) for r, g in head["Map"]]
             columns = [(r, e, str(m)) for r, g in layout for e in g["Names"] for m in g["DataTypes"]]
+            if step <= 0 or end < start:
+                raise ValueError(f"times {start} to {end} by {step}")
             rows = (end - start) // step
-        except (ValueError, KeyError, TypeError, ZeroDivisionError) as e:
+        except (ValueError, KeyError, TypeError, OverflowError, RecursionError) as e:
             raise _Bad("bad_header", str(e)[:200]) from e
         at += size
         width = 4 * len(columns)
@@ -131,11 +141,15 @@ def to_points(blocks: DataFrame) -> DataFrame:
 
 def ingest(files: DataFrame, metrics: DataFrame, resources: DataFrame, include_unknown: bool = True) -> tuple[DataFrame, DataFrame]:
     """A4, A5, B1, C1, C2 in one: points in the shape of the store, and the quarantine."""
+    return ingested(decode(files), metrics, resources, include_unknown)
+
+
+def ingested(blocks: DataFrame, metrics: DataFrame, resources: DataFrame, include_unknown: bool = True) -> tuple[DataFrame, DataFrame]:
+    """As ``ingest``, from decoded blocks."""
     from ..model import POINTS
     from ..operators.joins import convert_units, resolve_names
     from ..operators.select import select_ids
 
-    blocks = decode(files)
     kept = select_ids(blocks.where("reason IS NULL"), include_unknown=include_unknown, dims=(resources, metrics))
     points = convert_units(resolve_names(to_points(kept), metrics, resources), metrics).withColumn("dt", F.to_date("ts"))
     return points.select(*(x.split()[0] for x in POINTS.split(", "))), quarantine(blocks)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..sources.archive import FILES, decode, ingest, quarantine, scan_tgz, scan_zip_members
+from ..sources.archive import FILES, decode, ingested, quarantine, scan_tgz, scan_zip_members
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -28,9 +28,13 @@ def stream_points(files: DataFrame, metrics: DataFrame, resources: DataFrame, ou
     again replaces what it wrote. ``seconds`` None: take what is there, then end."""
 
     def load(batch: DataFrame, number: int) -> None:
-        points, lost = ingest(batch, metrics, resources)
-        points.write.mode("overwrite").parquet(f"{out}/batch={number}")
-        lost.write.mode("overwrite").parquet(f"{bad}/batch={number}")
+        blocks = decode(batch).persist()  # both tables come from one decoding
+        try:
+            points, lost = ingested(blocks, metrics, resources)
+            points.write.mode("overwrite").parquet(f"{out}/batch={number}")
+            lost.write.mode("overwrite").parquet(f"{bad}/batch={number}")
+        finally:
+            blocks.unpersist()
 
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
