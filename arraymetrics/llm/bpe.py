@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grams8, mix, slices, span_keys, stored, text_buffer
+from .common import grams8, mix, slices, small_batches, span_keys, stored, text_buffer
 
 #: Mean and least bytes from one cut to the next, and the rolling hash's window.
 CHUNK, LEAST, WINDOW = 1024, 64, 16
@@ -223,6 +223,7 @@ def encode_decode(docs: DataFrame, vocabulary: str | None = None, digest: bool =
     """
     path = vocabulary or default_vocabulary()
     spark = docs.sparkSession
+    small_batches(spark)
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     packed, bits = _shared_filter(src)
     known = spark.sparkContext.broadcast(packed)

@@ -19,7 +19,11 @@ from pyspark.sql import functions as F
 
 SLICE_BYTES = 1_000_000
 
+#: Bytes of a batch of rows on its way between Spark and a Python worker.
+BATCH_BYTES = 4 << 20
+
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _PRIME, _LOW30, _LOW31, _LOW32 = (np.uint64((1 << n) - d) for n, d in ((61, 1), (30, 1), (31, 1), (32, 1)))
 _BASES = (0x1E3779B97F4A7C15, 0x16E8FEB86659FD93)
@@ -88,6 +92,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have texts go to Python in batches of BATCH_BYTES, where the session names no size of its own. Spark's default of 64 MB is held several
+    times over in every task: as rows, in Arrow's vectors on both sides of the pipe, and in what comes back. A batch holds one row at least."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

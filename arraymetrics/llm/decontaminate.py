@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix, slices, text_buffer
+from .common import Words, mix, slices, small_batches, text_buffer
 
 #: Fixed masks over consecutive words; words under a 0 are ignored. With any 2 of 13 words replaced, one of them still fits
 #: (tests/llm/test_short_items.py tries every case).
@@ -123,6 +123,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
     repeated rows, documents or items, give equal rows once for each item. The benchmark is sent in blocks of about BLOCK_BYTES, so it may be of
     any size; documents are never shuffled by seed, so a passage that a third of them holds costs its checks only.
     """
+    small_batches(docs.sparkSession)
     src = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.lower("text").alias("text"))
     schema = "doc_id long, item_id long, first_word long, last_word long, agreeing int"
     found = docs.sparkSession.createDataFrame([], schema)
@@ -158,6 +159,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataF
 def decontaminated(docs: DataFrame, benchmark: DataFrame, least: int = LEAST) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, with all their columns. A row is judged by its own text, whatever its id; rows
     with a null text stay. Nothing is shuffled."""
+    small_batches(docs.sparkSession)
     out = docs.withColumn("__am_low", F.lower(F.coalesce("text", F.lit(""))))
     for shared in _indexes(benchmark, least):
 

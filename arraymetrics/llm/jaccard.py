@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, slices, span_keys, stored, text_buffer
+from .common import Rolling, Words, slices, small_batches, span_keys, stored, text_buffer
 from .components import components
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.99
@@ -62,6 +62,7 @@ def _word_keys(data: np.ndarray, w: Words) -> np.ndarray:
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """doc_id, tk, k1, k2 (hash of the word sequence), n_shingles and, where there are any, one hash for each band."""
+    small_batches(docs.sparkSession)
     rng = np.random.default_rng(5)
     mul = rng.integers(0, 1 << 31, bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     add = rng.integers(0, 1 << 32, bands * rows, dtype=np.uint32)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_classes, held_out, in_fold, mix, slices, text_buffer
+from .common import byte_classes, held_out, in_fold, mix, slices, small_batches, text_buffer
 
 GRAM = 4
 SLOTS = 1 << 20
@@ -77,6 +77,7 @@ def fit(docs: DataFrame) -> dict:
     Rows with a null lang or text teach nothing. Without any language the model is empty.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.lower("text").alias("text"), "lang")
     langs = sorted(r[0] for r in rows.select("lang").distinct().collect())
     planes = max(1, -(-len(langs) // 64))
@@ -131,6 +132,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     and score 0. Repeated rows are judged alike.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     src = docs.select("doc_id", F.coalesce(F.lower("text"), F.lit("")).alias("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letters"))
 
@@ -154,6 +156,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
 def keep(docs: DataFrame, model: dict, least: float, enough: int = ENOUGH) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is not ``und`` and scores ``least`` or more, or has fewer than ``enough``
     n-grams to judge by. Null and letterless texts go; without a learned language all go."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
