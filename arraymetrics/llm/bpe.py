@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,8 +64,28 @@ def load(path: str):
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: Fixed value: what the pattern counts as blank. Runs of RUN and more are cut out before the pattern sees them, since it gives up on very long ones.
+BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+RUN = 10_000
+_LONG_RUN = re.compile(f"(?<![{BLANKS}])[{BLANKS}]{{{RUN},}}+")
+
+
 def encode_text(encoding, text: str) -> np.ndarray:
-    return np.asarray(encoding.encode(text, allowed_special="all", disallowed_special=()), np.uint32)
+    """The ids of a text. A run of blanks is one word of the pattern, but for its last blank where text follows that is no special token; so a very
+    long run is encoded apart, and what stands around it too."""
+    plain = lambda t: encoding.encode(t, allowed_special="all", disallowed_special=())
+    out, at = [], 0
+    for run in _LONG_RUN.finditer(text) if len(text) >= RUN else ():
+        whole = run.end() == len(text) or any(text.startswith(t, run.end()) for t in encoding.special_tokens_set)
+        end = run.end() if whole else run.end() - 1
+        out += [plain(text[at : run.start()]), blank_ids(encoding, text[run.start() : end])]
+        at = end
+    return np.concatenate([np.asarray(x, np.uint32) for x in [*out, plain(text[at:])]])
+
+
+def blank_ids(encoding, run: str) -> list[int]:
+    """The ids of one word of blanks."""
+    return encoding._encode_single_piece(run.encode())
 
 
 @functools.lru_cache(2)
