@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, jaccard, langid, linededup, quality, substring, suffixes, topk, urlfilter
+from . import bpe, centroids, decontaminate, jaccard, langid, lexical, linededup, packing, quality, substring, suffixes, topk, urlfilter
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +17,9 @@ QUERIES = {
         jaccard.op8_ngram_jaccard_join,
         suffixes.op9_suffix_array_dedup,
         langid.op10_language_id,
+        lexical.op11_ranked_search,
+        centroids.op12_centroid_clustering,
+        packing.op13_packing,
     )
 }
 
@@ -109,4 +112,6 @@ ORACLE_SQL = {
         SELECT k.doc_id, class.class_id, CAST(coalesce(links.n_links, 0) AS BIGINT) AS n_links, CAST(t.n_copies AS BIGINT) AS n_copies
         FROM k JOIN t USING (k) JOIN class USING (node) LEFT JOIN links USING (node)
     """,
+    "op11_ranked_search": lexical.OP11_SQL,
+    "op12_centroid_clustering": centroids.OP12_SQL,
 }

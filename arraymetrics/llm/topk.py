@@ -16,7 +16,7 @@ from .common import stored
 QUERY_BLOCK = 1024
 BINS = 256
 TILE = 2048
-_EXACT = 2**53
+_EXACT, _LONG = 2**53, 2**63
 
 
 def quantised(vectors: DataFrame, scale: int = 1024) -> DataFrame:
@@ -39,29 +39,34 @@ def _matrix(col: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def _scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Integer products; in doubles where those are exact."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(c).max(initial=0)) * q.shape[1]
-    return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64) if most < _EXACT else q @ c.T
+    """Integer products; in doubles or longs where those are exact, else in Python's integers."""
+    most = max(-int(q.min(initial=0)), int(q.max(initial=0))) * max(-int(c.min(initial=0)), int(c.max(initial=0))) * q.shape[1]
+    if most < _LONG:
+        return (q.astype(np.float64) @ c.T.astype(np.float64)).astype(np.int64) if most < _EXACT else q @ c.T
+    s = q.astype(object) @ c.T.astype(object)
+    if s.size and max(-int(s.min()) - 1, int(s.max())) >= _LONG:
+        raise OverflowError("a score has no room in a long")
+    return s.astype(np.int64)
 
 
 def _tiles(batches: Iterator[pa.RecordBatch], queries: dict):
-    """Scores of each tile of candidates: query ids, their rows in the block, candidate ids, scores, and which are not a
+    """Scores of each tile of candidates: places of the queries in the block, candidate ids, scores, and which are not a
     row's score with itself. Vectors of different lengths have no score."""
     for b in batches:
-        ids = b.column("vec_id").to_numpy()
+        ids, own = b.column("vec_id").to_numpy(), b.column("row").to_numpy()
         for rows, m in _matrix(b.column("v")):
             if m.shape[1] not in queries:
                 continue
-            at, qid, q = queries[m.shape[1]]
+            at, row, q = queries[m.shape[1]]
             for i in range(0, len(rows), TILE):
-                cid = ids[rows[i : i + TILE]]
-                yield at, qid, cid, _scores(q, m[i : i + TILE]), qid[:, None] != cid[None, :]
+                part = rows[i : i + TILE]
+                yield at, ids[part], _scores(q, m[i : i + TILE]), row[:, None] != own[part][None, :]
 
 
 def _block(rows: list) -> dict:
     out = {}
     sizes = np.array([len(r.v) for r in rows])
-    ids = np.array([r.vec_id for r in rows], np.int64)
+    ids = np.array([r.row for r in rows], np.int64)
     for d in np.unique(sizes):
         at = np.flatnonzero(sizes == d)
         out[int(d)] = (at, ids[at], np.array([rows[i].v for i in at], np.int64).reshape(len(at), d))
@@ -79,12 +84,13 @@ def _select(cand: DataFrame, rows: list, k: int) -> DataFrame:
     queries = _block(rows)
     shared = spark.sparkContext.broadcast(queries)
     n = len(rows)
-    biggest = cand.agg(F.max(F.aggregate("v", F.lit(0).cast("long"), lambda a, x: F.greatest(a, F.abs(x))))).first()[0] or 0
+    least, most = cand.agg(F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
+    biggest = max(0, -(least or 0), most or 0)
     bound = np.zeros(n, object)
     for at, _, q in queries.values():
-        bound[at] = [int(s) * int(biggest) for s in np.abs(q).sum(axis=1)]
-    low = np.array([max(-(2**63) + 1, -int(b)) for b in bound], object)
-    high = np.array([min(2**63 - 2, int(b)) for b in bound], object)
+        bound[at] = [sum(abs(x) for x in row) * biggest for row in q.tolist()]
+    low = np.array([max(-_LONG, -int(b)) for b in bound], object)
+    high = np.array([min(_LONG - 1, int(b)) for b in bound], object)
     above = np.zeros(n, np.int64)
     while True:
         width = np.array([max(1, -(-(int(h) - int(lo) + 1) // BINS)) for lo, h in zip(low, high, strict=True)], np.int64)
@@ -96,9 +102,9 @@ def _select(cand: DataFrame, rows: list, k: int) -> DataFrame:
         def count(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             lo, hi, w, going = now.value
             hist = np.zeros((n, BINS), np.int64)
-            for at, _, _, s, other in _tiles(batches, shared.value):
+            for at, _, s, other in _tiles(batches, shared.value):
                 ok = other & (s >= lo[at][:, None]) & (s <= hi[at][:, None]) & going[at][:, None]
-                part = (s - lo[at][:, None]) // w[at][:, None]
+                part = ((s.view(np.uint64) - lo[at].view(np.uint64)[:, None]) // w[at].view(np.uint64)[:, None]).astype(np.int64)  # as differences may pass 63 bits
                 hist += np.bincount((at[:, None] * BINS + part)[ok], minlength=n * BINS).reshape(n, BINS)
             q, part = np.nonzero(hist)
             yield pa.RecordBatch.from_arrays([pa.array(q.astype(np.int32)), pa.array(part.astype(np.int32)), pa.array(hist[q, part])], ["q", "part", "n"])
@@ -122,17 +128,17 @@ def _select(cand: DataFrame, rows: list, k: int) -> DataFrame:
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kth = final.value
         best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for at, qid, cid, s, other in _tiles(batches, shared.value):
-            for row in np.flatnonzero((ok := other & (s >= kth[at][:, None])).any(axis=1)):
-                sc, c = s[row][ok[row]], cid[ok[row]]
-                if qid[row] in best:
-                    sc, c = np.concatenate([best[qid[row]][0], sc]), np.concatenate([best[qid[row]][1], c])
-                keep = np.lexsort((c, -sc))[:k]
-                best[int(qid[row])] = (sc[keep], c[keep])
+        for at, cid, s, other in _tiles(batches, shared.value):
+            for n in np.flatnonzero((ok := other & (s >= kth[at][:, None])).any(axis=1)):
+                q, sc, c = int(at[n]), s[n][ok[n]], cid[ok[n]]
+                if q in best:
+                    sc, c = np.concatenate([best[q][0], sc]), np.concatenate([best[q][1], c])
+                keep = np.lexsort((c, ~sc))[:k]  # ~ turns the order round, of the least long too
+                best[q] = (sc[keep], c[keep])
         for q, (sc, c) in best.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), q)), pa.array(c), pa.array(sc)], ["query_id", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), rows[q].row)), pa.array(np.full(len(c), rows[q].vec_id)), pa.array(c), pa.array(sc)], ["row", "query_id", "vec_id", "score"])
 
-    return cand.mapInArrow(pick, "query_id long, vec_id long, score long")
+    return cand.mapInArrow(pick, "row long, query_id long, vec_id long, score long")
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
@@ -140,21 +146,22 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
 
     Ties go to the smaller id. A task passes on at most k rows a query, so a vector that a third of the table repeats
     costs no more than any other. Queries run in blocks of QUERY_BLOCK; only a block, its histogram of
-    BINS parts and its thresholds reach the driver. Rows that share an id are each a candidate, and a query never meets
-    rows of its own id; a repeated query id is searched once, with its first vector. Empty tables give no rows.
+    BINS parts and its thresholds reach the driver. Rows that share an id are each a candidate and each a query, with ranks of its own; a
+    query meets all rows but itself. Scores of any size that a long holds are exact; a greater one is an error (OverflowError). A
+    component past a long counts as the largest one. Empty tables give no rows.
     """
-    cand = stored(quantised(vectors))
-    queries = cand.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
+    cand = stored(quantised(vectors).withColumn("row", F.monotonically_increasing_id()))
+    queries = cand.where(is_query)
     total = queries.count()
     blocks = max(1, -(-total // QUERY_BLOCK))
     parts = []
     for b in range(blocks if total else 0):
-        rows = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect()
+        rows = queries.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).collect()
         if rows:
-            parts.append(_select(cand, sorted(rows, key=lambda r: r.vec_id), k))
+            parts.append(_select(cand, sorted(rows, key=lambda r: r.row), k))
     if not parts:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    w = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return functools.reduce(DataFrame.unionAll, parts).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
