@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,3 +77,19 @@ def us_date(ts: Column) -> Column:
 def header_text(name: str) -> str:
     """a column header without commas in ranges."""
     return name.replace(",+∞)", "_+8)").replace(",", "_")
+
+
+def utc_date(ts: Column) -> Column:
+    """The day of a moment in UTC, whatever the session's zone is."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
+
+
+def utc_hour(ts: Column) -> Column:
+    """The hour of a moment in UTC, whatever the session's zone is."""
+    return F.pmod(F.floor(F.unix_seconds(ts) / 3_600), F.lit(24)).cast("int")
+
+
+def utc_moment(at) -> Column:
+    """A datetime as a moment: naive ones are UTC, whatever the zones of host and session are."""
+    at = at.replace(tzinfo=dt.timezone.utc) if at.tzinfo is None else at
+    return F.timestamp_micros(F.lit((at - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)))

@@ -28,7 +28,7 @@ def test_decode_shapes_blocks_and_bad_files(spark, tmp_path):
         (tmp_path / name).write_bytes(raw)
     points, bad = _points(spark, tmp_path)
     assert {(r.path.rsplit("/", 1)[1], r.reason) for r in bad.collect()} == {("two.tgz", "member_count"), ("plain.tgz", "not_gzip"), ("head.tgz", "truncated_header"), ("json.tgz", "bad_header")}
-    empty = spark.createDataFrame([("p", None, bytearray()), ("q", None, None)], archive.FILES)  # Spark's reader leaves empty files out
+    empty = spark.createDataFrame([("p", None, bytearray()), ("q", None, None)], "path string, member string, content binary")  # Spark's reader leaves empty files out
     assert [r.reason for r in archive.quarantine(archive.decode(empty)).collect()] == ["empty", "empty"]
     rows = points.collect()
     assert sum(r.sn == "SN1" and r.resource_id == "10" for r in rows) == 90
@@ -80,7 +80,7 @@ def test_text_formats_round_trip(spark, tmp_path):
 @given(values=st.lists(st.integers(-(2**31), 2**31 - 1), min_size=1, max_size=12), step=st.sampled_from([5, 60, 300]))
 def test_decode_inverts_encode(spark, tmp_path, values, step):
     raw = dump([block([("11", ["L"], ["22"])], 1000, 1000 + step * len(values), step, [[v] for v in values])])
-    df = spark.createDataFrame([("p", None, bytearray(tgz(raw)))], archive.FILES)
+    df = spark.createDataFrame([("p", None, bytearray(tgz(raw)))], "path string, member string, content binary")
     rows = archive.to_points(archive.decode(df)).orderBy("ts").collect()
     assert [int(r.value) for r in rows] == values and rows[-1].ts.timestamp() == 1000 + step * (len(values) - 1)
 

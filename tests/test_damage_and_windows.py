@@ -23,7 +23,7 @@ def test_damaged_archives_are_right_or_in_quarantine(spark):
             broken[at] = rng.integers(0, 256)
         rows.append((f"d{n}", None, bytes(broken)))
     got = {}
-    for r in archive.decode(spark.createDataFrame(rows, archive.FILES).repartition(8)).collect():
+    for r in archive.decode(spark.createDataFrame(rows, "path string, member string, content binary").repartition(8)).collect():
         got.setdefault(r.path, []).append((r.reason is not None, r.element, r.metric_id, tuple(r.data or ())))
     whole = sorted(got.pop("whole"))
     assert len(whole) == 4 and len(got) == 500
@@ -33,7 +33,7 @@ def test_damaged_archives_are_right_or_in_quarantine(spark):
 def test_bad_times_end(spark):
     for start, end, step in ((600, 0, 60), (0, 600, -60), (0, 600, 0)):
         raw = tgz(dump([block([("10", ["A"], ["22"])], start, end, step, np.zeros((10, 1)))], "SN1"))
-        bad = archive.decode(spark.createDataFrame([("p", None, raw)], archive.FILES)).collect()
+        bad = archive.decode(spark.createDataFrame([("p", None, raw)], "path string, member string, content binary")).collect()
         assert [r.reason for r in bad] == ["bad_header"]
 
 
