@@ -35,19 +35,18 @@ def convert_units(df: DataFrame, metrics: DataFrame) -> DataFrame:
 
 
 def skip_existing(archives: DataFrame, points: DataFrame) -> DataFrame:
-    """Archives whose array has no points yet; unknown arrays are never skipped."""
-    known = points.select("sn").distinct()
-    return archives.where(F.col("sn").startswith("UNKNOWN_")).unionByName(archives.where(~F.col("sn").startswith("UNKNOWN_")).join(known, "sn", "left_anti").select(*archives.columns))
+    """Archives whose array has no points yet; unknown arrays, those without a serial number too, are never skipped."""
+    known = points.select(F.col("sn").alias("_sn")).distinct()
+    return archives.join(known, (F.col("sn") == F.col("_sn")) & ~F.col("sn").startswith("UNKNOWN_"), "left_anti")
 
 
 def rename_unknown(points: DataFrame, metrics: DataFrame, drop_old: bool = False) -> DataFrame:
-    """Points of metrics named unknown, under the name that the dictionary has by now; the old rows stay unless dropped."""
-    named = named_metrics(metrics).select("metric_id", F.col("metric").alias("_new"))
-    renamed = points.where(F.col("metric").startswith("unknown_metric_")).join(named, "metric_id").withColumn("metric", F.col("_new")).select(*points.columns)
-    if not drop_old:
-        return points.unionByName(renamed)
-    rest = points.where(~F.col("metric").startswith("unknown_metric_")).unionByName(points.where(F.col("metric").startswith("unknown_metric_")).join(named, "metric_id", "left_anti").select(*points.columns))
-    return rest.unionByName(renamed)
+    """Points of metrics named unknown, under the name that the dictionary has by now; the old rows stay unless dropped. All other points stay as they
+    are, those without a metric too."""
+    named = named_metrics(metrics).select(F.col("metric_id").alias("_id"), F.col("metric").alias("_new"))
+    both = points.join(named, (F.col("metric_id") == F.col("_id")) & F.col("metric").startswith("unknown_metric_"), "left")
+    kinds = F.array(F.col("_new")) if drop_old else F.array("metric", "_new")
+    return both.withColumn("metric", F.explode(F.when(F.col("_new").isNull(), F.array("metric")).otherwise(kinds))).select(*points.columns)
 
 
 def metric_mapping(metrics: DataFrame, points: DataFrame | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import utc_date, utc_hour, utc_moment
+
 SHORT_LIST = 1000
 #: The resources that are read by default.
 DEFAULT_RESOURCES = ["207", "212", "225", "216", "266", "10", "11", "21"]
@@ -59,12 +61,17 @@ def match_labels(df: DataFrame, **patterns: str) -> DataFrame:
     return df
 
 
+def _utc(at: dt.datetime) -> dt.datetime:
+    return at.astimezone(dt.timezone.utc).replace(tzinfo=None) if at.tzinfo else at
+
+
 def moment(text, now: dt.datetime) -> dt.datetime:
-    """A time given as datetime, ISO text, ``now`` or ``now-<n><m|h|d|w>``; a bad number means now, an unknown unit no offset."""
+    """A time given as datetime, ISO text, ``now`` or ``now-<n><m|h|d|w>``, in UTC; without an offset it is UTC. A bad number means now, an unknown unit no offset."""
     if isinstance(text, dt.datetime):
-        return text
+        return _utc(text)
     if not text.startswith("now"):
-        return dt.datetime.fromisoformat(text.removesuffix("Z"))
+        return _utc(dt.datetime.fromisoformat(text))
+    now = _utc(now)
     m = re.fullmatch(r"now-(\d+)(\w)", text.strip())
     if not m:
         return now
@@ -72,21 +79,32 @@ def moment(text, now: dt.datetime) -> dt.datetime:
     return now - dt.timedelta(**{unit: int(m[1])}) if unit else now
 
 
+def as_column(at) -> Column:
+    """A moment as a column: columns stay, datetimes without an offset are UTC whatever the zones of host and session are."""
+    return at if isinstance(at, Column) else utc_moment(_utc(at))
+
+
+def in_days(df: DataFrame, first: Column | None = None, last: Column | None = None) -> DataFrame:
+    """Where there is a ``dt`` partition column, the days from one moment to another, so that whole partitions are left out."""
+    for at, keep in ((first, lambda d: F.col("dt") >= d), (last, lambda d: F.col("dt") <= d)):
+        if at is not None and "dt" in df.columns:
+            df = df.where(keep(utc_date(at)))
+    return df
+
+
 def between(df: DataFrame, start=None, end=None, now: dt.datetime | None = None) -> DataFrame:
     """Points of [start, end]; where there is a ``dt`` partition column, whole days are pruned as well."""
-    now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    for bound, keep in ((start, lambda c, v: c >= v), (end, lambda c, v: c <= v)):
-        if bound is not None:
-            at = moment(bound, now)
-            df = df.where(keep(F.col("ts"), F.lit(at.isoformat(sep=" ")).cast("timestamp")))
-            if "dt" in df.columns:
-                df = df.where(keep(F.col("dt"), F.lit(at.date())))
-    return df
+    now = now or dt.datetime.now(dt.timezone.utc)
+    lo, hi = (None if x is None else utc_moment(moment(x, now)) for x in (start, end))
+    for at, keep in ((lo, lambda c: F.col("ts") >= c), (hi, lambda c: F.col("ts") <= c)):
+        if at is not None:
+            df = df.where(keep(at))
+    return in_days(df, lo, hi)
 
 
 def daypart(ts: Column) -> Column:
     """``day`` from 05:00 to 18:59 UTC, else ``night``."""
-    return F.when((F.hour(ts) >= 5) & (F.hour(ts) < 19), "day").otherwise("night")
+    return F.when(utc_hour(ts).between(5, 18), "day").otherwise("night")
 
 
 def time_of_day(df: DataFrame, period: str = "all") -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import SERIES
-from .select import present
+from . import quantiles
+from .select import as_column, in_days, present
 
 
 def series_of(df: DataFrame) -> list[str]:
@@ -41,29 +42,36 @@ def metrics_by_resource(df: DataFrame, sn: str | None = None, at=None) -> DataFr
     return kept.groupBy("resource").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("metric")), ",").alias("metrics"))
 
 
-def percentile(value: Column, p: float, approx: bool = False) -> Column:
-    """Interpolated; ``approx`` bounds the memory of large groups."""
-    return F.percentile_approx(value, p) if approx else F.percentile(value, F.lit(p))
+def upper_median(df: DataFrame, by: list[str], approx: bool = False) -> DataFrame:
+    """The upper middle of each group's sorted values."""
+    return pct(df, by, quantiles.UPPER_MEDIAN, approx)
 
 
-def upper_median(value: str = "value") -> Column:
-    """The upper middle of the sorted values."""
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {value} DESC)")
+#: What ``stats`` gives beside counts and means.
+MIDDLES = {"median": 0.5, "p95": 0.95}
 
 
-def aggregates(divisor: Column | None = None, digits: int = 2, approx: bool = False) -> list[Column]:
-    v = F.col("value") if divisor is None else F.col("value") / divisor
-    cut = lambda c, name: F.round(c, digits).alias(name)
-    return [cut(F.max(v), "max"), cut(F.min(v), "min"), cut(F.avg(v), "avg"), cut(percentile(v, 0.5, approx), "median"), cut(percentile(v, 0.95, approx), "p95"), F.count(v).alias("n")]
+def stats(df: DataFrame, by: list[str], divisor: Column | None = None, digits: int = 2, approx: bool = False, middles: dict | None = None) -> DataFrame:
+    """Max, min, avg, median, p95 (or the ``middles`` asked for) and count of present samples; the divisor comes first. No group meets in one task. With
+    ``approx`` percentiles come from sketches, without interpolation."""
+    middles = MIDDLES if middles is None else middles
+    rows = df if divisor is None else df.withColumn("value", F.col("value") / divisor)
+    if approx:
+        v = F.col("value")
+        whole = present(rows).groupBy(*by).agg(F.max(v).alias("max"), F.min(v).alias("min"), F.avg(v).alias("avg"), F.count(v).alias("n"))
+        found = quantiles.approximate(rows, by, middles)
+    else:
+        counts = quantiles.counted(rows, by)
+        whole = counts.groupBy(*by).agg(F.max("v").alias("max"), F.min("v").alias("min"), (F.sum(F.col("v") * F.col("n")) / F.sum("n")).alias("avg"), F.sum("n").alias("n"))
+        found = quantiles.percentiles(counts, by, middles)
+    out = quantiles.joined(whole, found, by)
+    return out.select(*by, *(F.round(c, digits).alias(c) for c in ("max", "min", "avg", *middles)), "n")
 
 
-def stats(df: DataFrame, by: list[str], divisor: Column | None = None, digits: int = 2, approx: bool = False) -> DataFrame:
-    """Max, min, avg, median, p95 and count of present samples; the divisor comes first."""
-    return present(df).groupBy(*by).agg(*aggregates(divisor, digits, approx))
-
-
-def pct(df: DataFrame, by: list[str], p: float, approx: bool = False) -> DataFrame:
-    return present(df).groupBy(*by).agg(percentile(F.col("value"), p, approx).alias("value"))
+def pct(df: DataFrame, by: list[str], p: float | str, approx: bool = False) -> DataFrame:
+    """The interpolated percentile of each group."""
+    at = {"value": p}
+    return quantiles.approximate(df, by, at) if approx else quantiles.percentiles(quantiles.counted(df, by), by, at)
 
 
 def max_over_time(df: DataFrame, by: list[str]) -> DataFrame:
@@ -73,7 +81,7 @@ def max_over_time(df: DataFrame, by: list[str]) -> DataFrame:
 
 def quantile_over_time(df: DataFrame, by: list[str], phi: float, approx: bool = False) -> DataFrame:
     """The quantile of each series, then the largest."""
-    return present(df).groupBy(*series_of(df)).agg(percentile(F.col("value"), phi, approx).alias("value")).groupBy(*by).agg(F.max("value").alias("value"))
+    return pct(df, series_of(df), phi, approx).groupBy(*by).agg(F.max("value").alias("value"))
 
 
 def avg_over_time(df: DataFrame) -> DataFrame:
@@ -88,16 +96,17 @@ def add_series(a: DataFrame, b: DataFrame, keys=("sn", "resource", "element", "s
 
 
 def bandwidth_total(df: DataFrame, start: dt.datetime | None = None, end: dt.datetime | None = None, approx: bool = False) -> DataFrame:
-    """For each array the most that one controller reached: greatest read plus greatest write, and the same of medians. One
-    pass of conditional aggregates in place of a join of reads and writes. With ``start`` and ``end`` the window is that of whole days back
+    """For each array the most that one controller reached: greatest read plus greatest write, and the same of medians. With ``start`` and ``end`` the window is that of whole days back
     from the end: (end - n days, end], n one more than the whole days between."""
     if start is not None and end is not None:
-        df = df.where((F.col("ts") > F.lit(end - dt.timedelta(days=(end - start).days + 1))) & (F.col("ts") <= F.lit(end)))
-    read, write = (F.when(F.col("metric_id") == m, F.col("value")) for m in ("23", "26"))
-    each = present(df).where(F.col("metric_id").isin("23", "26")).groupBy("sn", "resource", "element", "scrape_interval").agg(
-        (F.max(read) + F.max(write)).alias("most"), (percentile(read, 0.5, approx) + percentile(write, 0.5, approx)).alias("middle")
-    )
-    return each.groupBy("sn").agg(F.max("most").alias("max_total"), F.max("middle").alias("median_total"))
+        after, to = as_column(end - dt.timedelta(days=(end - start).days + 1)), as_column(end)
+        df = in_days(df.where((F.col("ts") > after) & (F.col("ts") <= to)), after, to)
+    keys = ["sn", "resource", "element", "scrape_interval"]
+    kinds = df.where(F.col("metric_id").isin("23", "26")).select(*keys, (F.col("metric_id") == "23").alias("read"), "value")
+    each = stats(kinds, [*keys, "read"], digits=15, approx=approx, middles={"middle": 0.5})
+    one = lambda c, read: F.max(F.when(F.col("read") == read, F.col(c)))
+    sums = each.groupBy(*keys).agg((one("max", True) + one("max", False)).alias("most"), (one("middle", True) + one("middle", False)).alias("middle"))
+    return sums.groupBy("sn").agg(F.max("most").alias("max_total"), F.max("middle").alias("median_total"))
 
 
 def time_range(df: DataFrame) -> DataFrame:
@@ -112,19 +121,21 @@ def arrays_metadata(df: DataFrame) -> DataFrame:
     return df.groupBy("sn").agg(F.min("scrape_interval").alias("scrape_interval")).withColumn("label", interval_label(F.col("scrape_interval")))
 
 
-def last_value(df: DataFrame, at: Column | None = None, lookback: Column | None = None, keys: list[str] | None = None) -> DataFrame:
-    """The last sample of each series, not after ``at`` nor older than ``lookback`` (an interval; None: unlimited)."""
+def last_value(df: DataFrame, at=None, lookback: Column | None = None, keys: list[str] | None = None) -> DataFrame:
+    """The last sample of each series, not after ``at`` (a datetime or column) nor older than ``lookback`` (an interval; None: unlimited)."""
     rows = present(df)
     if at is not None:
-        rows = rows.where(F.col("ts") <= at)
+        at = as_column(at)
+        rows = in_days(rows.where(F.col("ts") <= at), None, at)
         if lookback is not None:
-            rows = rows.where(F.col("ts") > at - lookback)
+            rows = in_days(rows.where(F.col("ts") > at - lookback), at - lookback)
     return rows.groupBy(*(keys or series_of(df))).agg(F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"))
 
 
-def query_range(df: DataFrame, start: Column, end: Column, step: int, digits: int = 2) -> DataFrame:
+def query_range(df: DataFrame, start, end, step: int, digits: int = 2, approx: bool = False) -> DataFrame:
     """Of each series over a step grid: count, first, last and statistics."""
     from .timegrid import step_grid
 
-    grid = step_grid(df, start, end, step)
-    return grid.groupBy(*series_of(df)).agg(F.min_by("value", "ts").alias("first"), F.max_by("value", "ts").alias("last"), *aggregates(None, digits))
+    grid, keys = step_grid(df, start, end, step), series_of(df)
+    ends = grid.groupBy(*keys).agg(F.min_by("value", "ts").alias("first"), F.max_by("value", "ts").alias("last"))
+    return quantiles.joined(ends, stats(grid, keys, digits=digits, approx=approx), keys)

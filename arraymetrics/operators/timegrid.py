@@ -7,15 +7,18 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .select import present
+from ..sources.scratch import written
+from .select import as_column, in_days, present
 
 
-def step_grid(df: DataFrame, start: Column, end: Column, step: int, lookback: int | None = None) -> DataFrame:
+def step_grid(df: DataFrame, start, end, step: int, lookback: int | None = None) -> DataFrame:
     """The last sample of each series in (start + (k - 1) step, start + k step], stamped with the end; a sample at the very start
     falls in bucket 0; an empty bucket gives no row. A sample counts for every step that comes within ``lookback`` seconds after it (None: one step), those before
-    ``start`` too if it is longer than a step."""
+    ``start`` too if it is longer than a step. Bounds are datetimes (UTC without an offset) or columns."""
     from .stats import series_of
 
+    start, end = as_column(start), as_column(end)
+    df = in_days(df, start - F.make_dt_interval(secs=F.lit(max(0, lookback or 0))), end)
     micros = F.unix_micros("ts") - F.unix_micros(start)
     k = F.ceil(micros / F.lit(step * 1_000_000))
     rows = present(df)
@@ -32,7 +35,7 @@ def step_grid(df: DataFrame, start: Column, end: Column, step: int, lookback: in
     return rows.groupBy(*keys, "bucket").agg(F.max_by("value", "ts").alias("value")).select(*keys, F.timestamp_micros(F.unix_micros(start) + F.col("bucket") * (step * 1_000_000)).alias("ts"), "value")
 
 
-#: Longest period in days and the step in seconds; None: any longer.
+#: E3, fixed values: longest period in days and the step in seconds; None: any longer.
 LADDERS = {
     "performance": [(14, 300), (45, 600), (None, 3600)],
     "outliers": [(7, 300), (30, 900), (90, 3600), (None, 21600)],
@@ -56,7 +59,7 @@ def last_full_week(at: Column) -> tuple[Column, Column]:
 
 def effective_date(last: Column, reference: Column, now: dt.datetime) -> Column:
     """E5: the earlier of both, whichever exists, else now."""
-    return F.coalesce(F.least(last, reference), F.lit(now))
+    return F.coalesce(F.least(last, reference), as_column(now))
 
 
 def last_datapoint(df: DataFrame) -> DataFrame:
@@ -75,25 +78,32 @@ def data_period(df: DataFrame, metric_id: str, start, end) -> DataFrame:
 def available_range(df: DataFrame, start: dt.datetime, end: dt.datetime, reference: dt.datetime) -> DataFrame:
     """The preferred window where an array has data in it, else up to 7 days before the last point of the 180 days up to the
     reference and 30 after; ``available`` is false where neither has data."""
-    inside = F.col("ts").between(F.lit(start), F.lit(end))
-    near = F.col("ts").between(F.lit(reference - dt.timedelta(days=180)), F.lit(reference + dt.timedelta(days=30)))
+    start, end = as_column(start), as_column(end)
+    inside = F.col("ts").between(start, end)
+    near = F.col("ts").between(as_column(reference - dt.timedelta(days=180)), as_column(reference + dt.timedelta(days=30)))
     one = df.groupBy("sn").agg(F.count_if(inside).alias("n"), F.max(F.when(near, F.col("ts"))).alias("hi"), F.min(F.when(near, F.col("ts"))).alias("lo"))
     return one.select(
         "sn",
-        F.when(F.col("n") > 0, F.lit(start)).otherwise(F.greatest(F.col("lo"), F.col("hi") - F.expr("INTERVAL 7 DAYS"))).alias("start_ts"),
-        F.when(F.col("n") > 0, F.lit(end)).otherwise(F.col("hi")).alias("end_ts"),
+        F.when(F.col("n") > 0, start).otherwise(F.greatest(F.col("lo"), F.col("hi") - F.expr("INTERVAL 7 DAYS"))).alias("start_ts"),
+        F.when(F.col("n") > 0, end).otherwise(F.col("hi")).alias("end_ts"),
         ((F.col("n") > 0) | F.col("hi").isNotNull()).alias("available"),
     )
 
 
-def renumber(df: DataFrame, by: str, order: list[str]) -> DataFrame:
-    """Running numbers from 1 in each group of ``by``, in ``order``. Rows are dealt by range and numbered within their task; what is
-    added is the count of rows before, from a table with a row for each task and group. No group meets in one task."""
+def renumber(df: DataFrame, by: str, order: list[str], parts: int | None = None) -> DataFrame:
+    """Running numbers from 1 in each group of ``by``, in ``order``.
+
+    Rows are dealt by range and sorted, once, into a written table that keeps each one's part and place. A row's number is its place less that
+    of the group's first row in the part, plus the group's rows in earlier parts, which come from a table with a row for each part and group. No
+    group meets in one task, and numbers don't change when executors are lost, as nothing is dealt twice.
+    """
     from pyspark.sql import Window
 
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, by, *order).withColumn("_part", F.spark_partition_id())
-    counts = ranged.groupBy(by, "_part").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(by, "_part", "_before")
-    local = ranged.withColumn("_row", F.row_number().over(Window.partitionBy(by, "_part").orderBy(*order)))
-    return local.join(F.broadcast(before), [by, "_part"]).withColumn("no", (F.col("_row") + F.col("_before")).cast("long")).drop("_part", "_row", "_before")
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, by, *order).sortWithinPartitions(by, *order)
+    dealt = written(dealt.withColumn("_at", F.monotonically_increasing_id())).withColumn("_part", F.shiftright("_at", 33))  # the id's high bits number the part
+    counts = dealt.groupBy(by, "_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shift = counts.select(F.col(by).alias("_by"), F.col("_part").alias("_of"), (before - F.col("_first") + 1).alias("_shift"))
+    both = dealt.join(shift, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_of")))
+    return both.withColumn("no", F.col("_at") + F.col("_shift")).drop("_at", "_part", "_by", "_of", "_shift")

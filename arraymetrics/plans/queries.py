@@ -127,19 +127,24 @@ _add("d02_series_count", "points", stats.series_count, f"SELECT metric, count(*)
 _add("d03_metrics_by_resource", "raw", lambda d: stats.metrics_by_resource(_named(d), "SN02"), f"{_NAMED} SELECT resource, count(*) AS n, string_agg(DISTINCT metric, ',' ORDER BY metric) AS metrics FROM named WHERE sn = 'SN02' GROUP BY resource")
 _add("d04_stats", "points", lambda d: stats.stats(d, ["sn", "metric"], digits=9), f"SELECT sn, metric, {_agg()} FROM points GROUP BY ALL")
 _add("d05_percentile", "points", lambda d: stats.pct(d, ["sn", "metric"], 0.75).withColumn("value", F.round("value", 9)), "SELECT sn, metric, round(quantile_cont(value, 0.75), 9) AS value FROM points GROUP BY ALL")
-_add("d06_upper_median", "points", lambda d: d.groupBy("sn", "metric").agg(stats.upper_median().alias("value")), "SELECT sn, metric, percentile_disc(0.5) WITHIN GROUP (ORDER BY value DESC) AS value FROM points GROUP BY ALL")
+_add("d06_upper_median", "points", lambda d: stats.upper_median(d, ["sn", "metric"]), "SELECT sn, metric, percentile_disc(0.5) WITHIN GROUP (ORDER BY value DESC) AS value FROM points GROUP BY ALL")
 _add("d07_max_over_time", "points", lambda d: stats.max_over_time(d, ["sn", "metric"]), "SELECT sn, metric, max(value) AS value FROM points GROUP BY ALL")
 _add("d08_quantile_over_time", "points", lambda d: stats.quantile_over_time(d, ["sn", "metric"], 0.9).withColumn("value", F.round("value", 9)), f"SELECT sn, metric, round(max(v), 9) AS value FROM (SELECT {_SERIES}, quantile_cont(value, 0.9) AS v FROM points GROUP BY ALL) GROUP BY ALL")
 _BAND = """, b AS (SELECT sn, element, scrape_interval, max(value) FILTER (metric_id = '23') + max(value) FILTER (metric_id = '26') AS m, quantile_cont(value, 0.5) FILTER (metric_id = '23') + quantile_cont(value, 0.5) FILTER (metric_id = '26') AS q FROM points WHERE metric_id IN ('23', '26') GROUP BY ALL),
 band AS (SELECT sn, round(max(m), 9) AS max_total, round(max(q), 9) AS median_total FROM b GROUP BY sn)"""
 _add("d09_bandwidth_total", "points", lambda d: stats.bandwidth_total(d).select("sn", F.round("max_total", 9).alias("max_total"), F.round("median_total", 9).alias("median_total")), f"{_BAND} SELECT * FROM band")
+_add("d09_bandwidth_window", "points", lambda d: stats.bandwidth_total(d, dt.datetime(2024, 1, 8, 12), dt.datetime(2024, 1, 15, 6)).select("sn", F.round("max_total", 9).alias("max_total"), F.round("median_total", 9).alias("median_total")),
+     f"""{_BAND.replace("WHERE metric_id", "WHERE ts > TIMESTAMP '2024-01-08 06:00:00' AND ts <= TIMESTAMP '2024-01-15 06:00:00' AND metric_id")} SELECT * FROM band""")
 _add("d10_avg_over_time", "points", lambda d: stats.avg_over_time(d).withColumn("value", F.round("value", 9)), f"SELECT {_SERIES}, round(avg(value), 9) AS value FROM points GROUP BY ALL")
 _add("d11_time_range", "points", stats.time_range, "SELECT sn, epoch_us(min(ts)) // 1000 AS first_ms, epoch_us(max(ts)) // 1000 AS last_ms FROM points GROUP BY sn")
 _add("d12_arrays_metadata", "points", stats.arrays_metadata, "SELECT sn, min(scrape_interval) AS scrape_interval, CASE WHEN min(scrape_interval) = 60 THEN '1m' ELSE '5m' END AS label FROM points GROUP BY sn")
-_add("d13_last_value", "points", lambda d: stats.last_value(d, F.lit(_END), F.expr("INTERVAL 10 DAYS")), f"SELECT {_SERIES}, max_by(value, ts) AS value, epoch_us(max(ts)) AS ts FROM points WHERE ts <= TIMESTAMP '2024-01-20' AND ts > TIMESTAMP '2024-01-10' GROUP BY {_SERIES}")
+_add("d13_last_value", "points", lambda d: stats.last_value(d, _END, F.expr("INTERVAL 10 DAYS")), f"SELECT {_SERIES}, max_by(value, ts) AS value, epoch_us(max(ts)) AS ts FROM points WHERE ts <= TIMESTAMP '2024-01-20' AND ts > TIMESTAMP '2024-01-10' GROUP BY {_SERIES}")
 _GRID = f""", g AS (SELECT {_SERIES}, CAST(ceil((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-05')) / 3600000000) AS BIGINT) AS bucket, max_by(value, ts) AS value
 FROM points WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20' GROUP BY ALL), grid AS (SELECT {_SERIES}, epoch_us(TIMESTAMP '2024-01-05') + bucket * 3600000000 AS ts, value FROM g)"""
-_add("d14_query_range", "points", lambda d: stats.query_range(d, F.lit(_START), F.lit(_END), 3600, 9), f'{_GRID} SELECT {_SERIES}, min_by(value, ts) AS "first", max_by(value, ts) AS "last", {_agg()} FROM grid GROUP BY {_SERIES}')
+_add("d14_query_range", "points", lambda d: stats.query_range(d, _START, _END, 3600, 9), f'{_GRID} SELECT {_SERIES}, min_by(value, ts) AS "first", max_by(value, ts) AS "last", {_agg()} FROM grid GROUP BY {_SERIES}')
+_HOURS = f""", g AS (SELECT {_SERIES}, CAST(ceil((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-05')) / 3600000000) AS BIGINT) AS bucket, max_by(value, ts) AS value
+FROM points WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20' GROUP BY ALL), kg AS (SELECT sn, kpi, unit, g.value / divisor AS value FROM g JOIN kpis USING (metric_id))"""
+_add("d15_array_summary_grid", "points", lambda d: reports.array_summary(d, digits=9, reference=_END, lookback=15), f"{_HOURS}, w AS (SELECT sn, count(DISTINCT resource) AS n_resources, count(DISTINCT metric_id) AS n_metrics, epoch_us(min(ts)) AS first_ts, epoch_us(max(ts)) AS last_ts FROM points GROUP BY sn) SELECT * FROM (SELECT sn, kpi, unit, {_agg()} FROM kg GROUP BY ALL) JOIN w USING (sn)")
 _add("d15_array_summary", "points", lambda d: reports.array_summary(d, digits=9), f", w AS (SELECT sn, count(DISTINCT resource) AS n_resources, count(DISTINCT metric_id) AS n_metrics, epoch_us(min(ts)) AS first_ts, epoch_us(max(ts)) AS last_ts FROM points GROUP BY sn) SELECT * FROM (SELECT sn, kpi, unit, {_agg()} FROM kp GROUP BY ALL) JOIN w USING (sn)")
 _add("d16_performance_stats", "points", lambda d: reports.performance_stats(d, digits=9), f"SELECT sn, kpi, unit, {_agg()} FROM kp GROUP BY ALL")
 _add("d16_performance_stats_day", "points", lambda d: reports.performance_stats(d, start=_START, end=_END, period="day", digits=9), f"SELECT sn, kpi, unit, {_agg()} FROM kp WHERE ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20' AND hour(ts) BETWEEN 5 AND 18 GROUP BY ALL")
@@ -164,7 +169,12 @@ _add("d30_files_by_sn", "raw", lambda d: joins.files_by_sn(d.select(F.concat(F.l
 
 # ---- grids and periods
 _add("e01_renumber", "raw", lambda d: timegrid.renumber(joins.dedupe(d.drop("source_file"), "tie"), "resource_id", ["ts", "sn", "element", "metric_id"]).select("resource_id", "ts", "sn", "element", "metric_id", "no"), ", u AS (SELECT DISTINCT resource_id, ts, sn, element, metric_id FROM raw) SELECT resource_id, epoch_us(ts) AS ts, sn, element, metric_id, row_number() OVER (PARTITION BY resource_id ORDER BY u.ts, sn, element, metric_id) AS no FROM u")
-_add("e02_step_grid", "points", lambda d: timegrid.step_grid(d, F.lit(_START), F.lit(_END), 3600), f"{_GRID} SELECT * FROM grid")
+_add("e02_step_grid", "points", lambda d: timegrid.step_grid(d, _START, _END, 3600), f"{_GRID} SELECT * FROM grid")
+
+_add("e02_step_grid_lookback", "points", lambda d: timegrid.step_grid(d, _START, _END, 3600, 7200),
+     f""", g AS (SELECT {_SERIES}, ts, value, epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-05') AS m FROM points WHERE ts > TIMESTAMP '2024-01-04 22:00:00' AND ts <= TIMESTAMP '2024-01-20'),
+     b AS (SELECT *, unnest(range(greatest(CAST(ceil(m / 3600000000) AS BIGINT), 0), least(CAST(ceil((m + 7200000000) / 3600000000) AS BIGINT), 361))) AS bucket FROM g)
+     SELECT {_SERIES}, epoch_us(TIMESTAMP '2024-01-05') + bucket * 3600000000 AS ts, max_by(value, b.ts) AS value FROM b GROUP BY {_SERIES}, bucket""")
 
 
 def _spans(d: DataFrame) -> DataFrame:
@@ -174,7 +184,7 @@ def _spans(d: DataFrame) -> DataFrame:
 _SPANS = ", s AS (SELECT sn, element, (epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000 AS days, max(ts) AS last FROM points GROUP BY ALL)"
 _add("e03_adaptive_step", "points", lambda d: _spans(d).select("sn", "element", *(timegrid.adaptive_step(F.col("days"), k).alias(k) for k in timegrid.LADDERS)), f"{_SPANS} SELECT sn, element, CASE WHEN days <= 14 THEN 300 WHEN days <= 45 THEN 600 ELSE 3600 END AS performance, CASE WHEN days <= 7 THEN 300 WHEN days <= 30 THEN 900 WHEN days <= 90 THEN 3600 ELSE 21600 END AS outliers, CASE WHEN days <= 45 THEN 300 ELSE 600 END AS report, CASE WHEN days <= 14 THEN 60 ELSE 300 END AS rw_ratio FROM s")
 _add("e04_last_full_week", "points", lambda d: _spans(d).select("sn", "element", timegrid.last_full_week(F.col("last"))[0].alias("start_ts"), timegrid.last_full_week(F.col("last"))[1].alias("end_ts")), f"{_SPANS} SELECT sn, element, epoch_us(date_trunc('week', last)) - 604800000000 AS start_ts, epoch_us(date_trunc('week', last)) - 1000000 AS end_ts FROM s")
-_add("e05_effective_date", "points", lambda d: _spans(d).select("sn", "element", timegrid.effective_date(F.col("last"), F.when(F.col("sn") < "SN05", F.lit(dt.datetime(2024, 1, 29))), _END).alias("at")), f"{_SPANS} SELECT sn, element, epoch_us(CASE WHEN sn < 'SN05' THEN least(last, TIMESTAMP '2024-01-29') ELSE last END) AS at FROM s")
+_add("e05_effective_date", "points", lambda d: _spans(d).select("sn", "element", timegrid.effective_date(F.col("last"), F.when(F.col("sn") < "SN05", select.as_column(dt.datetime(2024, 1, 29))), _END).alias("at")), f"{_SPANS} SELECT sn, element, epoch_us(CASE WHEN sn < 'SN05' THEN least(last, TIMESTAMP '2024-01-29') ELSE last END) AS at FROM s")
 _add("e06_last_datapoint", "points", timegrid.last_datapoint, "SELECT sn, epoch_us(max(ts)) AS last_ts FROM points GROUP BY sn")
 _add("e07_data_period", "points", lambda d: timegrid.data_period(d, "68", _START, _END).withColumn("days", F.round("days", 9)), "SELECT sn, epoch_us(min(ts)) AS first_ts, epoch_us(max(ts)) AS last_ts, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 86400000000, 9) AS days FROM points WHERE metric_id = '68' AND ts BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-20' GROUP BY sn")
 _add("e08_available_range", "points", lambda d: timegrid.available_range(d.where("sn < 'SN04' OR ts < TIMESTAMP '2024-01-10'"), dt.datetime(2024, 1, 15), _END, _END),
@@ -231,6 +241,7 @@ SELECT *, CASE metric WHEN 'ecc_total' THEN CASE WHEN value >= 50 THEN 'red' WHE
 
 # ---- top-k and sets
 _add("g01_top_loaded", "points", lambda d: reports.top_loaded(d, "latency_read", 5, digits=9), f", t AS (SELECT sn, {_agg()} FROM kp WHERE kpi = 'latency_read' GROUP BY sn) SELECT *, coalesce(nullif(p95, 0), nullif(\"max\", 0), 0) AS load FROM t ORDER BY load DESC, sn LIMIT 5")
+_add("g01_top_loaded_grid", "points", lambda d: reports.top_loaded(d, "latency_read", 5, _START, _END, 9, step=3600), f"{_HOURS}, t AS (SELECT sn, {_agg()} FROM kg WHERE kpi = 'latency_read' GROUP BY sn) SELECT *, coalesce(nullif(p95, 0), nullif(\"max\", 0), 0) AS load FROM t ORDER BY load DESC, sn LIMIT 5")
 _add("g02_outliers", "points", lambda d: reports.outliers(d, 1.2),
      f""", p AS (SELECT sn, metric_id, quantile_cont(value, 0.95) AS p95 FROM points GROUP BY ALL), f AS (SELECT points.*, p95 FROM points JOIN p USING (sn, metric_id) WHERE value > p95 * 1.2),
      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY sn, metric_id ORDER BY value DESC, ts, element) AS INTEGER) AS rank, count(*) OVER (PARTITION BY sn, metric_id) AS n_outliers FROM f) SELECT sn, metric_id, element, {_TS}, value, round(p95, 9) AS p95, rank, n_outliers FROM r WHERE rank <= 50""")

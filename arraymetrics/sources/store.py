@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import utc_date
 from ..model import POINTS
 
 
 def write_points(df: DataFrame, path: str, mode: str = "append") -> None:
     """Rows of one day meet in one task for each array, so that a load leaves few files; large days are split by element."""
-    df = df.withColumn("dt", F.to_date("ts"))
+    df = df.withColumn("dt", utc_date(F.col("ts")))
     df.repartition("dt", "sn", "element").sortWithinPartitions("dt", "sn", "ts").write.partitionBy("dt", "sn").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(path)
 
 

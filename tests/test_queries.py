@@ -5,7 +5,8 @@ import duckdb
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
-from arraymetrics.plans import queries
+from arraymetrics.operators import reports
+from arraymetrics.plans import adapters, queries
 
 SF = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -43,6 +44,7 @@ def test_suggestions(spark):
 @pytest.mark.skipif(not SF.exists(), reason="no test tables")
 def test_plans(spark):
     plan = lambda n: queries.QUERIES[n](spark, str(SF))._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan("d16_performance_stats") and "BroadcastHashJoin" in plan("d16_performance_stats")
+    kpis = reports.kpi_points(adapters.points(spark, str(SF)))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in kpis and "BroadcastHashJoin" in kpis
     assert "TakeOrderedAndProject" in plan("g01_top_loaded")
     assert "props" not in plan("d04_stats")
