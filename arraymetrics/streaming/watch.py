@@ -3,36 +3,47 @@
 from __future__ import annotations
 
 import re
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..sources.archive import FILES, decode, ingested, quarantine, scan_tgz, scan_zip_members
+from ..sources.store import read_points, write_points
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def watch(spark: SparkSession, folder: str, prefix: str = "PerfData_", most_files: int = 100, clean: str = "off", archive: str | None = None) -> DataFrame:
     """New .tgz files below a folder, oldest first, each read once (the checkpoint remembers). Empty files wait
-    for nothing: they are left out; files should land by rename. ``clean``: off, delete or archive."""
+    for nothing: they are left out; files should land by rename (``uploads`` waits for files that grow). ``clean``: off, delete or archive."""
     reader = spark.readStream.format("binaryFile").schema(_FILE).option("pathGlobFilter", f"{prefix}*.tgz").option("recursiveFileLookup", True)
     reader = reader.option("maxFilesPerTrigger", most_files).option("latestFirst", False).option("cleanSource", clean)
     if archive:
         reader = reader.option("sourceArchiveDir", archive)
-    return reader.load(folder).where("length > 0").select("path", F.lit(None).cast("string").alias("member"), "content")
+    return reader.load(folder).where("length > 0").select("path", F.lit(None).cast("string").alias("member"), "content", F.lit(None).cast("string").alias("problem"))
 
 
-def stream_points(files: DataFrame, metrics: DataFrame, resources: DataFrame, out: str, bad: str, checkpoint: str, seconds: int | None = None) -> StreamingQuery:
-    """Decode and append. Each batch's points and unreadable files go to folders named by the batch, so that a batch that runs
-    again replaces what it wrote. ``seconds`` None: take what is there, then end."""
+def stream_points(files: DataFrame, metrics: DataFrame, resources: DataFrame, out: str, bad: str, checkpoint: str, seconds: float | None = None, totals: str | None = None) -> StreamingQuery:
+    """Decode and append to the store ``out``. Each batch is one load under the number of the batch and the name of the checkpoint, which takes the place of
+    what the same batch wrote before, so a batch that runs twice leaves one copy; its unreadable files and its counts go to folders named by the batch.
+    ``seconds`` None: take what is there, then end. ``totals``: folder of the counts, by default beside the checkpoint."""
+    totals = totals or f"{checkpoint.rstrip('/')}-totals"
 
     def load(batch: DataFrame, number: int) -> None:
-        blocks = decode(batch).persist()  # both tables come from one decoding
+        blocks = decode(batch).persist()  # points and lost files come from one decoding
         try:
             points, lost = ingested(blocks, metrics, resources)
-            points.write.mode("overwrite").parquet(f"{out}/batch={number}")
+            seen = Observation(f"load-{uuid.uuid4().hex}")
+            points = points.observe(seen, F.count("*").alias("points"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+            write_points(points, out, source=checkpoint, batch=number)
             lost.write.mode("overwrite").parquet(f"{bad}/batch={number}")
+            bound = {k: F.lit(seen.get[k]) for k in ("points", "first_ts", "last_ts")}
+            each = blocks.groupBy("path", "member").agg(F.bool_or(F.col("reason").isNotNull()).alias("failed"))
+            row = each.agg(F.count_if(~F.col("failed")).alias("processed"), F.count_if("failed").alias("failed"))
+            row = row.select("processed", "failed", bound["points"].cast("long").alias("points"), bound["first_ts"].cast("timestamp").alias("first_ts"), bound["last_ts"].cast("timestamp").alias("last_ts"))
+            row.coalesce(1).write.mode("overwrite").parquet(f"{totals}/batch={number}")
         finally:
             blocks.unpersist()
 
@@ -41,9 +52,13 @@ def stream_points(files: DataFrame, metrics: DataFrame, resources: DataFrame, ou
 
 
 def read_stream_points(spark: SparkSession, out: str) -> DataFrame:
-    from ..model import POINTS
+    return read_points(spark, out)
 
-    return spark.read.schema(POINTS).parquet(f"{out}/batch=*")
+
+def running_totals(spark: SparkSession, checkpoint: str, totals: str | None = None) -> DataFrame:
+    """I8: batches, files processed and failed, points and their extent of a load since it first began, over all restarts."""
+    rows = spark.read.schema("processed long, failed long, points long, first_ts timestamp, last_ts timestamp, batch long").parquet(totals or f"{checkpoint.rstrip('/')}-totals")
+    return rows.agg(F.count("*").alias("batches"), F.sum("processed").alias("processed"), F.sum("failed").alias("failed"), F.sum("points").alias("points"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"))
 
 
 def counters(points: DataFrame, lost: DataFrame) -> DataFrame:

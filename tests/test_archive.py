@@ -53,8 +53,8 @@ def test_zip_ingest_names_and_store(spark, tmp_path):
     back = store.read_points(spark, str(tmp_path / "store"))
     assert back.count() == 6
     assert "PartitionFilters: [isnotnull(" in back.where("sn = 'SN9'")._jdf.queryExecution().executedPlan().toString()
-    store.delete_points(spark, str(tmp_path / "store"), str(tmp_path / "less"), F.col("metric_id") == "511")
-    assert store.read_points(spark, str(tmp_path / "less")).count() == 3
+    store.delete_points(spark, str(tmp_path / "store"), selector=F.col("metric_id") == "511")
+    assert store.read_points(spark, str(tmp_path / "store")).count() == 3
 
 
 def test_text_formats_round_trip(spark, tmp_path):
