@@ -51,7 +51,7 @@ def file_fields(path: Column) -> Column:
     name = F.element_at(F.split(path, "/"), -1)
     pattern = r"PerfData_(.+?)_SN_([0-9A-Z]+)_SP(\d+)_\d+_(\d{14})"
     part = lambda i: F.regexp_extract(name, pattern, i)
-    stamp = F.to_timestamp(F.nullif(part(4), F.lit("")), "yyyyMMddHHmmss")
+    stamp = F.try_to_timestamp(F.concat(F.nullif(part(4), F.lit("")), F.lit("+00:00")), F.lit("yyyyMMddHHmmssxxx"))
     sn = F.regexp_extract(name, r"_SN_([0-9A-Z]+)_SP\d+", 1)
     return F.named_struct(F.lit("model"), part(1), F.lit("sn"), sn, F.lit("sp"), F.nullif(part(3), F.lit("")).cast("int"), F.lit("dumped"), stamp)
 
@@ -66,12 +66,12 @@ def sn_of(member: Column, archive: Column) -> Column:
 
 def iso(ts: Column) -> Column:
     """UTC text of a timestamp, with a Z."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.concat(F.date_format(utc_date(ts), "yyyy-MM-dd"), F.lit("T"), _clock(ts), F.lit("Z"))
 
 
 def us_date(ts: Column) -> Column:
     """as wide exports print it."""
-    return F.date_format(ts, "MM/dd/yy HH:mm:ss")
+    return F.concat(F.date_format(utc_date(ts), "MM/dd/yy"), F.lit(" "), _clock(ts))
 
 
 def header_text(name: str) -> str:
@@ -84,6 +84,12 @@ def utc_date(ts: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
 
 
+def _clock(ts: Column) -> Column:
+    """HH:mm:ss in UTC."""
+    s = F.pmod(F.unix_seconds(ts), F.lit(86_400))
+    return F.concat_ws(":", *(F.lpad(F.floor(x).cast("string"), 2, "0") for x in (s / 3600, s % 3600 / 60, s % 60)))
+
+
 def utc_hour(ts: Column) -> Column:
     """The hour of a moment in UTC, whatever the session's zone is."""
     return F.pmod(F.floor(F.unix_seconds(ts) / 3_600), F.lit(24)).cast("int")

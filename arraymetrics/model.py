@@ -40,12 +40,19 @@ METRICS = [
 ]
 RESOURCES = [("207", "Controller"), ("10", "Disk"), ("11", "LUN"), ("21", "Host"), ("212", "FC port"), ("216", "Storage pool"), ("225", "File system"), ("266", "Disk domain")]
 
-#: Wide export: resource id, file name, row prefix, ordered metric ids. A seed; users hand in their own.
-WIDE = [
-    ("207", "controllers", "CTL", ["68", "22", "511"]),
-    ("10", "disks", "DSK", ["22", "384", "1090"]),
-    ("11", "luns", "LUN", ["22", "384", "1164", "1090"]),
+#: Wide export, fixed values: resource id, file, row prefix, and the meta columns with a constant, or @ and where the value comes from.
+WIDE_META = [
+    ("207", "cpu_output.csv", "CPUPERF", [("Serial", "@sn"), ("Slot", "@slot"), ("Type", "'CPU'")]),
+    ("10", "disk_output.csv", "RGPERF", [("Serial", "@sn"), ("MpCnt", "'1'"), ("Rg", "@element"), ("PgCnt", "'1'"), ("LdCnt", "'1'"), ("Alias", "'-'")]),
+    ("11", "lun_output.csv", "LDEVPERF", [("Serial", "@sn"), ("DefMp", "'?'"), ("DaCnt", "'1'"), ("Rg", "'01-01'"), ("Ld", "@element"), ("Alias", "'-'")]),
+    ("21", "host_output.csv", "HAPERF", [("Serial", "@sn"), ("DefMp", "'1'"), ("DaCnt", "'1'"), ("RgCnt", "'1'"), ("PgCnt", "'1'"), ("Alias", "@element")]),
+    ("212", "fcp_output.csv", "PORTPERF", [("Serial", "@sn"), ("Slot", "'1'"), ("Port", "@element"), ("Mode", "'Tgt'"), ("Alias", "'---'")]),
+    ("216", "pool_output.csv", "POOLPERF", [("Serial", "@sn"), ("Mode", "'AOU'"), ("Alias", "@element"), ("State", "'POLN'"), ("Alias2", "@element")]),
+    ("266", "disk_domain_output.csv", "DISKDOMAIN", [("Serial", "@sn"), ("Domain", "@element"), ("Alias", "@element")]),
+    ("225", "fc_repl_link_output.csv", "FCREPLLINK", [("Serial", "@sn"), ("Link", "@element"), ("Alias", "@element")]),
 ]
+#: Ordered metric ids of each: a seed; users hand in their own (``config.load_wide``).
+WIDE = {"207": ["68", "22", "511"], "10": ["22", "384", "1090"], "11": ["22", "384", "1164", "1090"], "21": ["22", "384"], "212": ["511", "22"], "216": ["1164", "22"], "266": ["22"], "225": ["511"]}
 
 #: model, kpi, warning, critical.
 THRESHOLDS = [("SN00", "cpu", 300.0, 420.0), ("_default", "cpu", 350.0, 450.0), ("_default", "bandwidth_read", 300.0, 480.0), ("_default", "latency_read", 0.3, 0.46)]
@@ -64,7 +71,7 @@ def resource_dim(spark: SparkSession) -> DataFrame:
 
 
 def wide_dim(spark: SparkSession) -> DataFrame:
-    rows = [(r, m, i) for r, _, _, ids in WIDE for i, m in enumerate(ids)]
+    rows = [(r, m, i) for r, ids in WIDE.items() for i, m in enumerate(ids)]
     return spark.createDataFrame(rows, "resource_id string, metric_id string, place int")
 
 

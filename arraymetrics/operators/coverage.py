@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import difflib
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -37,16 +38,43 @@ def _similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def _letters(name: Column) -> Column:
+    """The letters of a name, told apart by how often each came before: equal sets are equal multisets of letters. An empty name has one of its own."""
+    ordered = F.array_sort(F.split(name, ""))
+    return F.when(name == "", F.array(F.lit(""))).otherwise(F.transform(ordered, lambda x, i: F.concat(x, (i + 1 - F.array_position(ordered, x)).cast("string"))))
+
+
 def suggest(missing: DataFrame, available: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The most similar available name of each missing one, at ``threshold`` at least; ties go to the smaller name.
+    """The most similar available name of each missing one, at ``threshold`` (above 0) at least; ties go to the smaller name.
 
-    The similarity 2 M / (m + n) can only reach the threshold if the lengths allow it, and at high thresholds if the names share two
-    letters in a row; names are joined on these, so that no name meets all others.
+    The similarity of names of m and n letters is 2 M / (m + n), where M is no more than the letters that they have in common. So a name shares at least
+    threshold * m / (2 - threshold) letters with any that is near enough, and two such names share one of their rarest letters: names are joined
+    on as many of these as that asks for, and pairs that don't have the letters in common are dropped before they are compared.
     """
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 1, F.lit(1))), lambda i: F.substr(c, i, F.lit(2))))
-    m = missing.select(F.col("metric").alias("name")).distinct().withColumn("gram", F.explode(grams(F.col("name"))))
-    a = available.select(F.col("metric").alias("other")).distinct().withColumn("gram", F.explode(grams(F.col("other"))))
-    x, y = F.length("name"), F.length("other")
-    pairs = m.join(a, "gram").select("name", "other").distinct().where(2 * F.least(x, y) >= threshold * (x + y))
+    if threshold <= 0:
+        raise ValueError("threshold must be above 0")
+    one = lambda df, name: df.select(F.col("metric").alias(name)).where(F.col("metric").isNotNull()).distinct().withColumn("letters", _letters(F.col(name)))
+    m, a = one(missing, "name"), one(available, "other")
+    often = m.select(F.explode("letters").alias("letter")).unionAll(a.select(F.explode("letters").alias("letter"))).groupBy("letter").agg(F.count("*").alias("often"))
+
+    def rare(df: DataFrame, name: str) -> DataFrame:
+        n = F.length(name)
+        most = n - F.ceil(F.lit(threshold / (2 - threshold)) * n - 1e-9).cast("int") + 1
+        each = df.select(name, "letters", F.explode("letters").alias("letter")).join(often, "letter")
+        firsts = each.groupBy(name).agg(F.first("letters").alias("letters"), F.slice(F.array_sort(F.collect_list(F.struct("often", "letter"))), F.lit(1), F.greatest(most, F.lit(1))).alias("rare"))
+        return firsts.select(name, F.col("letters").alias(f"{name}_letters"), F.explode("rare.letter").alias("letter"))
+
+    both = rare(m, "name").join(rare(a, "other"), "letter")
+    enough = 2 * F.size(F.array_intersect("name_letters", "other_letters")) >= F.lit(threshold) * (F.length("name") + F.length("other")) - 1e-9
+    pairs = both.where(enough | ((F.col("name") == "") & (F.col("other") == ""))).select("name", "other").distinct()
     scored = pairs.withColumn("ratio", _similarity("name", "other")).where(F.col("ratio") >= threshold)
-    return scored.groupBy("name").agg(F.min(F.struct((-F.col("ratio")).alias("r"), F.col("other"))).alias("s")).select(F.col("name").alias("metric"), F.col("s.other").alias("suggestion"), F.round(-F.col("s.r"), 6).alias("ratio"))
+    best = scored.groupBy("name").agg(F.min(F.struct((-F.col("ratio")).alias("r"), F.col("other"))).alias("s"))
+    return best.select(F.col("name").alias("metric"), F.col("s.other").alias("suggestion"), F.round(-F.col("s.r"), 6).alias("ratio"))
+
+
+def metric_sets(expected: DataFrame, available: DataFrame) -> DataFrame:
+    """H2, H3: resource, metric and the part of the two sets that holds it: missing (expected only), extra (available only) or both."""
+    keys = ["resource", "metric"]
+    e, a = expected.select(*keys).distinct(), available.select(*keys).distinct()
+    parts = {"missing": e.exceptAll(a), "extra": a.exceptAll(e), "both": e.intersect(a)}
+    return reduce(DataFrame.unionAll, (df.withColumn("part", F.lit(n)) for n, df in parts.items()))

@@ -8,12 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.names import conversion, sanitise, unit_of
 
 
-def load_dims(spark, path: str) -> tuple[DataFrame, DataFrame]:
-    """The metric and resource dictionaries in ``path``: metrics.csv (metric_id, display_name, divisor) and resources.csv."""
-    read = lambda name, schema: spark.read.schema(schema).option("header", True).csv(f"{path}/{name}")
-    return read("metrics.csv", "metric_id string, display_name string, divisor double"), read("resources.csv", "resource_id string, resource string")
-
-
 def named_metrics(dim: DataFrame, prefix: str = "") -> DataFrame:
     """The metric dictionary with the sanitised name, worked out once for each entry."""
     return dim.withColumn("metric", sanitise(F.col("display_name"), prefix))
@@ -107,3 +101,22 @@ def batch_summary(results: DataFrame) -> DataFrame:
         F.count("*").alias("total"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") == "failed").alias("failed"),
         F.count_if(F.col("status") == "skipped").alias("skipped"), F.count_if(F.col("n_points") > 0).alias("with_data"), F.round(F.avg("seconds"), 9).alias("avg_seconds"),
     )
+
+
+def merge_by_resource(parts: list[DataFrame], order: list[str]) -> DataFrame:
+    """H4: the rows of several files, parted by resource: those of earlier files first, each file's in its own ``order``. ``part`` is the file's number, ``place`` the row's
+    number in its resource. No resource meets in one task."""
+    from .timegrid import renumber
+
+    out = parts[0].withColumn("part", F.lit(0))
+    for n, p in enumerate(parts[1:], 1):
+        out = out.unionByName(p.withColumn("part", F.lit(n)))
+    return renumber(out, "resource_id", ["part", *order]).withColumnRenamed("no", "place")
+
+
+def union_points(*parts: DataFrame) -> DataFrame:
+    """H1: the points of several sources, by name of column; columns that some lack are null there."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

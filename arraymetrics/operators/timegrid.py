@@ -53,7 +53,8 @@ def adaptive_step(days: Column, ladder: str) -> Column:
 
 def last_full_week(at: Column) -> tuple[Column, Column]:
     """Monday 00:00:00 and Sunday 23:59:59 of the last week that is over; on a Sunday the week before."""
-    start = F.date_trunc("week", at) - F.expr("INTERVAL 7 DAYS")
+    day = F.floor(F.unix_seconds(at) / 86_400)
+    start = F.timestamp_seconds((day - F.pmod(day + 3, F.lit(7)) - 7) * 86_400)  # day 0 was a Thursday
     return start, start + F.expr("INTERVAL '6 23:59:59' DAY TO SECOND")
 
 

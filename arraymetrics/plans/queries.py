@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import names, rules
 from ..model import metric_dim, resource_dim, wide_dim
 from ..operators import coverage, health, joins, reports, select, stats, timegrid
-from ..sources import store, text
+from ..sources import config, scratch, store, text
 from . import adapters
 from .adapters import HEALTH_SQL, POINTS_SQL, RAW_SQL, sanitise_sql
 
@@ -63,8 +65,8 @@ _NAMED = f""", named AS (SELECT raw.*, coalesce(names.metric, {_UNKNOWN}) AS met
 _add("b01_select_ids", "raw", lambda d: select.select_ids(d, ["207", "10", "99"], ["22", "511", "98765"], False, (_dims(d)[1], _dims(d)[0])).select("sn", "resource_id", "metric_id", "tie", "value"),
      "SELECT sn, resource_id, metric_id, tie, value FROM raw WHERE resource_id IN ('207', '10') AND metric_id IN ('22', '511')")
 _add("b03_invalid_ids", "raw", lambda d: select.invalid_ids(d.select("metric_id").distinct(), metric_dim(d.sparkSession), "metric_id"), "SELECT DISTINCT metric_id FROM raw WHERE metric_id NOT IN (SELECT metric_id FROM dim_metric)")
-_add("b04_select_wide", "raw", lambda d: select.select_wide(d, wide_dim(d.sparkSession)).groupBy("resource_id", "metric_id").agg(F.count("*").alias("n")),
-     "SELECT resource_id, metric_id, count(*) AS n FROM raw WHERE (resource_id, metric_id) IN (('207','68'),('207','22'),('207','511'),('10','22'),('10','384'),('10','1090'),('11','22'),('11','384'),('11','1164'),('11','1090')) GROUP BY ALL")
+_WIDE_SQL = "SELECT resource_id, unnest(ids) AS metric_id FROM (VALUES ('207', ['68','22','511']), ('10', ['22','384','1090']), ('11', ['22','384','1164','1090']), ('21', ['22','384']), ('212', ['511','22']), ('216', ['1164','22']), ('266', ['22']), ('225', ['511'])) t(resource_id, ids)"
+_add("b04_select_wide", "raw", lambda d: select.select_wide(d, wide_dim(d.sparkSession)).groupBy("resource_id", "metric_id").agg(F.count("*").alias("n")), f"SELECT resource_id, metric_id, count(*) AS n FROM raw SEMI JOIN ({_WIDE_SQL}) USING (resource_id, metric_id) GROUP BY ALL")
 _add("b05_select_labels", "points", lambda d: select.select_labels(d, sn="SN03", element=None).select("sn", "element", "metric", "ts", "value"), f"SELECT sn, element, metric, {_TS}, value FROM points WHERE sn = 'SN03'")
 _add("b06_select_health", "health", lambda d: select.select_labels(d, sn="SN01", bbu_id="B1").select("sn", "metric", "ts", "value"), f"SELECT sn, metric, {_TS}, value FROM health WHERE sn = 'SN01' AND bbu_id = 'B1'")
 _add("b07_match_labels", "points", lambda d: select.match_labels(d, sn="SN0[1-3]", metric=".*bandwidth.*", element=".+").groupBy("sn", "metric").agg(F.count("*").alias("n")), "SELECT sn, metric, count(*) AS n FROM points WHERE regexp_full_match(sn, 'SN0[1-3]') AND contains(metric, 'bandwidth') GROUP BY ALL")
@@ -73,8 +75,43 @@ _add("b09_time_of_day", "points", lambda d: select.time_of_day(d, "night").group
 _add("b10_present", "raw", lambda d: select.present(d.withColumn("value", F.when(F.col("value") < 20000, float("nan")).when(F.col("value") < 30000, None).otherwise(F.col("value")))).groupBy("sn").agg(F.count("*").alias("n")), "SELECT sn, count(*) AS n FROM raw WHERE value >= 30000 GROUP BY sn")
 _add("b11_nonzero", "health", lambda d: select.nonzero(stats.last_value(d.where("metric = 'smart_pending_sectors'"), keys=["sn", "disk_id"])).select("sn", "disk_id", "value"), "SELECT sn, disk_id, max_by(value, ts) AS value FROM health WHERE metric = 'smart_pending_sectors' GROUP BY ALL HAVING max_by(value, ts) > 0")
 _add("b13_search_metrics", "points", lambda d: select.search_metrics(d, "Bandwidth"), "SELECT DISTINCT metric FROM points WHERE contains(lower(metric), 'bandwidth')")
-_add("b14_wide_meta", "raw", lambda d: text.wide_meta(d, "CTL").groupBy("resource_id", "slot", "prefix").agg(F.min("BgnDateTime").alias("first"), F.count("*").alias("n")),
-     "SELECT resource_id, CASE WHEN resource_id = '207' THEN replace(replace(element, 'CTE', ''), '-', '') ELSE element END AS slot, 'CTL' AS prefix, min(strftime(ts, '%m/%d/%y %H:%M:%S')) AS \"first\", count(*) AS n FROM raw GROUP BY ALL")
+
+
+def _meta_lines(d: DataFrame) -> DataFrame:
+    """The meta columns of every resource's rows, as one text."""
+    parts = []
+    for w in config.seed_wide():
+        own = text.wide_meta(d.where(F.col("resource_id") == w.resource_id), w)
+        parts.append(own.groupBy(F.col("resource_id"), F.lit(w.prefix).alias("prefix"), F.concat_ws(",", *(f"meta_{n}" for n, _ in w.meta)).alias("meta")).agg(F.min("BgnDateTime").alias("first"), F.count("*").alias("n")))
+    return functools.reduce(DataFrame.unionAll, parts)
+
+
+def _with_more(d: DataFrame) -> DataFrame:
+    """Raw points with those of the unknown resource dealt to two that the tables lack, and elements named as controllers are."""
+    more = F.when(F.col("resource_id") == "99", F.when(F.col("element") < "E5", "266").otherwise("225")).otherwise(F.col("resource_id"))
+    return d.withColumn("resource_id", more).withColumn("element", F.concat(F.lit("CTE"), F.col("element"), F.lit("-A")))
+
+
+_MORE = """, more AS (SELECT * REPLACE (CASE WHEN resource_id = '99' THEN CASE WHEN element < 'E5' THEN '266' ELSE '225' END ELSE resource_id END AS resource_id, 'CTE' || element || '-A' AS element) FROM raw),
+cfg AS (SELECT * FROM (VALUES ('207','CPUPERF'),('10','RGPERF'),('11','LDEVPERF'),('21','HAPERF'),('212','PORTPERF'),('216','POOLPERF'),('266','DISKDOMAIN'),('225','FCREPLLINK')) t(resource_id, prefix)),
+lines AS (SELECT more.*, prefix, sn || ',' || replace(CASE resource_id WHEN '207' THEN replace(replace(element, 'CTE', ''), '-', '') || ',~CPU~' WHEN '10' THEN '~1~,' || element || ',~1~,~1~,~-~' WHEN '11' THEN '~?~,~1~,~01-01~,' || element || ',~-~'
+  WHEN '21' THEN '~1~,~1~,~1~,~1~,' || element WHEN '212' THEN '~1~,' || element || ',~Tgt~,~---~' WHEN '216' THEN '~AOU~,' || element || ',~POLN~,' || element ELSE element || ',' || element END, '~', chr(39)) AS meta FROM more JOIN cfg USING (resource_id))"""
+_add("b14_wide_meta", "raw", lambda d: _meta_lines(_with_more(d)), f"{_MORE} SELECT resource_id, prefix, meta, min(strftime(ts, '%m/%d/%y %H:%M:%S')) AS \"first\", count(*) AS n FROM lines GROUP BY ALL")
+
+
+def _wide_lines(d: DataFrame) -> DataFrame:
+    """The lines of all wide files."""
+    wides = config.seed_wide()
+    rows = text.wide_rows(_with_more(d), wides)
+    files = ((w, text.wide(rows, w)) for w in wides)
+    return functools.reduce(DataFrame.unionAll, (f.toDF(*(f"c{i}" for i in range(len(f.columns)))).select(F.lit(w.resource_id).alias("resource_id"), F.concat_ws(",", *(F.col(f"c{i}").cast("string") for i in range(len(f.columns)))).alias("line")) for w, f in files))
+
+
+_add("a11_wide_csv", "raw", _wide_lines,
+     f"""{_MORE}, ids AS ({_WIDE_SQL.replace("unnest(ids) AS metric_id", "ids")}), wide AS (SELECT resource_id, prefix, sn, element, lines.ts, meta, map_from_entries(list((metric_id, value))) AS vs
+     FROM (SELECT resource_id, prefix, sn, element, ts, meta, metric_id, max(value) AS value FROM lines SEMI JOIN ({_WIDE_SQL}) USING (resource_id, metric_id) GROUP BY ALL) AS lines GROUP BY ALL)
+     SELECT resource_id, prefix || ',' || row_number() OVER (PARTITION BY resource_id ORDER BY wide.ts, element, sn) || ',' || strftime(ts, '%m/%d/%y %H:%M:%S') || ',' || strftime(ts, '%m/%d/%y %H:%M:%S') || ',' || meta || ',' || list_aggregate(list_transform(ids, lambda m: coalesce(CAST(vs[m] AS VARCHAR), '0')), 'string_agg', ',') AS line
+     FROM wide JOIN ids USING (resource_id)""")
 _add("b15_lookup", "raw", lambda d: select.lookup(d, "10", "22", "E3", dt.datetime(1996, 1, 2)).unionByName(select.select_labels(d, resource_id="10", metric_id="22", element="E3")).select("sn", "ts", "value"),
      f"SELECT sn, {_TS}, value FROM raw WHERE resource_id = '10' AND metric_id = '22' AND element = 'E3' UNION ALL SELECT sn, {_TS}, value FROM raw WHERE resource_id = '10' AND metric_id = '22' AND element = 'E3' AND ts = TIMESTAMP '1996-01-02'")
 
@@ -107,11 +144,33 @@ _COV = """, e AS (SELECT DISTINCT resource, metric FROM points UNION SELECT DIST
 a AS (SELECT DISTINCT resource, metric FROM points WHERE NOT (metric_id = '68' AND resource = 'Controller')),
 cov AS (SELECT coalesce(e.resource, a.resource) AS resource, coalesce(e.metric, a.metric) AS metric, CASE WHEN e.metric IS NULL THEN 'extra' WHEN a.metric IS NULL THEN 'missing' ELSE 'ok' END AS status FROM e FULL JOIN a USING (resource, metric))"""
 _add("c06_coverage", "points", _cov, f"{_COV} SELECT * FROM cov")
-_add("c07_suggest", "points", lambda d: coverage.suggest(_cov(d).where("status = 'missing'"), _available(d)), None)
+_add("c07_suggest", "points", lambda d: coverage.suggest(_cov(d).where("status = 'missing'"), _available(d), 0.5),
+     # the longest common run of two stretches (the first of several), then those of what stands before and behind it
+     f"""{_COV.replace(", e AS", ", RECURSIVE_MARK e AS", 1)}, pairs AS (SELECT DISTINCT m.metric AS name, p.metric AS other FROM (SELECT metric FROM cov WHERE status = 'missing') m, (SELECT metric FROM a) p),
+     cell AS (SELECT name, other, i, j FROM pairs, unnest(range(1, length(name) + 1)) AS x(i), unnest(range(1, length(other) + 1)) AS y(j) WHERE name[i:i] = other[j:j]),
+     isle AS (SELECT *, i - row_number() OVER (PARTITION BY name, other, i - j ORDER BY i) AS g FROM cell),
+     run AS (SELECT name, other, i, j, max(i) OVER (PARTITION BY name, other, i - j, g) - i + 1 AS k FROM isle),
+     seg AS (SELECT name, other, 1 AS al, length(name) + 1 AS ah, 1 AS bl, length(other) + 1 AS bh, 0 AS k FROM pairs
+       UNION ALL
+       SELECT name, other, unnest([al, m.k - m.ni]) AS al, unnest([-m.ni, ah]) AS ah, unnest([bl, m.k - m.nj]) AS bl, unnest([-m.nj, bh]) AS bh, unnest([m.k, 0]) AS k
+       FROM (SELECT seg.name, seg.other, al, ah, bl, bh, max({{'k': least(run.k, ah - i, bh - j), 'ni': -i, 'nj': -j}}) AS m
+             FROM seg JOIN run ON run.name = seg.name AND run.other = seg.other AND i >= al AND i < ah AND j >= bl AND j < bh GROUP BY ALL)),
+     score AS (SELECT name, other, 2.0 * sum(k) / (length(name) + length(other)) AS r FROM seg GROUP BY name, other)
+     SELECT name AS metric, arg_min(other, (-r, other)) AS suggestion, round(max(r), 6) AS ratio FROM score WHERE r >= 0.5 GROUP BY name""")
+ORACLE_SQL["c07_suggest"] = ORACLE_SQL["c07_suggest"].replace("WITH ", "WITH RECURSIVE ", 1).replace("RECURSIVE_MARK ", "", 1)
 _add("c08_skip_existing", "points", lambda d: joins.skip_existing(d.select(F.when(F.col("sn") < "SN04", F.col("sn")).otherwise(F.concat(F.lit("UNKNOWN_"), "sn")).alias("sn")).distinct(), d.where("sn < 'SN03'")), "SELECT DISTINCT CASE WHEN sn < 'SN04' THEN sn ELSE 'UNKNOWN_' || sn END AS sn FROM points WHERE sn >= 'SN03'")
 _add("c09_rename_unknown", "raw", lambda d: joins.rename_unknown(d.withColumn("metric", F.concat(F.lit("unknown_metric_"), "metric_id")), metric_dim(d.sparkSession), True).groupBy("metric").agg(F.count("*").alias("n")), "SELECT coalesce(names.metric, 'unknown_metric_' || raw.metric_id) AS metric, count(*) AS n FROM raw LEFT JOIN names USING (metric_id) GROUP BY ALL")
 _add("c11_with_original", "raw", lambda d: coverage.with_original(_named(d).select("metric").distinct(), metric_dim(d.sparkSession)), f"{_NAMED}, o AS (SELECT metric, min_by(display_name, metric_id) AS display_name FROM names GROUP BY metric) SELECT DISTINCT named.metric, o.display_name, o.display_name IS NOT NULL AS in_dictionary FROM named LEFT JOIN o USING (metric)")
-_add("a06_dims_used", "raw", lambda d: joins.named_metrics(metric_dim(d.sparkSession)).join(d.groupBy("metric_id").agg(F.count("*").alias("n")), "metric_id"), "SELECT names.*, n FROM names JOIN (SELECT metric_id, count(*) AS n FROM raw GROUP BY ALL) USING (metric_id)")
+
+
+def _loaded(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
+    """The dictionaries as a user has them: tables in a folder."""
+    path = f"{scratch.shared_dir(spark)}/dims-{uuid.uuid4().hex}"
+    config.write_seed(spark, path)
+    return config.load_dims(spark, path)
+
+
+_add("a06_dims_used", "raw", lambda d: joins.named_metrics(_loaded(d.sparkSession)[0]).join(d.groupBy("metric_id").agg(F.count("*").alias("n")), "metric_id"), "SELECT names.*, n FROM names JOIN (SELECT metric_id, count(*) AS n FROM raw GROUP BY ALL) USING (metric_id)")
 _add("a08_exposition", "raw", lambda d: text.exposition(_named(d).withColumn("scrape_interval", F.lit(60)).withColumn("value", F.col("value").cast("long"))),
      f"""{_NAMED} SELECT metric || '{{Element="' || element || '",Resource="' || resource || '",SN="' || sn || '",scrape_interval="60"}} ' || CAST(CAST(value AS BIGINT) AS VARCHAR) || ' ' || (epoch_us(ts) // 1000) AS value FROM named""")
 _add("a10_long_csv", "points", lambda d: text.long_csv(d).select("sn", "resource", "metric", "element", "value", "time"), "SELECT sn, resource, metric, element, value, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS time FROM points")
@@ -245,6 +304,8 @@ _add("g01_top_loaded_grid", "points", lambda d: reports.top_loaded(d, "latency_r
 _add("g02_outliers", "points", lambda d: reports.outliers(d, 1.2),
      f""", p AS (SELECT sn, metric_id, quantile_cont(value, 0.95) AS p95 FROM points GROUP BY ALL), f AS (SELECT points.*, p95 FROM points JOIN p USING (sn, metric_id) WHERE value > p95 * 1.2),
      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY sn, metric_id ORDER BY value DESC, ts, element) AS INTEGER) AS rank, count(*) OVER (PARTITION BY sn, metric_id) AS n_outliers FROM f) SELECT sn, metric_id, element, {_TS}, value, round(p95, 9) AS p95, rank, n_outliers FROM r WHERE rank <= 50""")
-_add("h02_metric_sets", "points", lambda d: _expected(d).exceptAll(_available(d).select("resource", "metric").distinct()).withColumn("part", F.lit("missing")).unionByName(_expected(d).intersect(_available(d).select("resource", "metric")).withColumn("part", F.lit("both"))), f"{_COV} SELECT resource, metric, CASE status WHEN 'ok' THEN 'both' ELSE status END AS part FROM cov WHERE status <> 'extra'")
+_add("h02_metric_sets", "points", lambda d: coverage.metric_sets(_expected(d), _available(d)), f"{_COV} SELECT resource, metric, CASE status WHEN 'ok' THEN 'both' ELSE status END AS part FROM cov")
+_add("h04_merge_by_resource", "raw", lambda d: joins.merge_by_resource([d.where("source_file < 'f3'"), d.where("source_file >= 'f3'")], ["source_file", "tie"]).select("resource_id", "part", "source_file", "tie", "place"),
+     ", p AS (SELECT *, CAST(CASE WHEN source_file < 'f3' THEN 0 ELSE 1 END AS INTEGER) AS part FROM raw) SELECT resource_id, part, source_file, tie, row_number() OVER (PARTITION BY resource_id ORDER BY part, source_file, tie) AS place FROM p")
 _add("h05_dedupe", "raw", lambda d: joins.dedupe(d.drop("source_file"), "tie"), "SELECT sn, resource_id, element, metric_id, epoch_us(ts) AS ts, max_by(value, tie) AS value, max(tie) AS tie FROM raw GROUP BY sn, resource_id, element, metric_id, raw.ts")
-_add("h01_union", "points", lambda d: d.where("sn < 'SN04'").unionByName(d.where("sn >= 'SN04'")).groupBy("resource", "metric").agg(F.count("*").alias("n")), "SELECT resource, metric, count(*) AS n FROM points GROUP BY ALL")
+_add("h01_union", "points", lambda d: joins.union_points(d.where("sn < 'SN04'"), d.where("sn >= 'SN04'").drop("source_file")).groupBy("resource", "metric").agg(F.count("*").alias("n")), "SELECT resource, metric, count(*) AS n FROM points GROUP BY ALL")

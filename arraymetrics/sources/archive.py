@@ -12,11 +12,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.names import sn_of, utc_date
 from .files import opened, reachable
+from .scratch import written
 
 #: Fixed layout: 32 bytes check, 4 version, 256 serial number, 41 name, 4 length.
 HEADER = 337
@@ -269,3 +270,21 @@ def ingested(blocks: DataFrame, metrics: DataFrame, resources: DataFrame, includ
     kept = select_ids(blocks.where("reason IS NULL"), include_unknown=include_unknown, dims=(resources, metrics))
     points = convert_units(resolve_names(to_points(kept), metrics, resources), metrics).withColumn("dt", utc_date(F.col("ts")))
     return points.select(*(x.split()[0] for x in POINTS.split(", "))), quarantine(blocks)
+
+
+def batches_in_order(files: DataFrame, most_bytes: int) -> DataFrame:
+    """Path, length and ``batch`` of files, by name and then path; a batch begins where the bytes before it pass a multiple of ``most_bytes``, so none holds more than that and
+    one file. Running sums are taken within parts of a deal by range and shifted by those of earlier parts."""
+    spark = files.sparkSession
+    named = files.select("path", "length", F.element_at(F.split("path", "/"), -1).alias("name"))
+    dealt = written(named.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "name", "path").withColumn("part", F.spark_partition_id()))
+    sums = dealt.groupBy("part").agg(F.sum("length").alias("own"))
+    before = sums.select("part", (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("before"))  # a row for each part
+    inside = F.sum("length").over(Window.partitionBy("part").orderBy("name", "path")) - F.col("length")
+    return dealt.withColumn("ahead", inside).join(before, "part").select("path", "length", F.floor((F.col("before") + F.col("ahead")) / most_bytes).alias("batch"))
+
+
+def archives(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """Path and length of the .zip and .tgz files below a folder, no content read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{zip,tgz}").load(folder)
+    return found.select("path", "length")

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import header_text, iso, us_date
-from ..model import METRICS, WIDE
+from ..operators.timegrid import renumber
+from .config import Wide, seed_wide
 
 LONG_CSV = "resource string, metric string, element string, value double, time string, unix_time double"
 SERIES_JSON = "metric map<string,string>, values array<double>, timestamps array<bigint>"
@@ -53,28 +54,37 @@ def read_long_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LONG_CSV + ", sn string").option("sep", ";").csv(path)
 
 
-def wide_meta(df: DataFrame, prefix: str) -> DataFrame:
-    """Prefix, begin, end and the element's columns; a controller's slot loses ``CTE`` and dashes."""
-    slot = F.when(F.col("resource_id") == "207", F.translate(F.replace("element", F.lit("CTE"), F.lit("")), "-", "")).otherwise(F.col("element"))
-    return df.withColumn("prefix", F.lit(prefix)).withColumn("BgnDateTime", us_date(F.col("ts"))).withColumn("EndDateTime", us_date(F.col("ts"))).withColumn("slot", slot)
+def wide_meta(df: DataFrame, w: Wide) -> DataFrame:
+    """Begin, end and the meta columns of one resource's rows; a slot is the element without ``CTE`` and dashes."""
+    slot = F.translate(F.replace("element", F.lit("CTE"), F.lit("")), "-", "")
+    rules = {"@sn": F.col("sn"), "@element": F.col("element"), "@slot": slot}
+    at = us_date(F.col("ts"))
+    return df.withColumns({"BgnDateTime": at, "EndDateTime": at} | {f"meta_{n}": rules.get(v, F.lit(v)) for n, v in w.meta})
 
 
-def wide(df: DataFrame, resource_id: str, fill: str = "0") -> DataFrame:
-    """The rows of one resource's wide file, numbered by time and element."""
-    from ..operators.reports import to_wide
-    from ..operators.timegrid import renumber
+def wide_rows(df: DataFrame, wides: list[Wide], fill: str = "0") -> DataFrame:
+    """For each resource, array, element and moment the values of the exported metrics (a map of texts), numbered in each resource by time and
+    element. All resources are grouped in one shuffle and numbered in one deal."""
+    pairs = df.sparkSession.createDataFrame([(w.resource_id, m) for w in wides for m, _ in w.metrics], "resource_id string, metric_id string")
+    keys = ["resource_id", "sn", "element", "ts"]
+    own = df.join(F.broadcast(pairs), ["resource_id", "metric_id"], "left_semi").groupBy(*keys, "metric_id").agg(F.max("value").alias("v"))
+    rows = own.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("metric_id", F.coalesce(F.col("v").cast("string"), F.lit(fill))))).alias("values"))
+    return renumber(rows, "resource_id", ["ts", "element", "sn"])
 
-    _, _, prefix, ids = next(w for w in WIDE if w[0] == resource_id)
-    rows = to_wide(df.where((F.col("resource_id") == resource_id) & F.col("metric_id").isin(ids)), ids, fill)
-    out = renumber(wide_meta(rows, prefix), "resource_id", ["ts", "element", "sn"])
-    names = {m: header_text(n) for m, n, _ in METRICS}
-    return out.select("prefix", F.col("no").alias("#"), "BgnDateTime", "EndDateTime", F.col("sn").alias("Serial"), F.col("slot").alias("Element"), *(F.col(f"m{i}").alias(names.get(i, i)) for i in ids))
 
+def wide(rows: DataFrame, w: Wide, fill: str = "0") -> DataFrame:
+    """One resource's file out of ``wide_rows``. Names of columns are those of the file's header, in which they may repeat."""
+    own = wide_meta(rows.where(F.col("resource_id") == w.resource_id), w)
+    metrics = [F.coalesce(F.try_element_at("values", F.lit(m)), F.lit(fill)).alias(header_text(n)) for m, n in w.metrics]
+    return own.select(F.lit(w.prefix).alias(w.prefix), F.col("no").alias("#"), "BgnDateTime", "EndDateTime", *(F.col(f"`meta_{n}`").alias(n) for n, _ in w.meta), *metrics)
 
-def write_wide_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
-    """One dataset with a header for each resource."""
-    for resource_id, name, _, _ in WIDE:
-        wide(df, resource_id).write.option("header", True).option("compression", compression or "none").mode("overwrite").csv(f"{path}/{name}")
+
+def write_wide_csv(df: DataFrame, path: str, compression: str | None = None, wides: list[Wide] | None = None, fill: str = "0") -> None:
+    """One dataset with a header for each resource; ``wides`` are those of ``config.load_wide``, by default the seed's."""
+    wides = seed_wide() if wides is None else wides
+    rows = wide_rows(df, wides, fill)
+    for w in wides:
+        wide(rows, w, fill).write.option("header", True).option("compression", compression or "none").mode("overwrite").csv(f"{path}/{w.file}")
 
 
 def series_json(df: DataFrame) -> DataFrame:

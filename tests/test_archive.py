@@ -71,9 +71,9 @@ def test_text_formats_round_trip(spark, tmp_path):
     rows = text.read_long_csv(spark, str(tmp_path / "c")).collect()
     assert len(rows) == 4 and rows[0].time.endswith("Z") and rows[0].sn == "SN1"
     text.write_wide_csv(points, str(tmp_path / "w"))
-    wide = spark.read.option("header", True).csv(str(tmp_path / "w" / "controllers"))
-    assert wide.columns[:6] == ["prefix", "#", "BgnDateTime", "EndDateTime", "Serial", "Element"] and wide.count() == 4
-    assert sorted(int(r["#"]) for r in wide.collect()) == [1, 2, 3, 4] and "0A" in {r.Element for r in wide.collect()}
+    wide = spark.read.option("header", True).csv(str(tmp_path / "w" / "cpu_output.csv"))
+    assert wide.columns[:7] == ["CPUPERF", "#", "BgnDateTime", "EndDateTime", "Serial", "Slot", "Type"] and wide.count() == 4
+    assert sorted(int(r["#"]) for r in wide.collect()) == [1, 2, 3, 4] and "0A" in {r.Slot for r in wide.collect()}
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arraymetrics.model import metric_dim, resource_dim
 from arraymetrics.operators import joins, select, stats, timegrid
-from arraymetrics.sources import archive
+from arraymetrics.sources import archive, config
 
 
 def test_damaged_archives_are_right_or_in_quarantine(spark):
@@ -74,7 +74,7 @@ def test_sinks_and_lists(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "m" / "csv")).count() == n == spark.read.json(str(tmp_path / "m" / "json")).count()
     metric_dim(spark).coalesce(1).write.option("header", True).csv(str(tmp_path / "d" / "metrics.csv"))
     resource_dim(spark).coalesce(1).write.option("header", True).csv(str(tmp_path / "d" / "resources.csv"))
-    metrics, resources = joins.load_dims(spark, str(tmp_path / "d"))
+    metrics, resources = config.load_dims(spark, str(tmp_path / "d"))
     assert sorted(metrics.collect()) == sorted(metric_dim(spark).collect()) and sorted(resources.collect()) == sorted(resource_dim(spark).collect())
     assert len(set(select.DEFAULT_METRICS)) == 59 and len(select.LOAD_METRICS) == 17 and len(select.DEFAULT_RESOURCES) == 8
     pts = spark.createDataFrame([("f1",), ("f1",), ("f2",)], "source_file string")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arraymetrics.functions import names, rules
-from arraymetrics.operators import coverage, stats, timegrid
+from arraymetrics.operators import quantiles, coverage, stats, timegrid
 
 
 def _one(spark, expr):
@@ -37,7 +37,9 @@ def test_weeks_and_medians(spark):
     week = lambda d: tuple(str(_one(spark, c))[:10] for c in timegrid.last_full_week(F.lit(d).cast("timestamp")))
     assert week("2025-10-02") == ("2025-09-22", "2025-09-28") and week("2025-09-28") == ("2025-09-15", "2025-09-21")
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 10, 20)], "value double")
-    r = df.agg(stats.upper_median().alias("u"), stats.percentile(F.col("value"), 0.5).alias("m"), F.round(stats.percentile(F.col("value"), 0.95), 9).alias("p")).first()
+    at = {"u": quantiles.UPPER_MEDIAN, "m": 0.5, "p": 0.95}
+    df = df.withColumn("g", F.lit(1))
+    r = quantiles.percentiles(quantiles.counted(df, ["g"]), ["g"], at).select("u", "m", F.round("p", 9).alias("p")).first()
     assert (r.u, r.m, r.p) == (10, 6, 18.5)
 
 
