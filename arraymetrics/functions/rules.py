@@ -24,7 +24,7 @@ def rank(status: Column) -> Column:
     return F.when(status == "critical", 2).when(status == "warning", 1).otherwise(0)
 
 
-#: Metric: lower limits and colours, from the lowest.
+#: For each metric the lower limits and colours, from the lowest.
 BANDS = {
     "ecc_total": [(None, "green"), (10, "yellow"), (50, "red")],
     "ecc_dimm": [(None, "green"), (100, "yellow"), (1000, "orange"), (10000, "red")],

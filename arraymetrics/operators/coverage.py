@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..sources.scratch import written
+
 
 def coverage(expected: DataFrame, available: DataFrame) -> DataFrame:
     """Resource, metric and status of the union of both: ok, missing or extra."""
@@ -53,8 +55,10 @@ def suggest(missing: DataFrame, available: DataFrame, threshold: float = 0.7) ->
     """
     if threshold <= 0:
         raise ValueError("threshold must be above 0")
-    one = lambda df, name: df.select(F.col("metric").alias(name)).where(F.col("metric").isNotNull()).distinct().withColumn("letters", _letters(F.col(name)))
-    m, a = one(missing, "name"), one(available, "other")
+    one = lambda df, name: df.select(F.col("metric").alias("text"), F.lit(name).alias("side")).where(F.col("metric").isNotNull())
+    names = one(missing, "name").unionAll(one(available, "other")).distinct().withColumn("letters", _letters(F.col("text")))
+    names = written(names)  # a row for each name; what gave them is not worked out again in each step
+    m, a = (names.where(F.col("side") == s).select(F.col("text").alias(s), "letters") for s in ("name", "other"))
     often = m.select(F.explode("letters").alias("letter")).unionAll(a.select(F.explode("letters").alias("letter"))).groupBy("letter").agg(F.count("*").alias("often"))
 
     def rare(df: DataFrame, name: str) -> DataFrame:

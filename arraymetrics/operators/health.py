@@ -58,40 +58,62 @@ def ecc_report(health: DataFrame, sn: str | None = None) -> DataFrame:
     return total.join(dimms, "sn", "full_outer")
 
 
+KINDS = {"total": ("ecc_total",), "dimm": ("ecc_dimm", "mce_dimm"), "disk": SMART, "bbu": BBU}
+
+
+def entities(health: DataFrame) -> DataFrame:
+    """For each array, kind (total, dimm, disk, bbu) and entity (k1, k2) the last value of each metric, in one pass over the points. An array that has none of
+    these metrics has a row with null kind."""
+    kind = F.coalesce(*(F.when(F.col("metric").isin(*names), F.lit(k)) for k, names in KINDS.items()))
+    k1 = F.when(kind == "disk", F.col("disk_id")).when(kind == "bbu", F.col("bbu_id")).when(kind.isNotNull(), F.col("controller"))
+    rows = health.select("sn", kind.alias("kind"), k1.alias("k1"), F.when(kind == "dimm", F.col("dimm")).alias("k2"), "metric", "value", F.when(F.col("value").isNotNull(), F.col("ts")).alias("ts"))
+    at = lambda m, c: F.when(F.col("metric") == m, F.col(c))
+    return rows.groupBy("sn", "kind", "k1", "k2").agg(*(F.max_by(at(m, "value"), at(m, "ts")).alias(m) for names in KINDS.values() for m in names))
+
+
+def judged(health: DataFrame) -> DataFrame:
+    """``entities`` with their status, and ``place`` in the order in which they are told: modules by errors, disks by status, batteries of one status by name."""
+    e = entities(health)
+    disk = disk_status(*(F.col(c) for c in ("smart_offline_uncorrectable", "smart_pending_sectors", "smart_reallocated_sectors", "smart_reallocated_events", "smart_disk_health")))
+    known = F.coalesce(*(F.col(m) for m in SMART + BBU)).isNotNull() & F.col("k1").isNotNull()
+    status = F.when(known & (F.col("kind") == "disk"), disk).when(known & (F.col("kind") == "bbu"), bbu_status(F.col("bbu_temperature"), F.col("bbu_capacity_percent")))
+    e = e.withColumn("status", status).withColumn("errors", F.when(F.col("kind") == "dimm", F.col("ecc_dimm"))).withColumn("mce", F.col("errors").isNotNull() & F.coalesce(F.col("mce_dimm") > 0, F.lit(False)))
+    group = F.when(F.col("kind") == "bbu", F.concat(F.lit("bbu "), F.coalesce("status", F.lit("")))).otherwise(F.col("kind"))
+    order = [F.coalesce(F.col("errors"), rank(F.col("status")).cast("double")).desc_nulls_last(), "k1", "k2"]
+    return e.withColumn("place", F.row_number().over(Window.partitionBy("sn", group).orderBy(*order)))
+
+
+def _told(e: DataFrame) -> DataFrame:
+    """A row for each recommendation: sn, section, place, status, text."""
+    module = F.concat_ws("/", "k1", "k2")
+    say = lambda when, section, status, text, name: F.when(when, F.struct(F.lit(section).alias("section"), F.lit(status).alias("status"), F.concat(F.lit(text), name).alias("text")))
+    of = lambda kind, status: (F.col("kind") == kind) & (F.col("status") == status)
+    found = F.array_compact(F.array(
+        say(F.col("errors") > 10000, 1, "warning", "Replace memory module ", module), say((F.col("errors") > 1000) & (F.col("errors") <= 10000), 1, "healthy", "Monitor memory module ", module),
+        say(F.col("mce"), 2, "critical", "Machine check on memory module ", module), say(of("disk", "critical"), 3, "critical", "Replace disk ", F.col("k1")), say(of("disk", "warning"), 4, "warning", "Watch disk ", F.col("k1")),
+        say(of("bbu", "critical"), 5, "critical", "Replace battery ", F.col("k1")), say(of("bbu", "warning"), 6, "warning", "Watch battery ", F.col("k1")),
+    ))
+    return e.select("sn", "place", F.explode(found).alias("r")).select("sn", "r.section", "place", "r.status", "r.text")
+
+
 def recommendations(health: DataFrame) -> DataFrame:
     """sn, section, place, status and text; memory first, then machine checks, disks, batteries."""
-    d, s, b = ecc_dimms(health), smart_report(health), bbu_report(health)
-    say = lambda rows, section, place, status, text: rows.select("sn", F.lit(section).alias("section"), place.alias("place"), F.lit(status).alias("status"), text.alias("text"))
-    name = F.concat_ws("/", "controller", "dimm")
-    key = lambda r, *order: F.row_number().over(Window.partitionBy("sn").orderBy(*order))
-    parts = [
-        say(d.where("value > 10000"), 1, F.col("place"), "warning", F.concat(F.lit("Replace memory module "), name)),
-        say(d.where("value > 1000 AND value <= 10000"), 1, F.col("place"), "healthy", F.concat(F.lit("Monitor memory module "), name)),
-        say(d.where("mce"), 2, F.col("place"), "critical", F.concat(F.lit("Machine check on memory module "), name)),
-        say(s.where("status = 'critical'"), 3, F.col("place"), "critical", F.concat(F.lit("Replace disk "), F.col("disk_id"))),
-        say(s.where("status = 'warning'"), 4, F.col("place"), "warning", F.concat(F.lit("Watch disk "), F.col("disk_id"))),
-        say(b.where("status = 'critical'"), 5, key(b, "bbu_id"), "critical", F.concat(F.lit("Replace battery "), F.col("bbu_id"))),
-        say(b.where("status = 'warning'"), 6, key(b, "bbu_id"), "warning", F.concat(F.lit("Watch battery "), F.col("bbu_id"))),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return _told(judged(health))
 
 
 def health_summary(health: DataFrame, most: int = 10) -> DataFrame:
-    """For each array the worst status, the error totals, and up to ``most`` recommendations in order."""
-    rec = recommendations(health)
-    w = Window.partitionBy("sn").orderBy("section", "place", "text")
-    first = rec.withColumn("no", F.row_number().over(w)).where(F.col("no") <= most)
-    texts = first.groupBy("sn").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "text"))), lambda x: x["text"]), "; ").alias("recommendations"))
-    worst = rec.groupBy("sn").agg(F.max(rank(F.col("status"))).alias("r"))
-    ecc = ecc_report(health)
-    out = health.select("sn").distinct().join(worst, "sn", "left").join(ecc, "sn", "left").join(texts, "sn", "left")
+    """For each array the worst status, the error totals, and up to ``most`` recommendations in order. The points are read and grouped once."""
+    e = judged(health)
+    first = _told(e).withColumn("no", F.row_number().over(Window.partitionBy("sn").orderBy("section", "place", "text"))).where(F.col("no") <= most)
+    texts = first.groupBy(F.col("sn").alias("_sn")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("no", "text"))), lambda x: x["text"]), "; ").alias("recommendations"))
+    worst = F.greatest(rank(F.col("status")), F.when(F.col("mce"), 2).otherwise(0), F.when(F.col("errors") > 10000, 1).otherwise(0))
+    sums = e.groupBy("sn").agg(
+        F.max(worst).alias("r"), F.sum(F.when(F.col("kind") == "total", F.col("ecc_total"))).alias("ecc_total"), F.count_if(F.col("errors") > 0).alias("dimms_with_errors"), F.bool_or("mce").alias("mce")
+    )
+    out = sums.join(texts, F.col("sn").eqNullSafe(F.col("_sn")), "left")
     return out.select(
-        "sn", F.element_at(F.array(F.lit("healthy"), F.lit("warning"), F.lit("critical")), F.coalesce("r", F.lit(0)) + 1).alias("status"),
-        F.coalesce("ecc_total", F.lit(0.0)).alias("ecc_total"), F.coalesce("dimms_with_errors", F.lit(0)).cast("long").alias("dimms_with_errors"),
-        F.coalesce("has_critical", F.lit(False)).alias("mce"), F.coalesce("recommendations", F.lit("")).alias("recommendations"),
+        "sn", F.element_at(F.array(F.lit("healthy"), F.lit("warning"), F.lit("critical")), F.col("r") + 1).alias("status"), F.coalesce("ecc_total", F.lit(0.0)).alias("ecc_total"),
+        "dimms_with_errors", "mce", F.coalesce("recommendations", F.lit("")).alias("recommendations"),
     )
 
 
