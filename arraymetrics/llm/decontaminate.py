@@ -16,8 +16,8 @@ from .common import Words, mix, slices, small_batches, text_buffer
 MASKS = ("1101010011", "11001111")
 #: An overlap is a run of WINDOW words (all of a shorter item), of which SHARE at least agree in place.
 WINDOW, SHARE = 13, 0.8
-#: Items with fewer words are left out unless the caller asks for them.
-LEAST = 6
+#: Items with fewer words are left out; by default none is.
+LEAST = 1
 #: The benchmark goes to the tasks in blocks of about so many bytes, one pass over the documents for each.
 BLOCK_BYTES = 16_000_000
 _FILTER_BITS = 24

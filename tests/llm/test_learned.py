@@ -38,8 +38,10 @@ def test_decontamination(spark):
         if len(x) >= decontaminate.LEAST and any(sum(p == q for p, q in zip(w[a : a + size], x[c : c + size])) >= 0.8 * size for a in range(len(w) - size + 1) for c in range(len(x) - size + 1)):
             want.add((i, k))
     assert got == want and {20, 21, 22, 23} <= {i for i, _ in got}
+    longer = decontaminate.decontaminated(df, bench, least=6)
+    assert {r.doc_id for r in longer.collect()} == {i for i, _ in docs} - {20, 21, 22, 23, None}  # 24 holds an item of three words
     kept = decontaminate.decontaminated(df, bench)
-    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - {20, 21, 22, 23, None}  # rows without an id are judged by their text too
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - {20, 21, 22, 23, 24, None}  # rows without an id are judged by their text too
     assert decontaminate.overlaps(df, bench.where("false")).count() == 0 and decontaminate.overlaps(df.where("false"), bench).count() == 0
 
 
