@@ -12,7 +12,9 @@ many places: about t * t / 2 probes, an eighth of the line's length.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bucketed, dropped, stored
@@ -26,6 +28,8 @@ LEAST_CHARS = 12
 PASSES = 4
 #: Lines with one segment in common beyond which they meet under a bound only, and the buckets of that bound.
 CROWD, BUCKETS = 8, 256
+#: Earliest lines of a crowd that all its lines meet first.
+FIRST = 4
 _LAST = (1 << 63) - 1
 
 
@@ -188,8 +192,49 @@ def _close(a: Column, b: Column, edits: int | Column) -> Column:
     return out <= 4 * edits
 
 
-def _candidates(long: DataFrame, edits: int | None, turn: int) -> DataFrame:
-    """Pairs of lines (a, b) with a segment in common, written.
+def _later(pairs: DataFrame, long: DataFrame) -> DataFrame:
+    """Keys of the later lines of those pairs (a, b) that lie within what ``allowed`` gives their shorter one."""
+    text = lambda k: long.select(F.col("key").alias(k), F.col("first").alias(f"f{k}"), F.col("line").alias(f"l{k}"))
+    half = stored(pairs.join(text("a"), "a"))
+    # Spark's own distance, banded by the bound; -1 beyond it
+    near = half.join(text("b"), "b").where(F.call_function("levenshtein", F.col("la"), F.col("lb"), allowed(F.least(F.length("la"), F.length("lb")))) >= 0)
+    near = stored(near.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("key")).distinct())
+    dropped(half)
+    return near
+
+
+def _unordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct()
+
+
+def _crowd_pairs(a: DataFrame, b: DataFrame, long: DataFrame, gone: DataFrame | None, fits: Column) -> tuple[DataFrame, DataFrame]:
+    """Pairs (long, short) of crowded lines that may be near, and the keys of lines that are known to go.
+
+    All variants of one line are near each other, so their pairs grow with the square of their number. But a line goes for one near line before it. So each
+    line meets the FIRST earliest lines of its crowd at first; pairs whose later line goes for one of these (or went in an earlier round) are not
+    made. All others are.
+    """
+    flagged = lambda x, key: x.withColumn(f"g_{key}", F.lit(False)) if gone is None else x.join(gone.select(F.col("key").alias(key), F.lit(True).alias(f"g_{key}")), key, "left")
+
+    def sides(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return a.withColumn("part", F.explode("parts")).drop("parts"), b.withColumn("part", F.explode("parts")).drop("parts").withColumnRenamed("bag", "other")
+
+    earliest = lambda x, f: x.withColumn("_r", F.row_number().over(Window.partitionBy("part").orderBy(f))).where(F.col("_r") <= FIRST).drop("_r")
+    goes = lambda: F.when(F.col("f_long") < F.col("f_short"), F.coalesce("g_short", F.lit(False))).otherwise(F.coalesce("g_long", F.lit(False)))
+    near = lambda x, y: x.join(y, (x["part"] == y["part"]) & (F.col("long") != F.col("short")) & fits & ~goes() & _close(F.col("bag"), F.col("other"), allowed(F.col("n_short")))).select("long", "short")
+    x, y = sides(flagged(a, "long"), flagged(b, "short"))
+    some = near(x, earliest(y, "f_short")).unionAll(near(earliest(x, "f_long"), y))
+    some = stored(_unordered(some))
+    found = _later(some, long)
+    dropped(some)
+    gone = stored(found if gone is None else found.unionAll(gone).distinct())
+    dropped(found)
+    return near(*sides(flagged(a, "long"), flagged(b, "short"))), gone
+
+
+def _candidates(long: DataFrame, edits: int | None, turn: int, gone: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Pairs of lines (a, b) with a segment in common, written; with growing bounds also the keys of lines that are known to go, ``gone`` being those of
+    earlier rounds.
 
     A segment that more than CROWD lines share (the variants of one template, say) would pair all of them. Of such segments the probes
     only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds.
@@ -204,34 +249,37 @@ def _candidates(long: DataFrame, edits: int | None, turn: int) -> DataFrame:
     single = index.join(crowds, "part", "left_anti").select("part", "short", "n_short").unionAll(crowds.select("part", F.lit(None).cast("long"), F.lit(None).cast("int")))
     met = stored(probes.join(single, "part").where(F.col("short").isNull() | ((F.col("long") != F.col("short")) & fits)).select("long", "part", "short"))
 
-    crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line"), key).select(key, f"n_{key}", "parts", _odd(F.col("line")).alias("bag")))
+    crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line", "first"), key).select(key, f"n_{key}", "parts", _odd(F.col("line")).alias("bag"), *([F.col("first").alias(f"f_{key}")] if edits is None else [])))
     bags = crowded(met.where("short IS NULL").select("long", "part"), "long"), crowded(index.join(crowds, "part", "left_semi").select("short", "part"), "short")
-    a, b = (x.withColumn("part", F.explode("parts")).drop("parts") for x in bags)
-    b = b.withColumnRenamed("bag", "other")
-    inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag"), F.col("other"), bound))
+    if edits is None:
+        inside, known = _crowd_pairs(*bags, long, gone, fits)
+    else:
+        known = None
+        a, b = (x.withColumn("part", F.explode("parts")).drop("parts") for x in bags)
+        b = b.withColumnRenamed("bag", "other")
+        inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag"), F.col("other"), bound))
     pairs = met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
-    pairs = stored(pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct())
+    pairs = stored(_unordered(pairs))
     dropped(index, crowds, met, *bags)
-    return pairs
+    return pairs, known
 
 
 def near_lines(table: DataFrame, edits: int | None = MAX_EDITS) -> DataFrame:
     """Keys of the lines that lie within ``edits`` edits (None: as ``allowed``) of another line whose first place comes earlier."""
     long = table.where("line IS NOT NULL")
-    turns = [_candidates(long, edits, turn) for turn in range(PASSES if edits is None else 1)]
-    pairs = turns[0]
-    for more in turns[1:]:
-        pairs = pairs.unionAll(more)
-    pairs = pairs.distinct() if len(turns) > 1 else pairs
-
+    if edits is None:
+        turns, gone = [], None
+        for turn in range(PASSES):
+            pairs, gone = _candidates(long, None, turn, gone)
+            turns.append(pairs)
+        pairs = functools.reduce(DataFrame.unionAll, turns).distinct()
+        return _later(pairs, long).unionAll(gone).distinct()
+
+    pairs, _ = _candidates(long, edits, 0)
     text = lambda k: long.select(F.col("key").alias(k), F.col("first").alias(f"f{k}"), F.col("line").alias(f"l{k}"))
     half = stored(pairs.join(text("a"), "a"))
-    dropped(*turns)
-    both = half.join(text("b"), "b")
-    if edits is None:  # Spark's own distance, banded by the bound; -1 beyond it
-        near = both.where(F.call_function("levenshtein", F.col("la"), F.col("lb"), allowed(F.least(F.length("la"), F.length("lb")))) >= 0)
-    else:
-        near = both.where(_pieces_fit(F.col("la"), F.col("lb"), edits)).where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits)
+    dropped(pairs)
+    near = half.join(text("b"), "b").where(_pieces_fit(F.col("la"), F.col("lb"), edits)).where(edit_distance(F.col("la"), F.col("lb"), edits) <= edits)
     near = stored(near.select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("key")).distinct())
     dropped(half)
     return near
