@@ -207,34 +207,43 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct()
 
 
-def _crowd_pairs(a: DataFrame, b: DataFrame, long: DataFrame, gone: DataFrame | None, fits: Column) -> tuple[DataFrame, DataFrame]:
-    """Pairs (long, short) of crowded lines that may be near, and the keys of lines that are known to go.
+def _crowd_gone(a: DataFrame, b: DataFrame, gone: DataFrame | None, fits: Column) -> DataFrame:
+    """Keys of crowded lines that go, and those in ``gone``, known from earlier rounds. ``a`` holds the lines that probe (long), ``b`` those that are found (short).
 
-    All variants of one line are near each other, so their pairs grow with the square of their number. But a line goes for one near line before it. So each
-    line meets the FIRST earliest lines of its crowd at first; pairs whose later line goes for one of these (or went in an earlier round) are not
-    made. All others are.
+    All variants of one line meet, and many of them differ by a little more than the bound, so pairs are judged where they meet, at the first of the segments
+    that they share, and only keys of lines leave the join. A line goes for one near line before it, so each line meets the FIRST earliest
+    lines of its crowd at first; then all others meet but those whose later line is known to go.
     """
-    flagged = lambda x, key: x.withColumn(f"g_{key}", F.lit(False)) if gone is None else x.join(gone.select(F.col("key").alias(key), F.lit(True).alias(f"g_{key}")), key, "left")
 
-    def sides(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return a.withColumn("part", F.explode("parts")).drop("parts"), b.withColumn("part", F.explode("parts")).drop("parts").withColumnRenamed("bag", "other")
+    def flagged(x: DataFrame, key: str) -> DataFrame:
+        known = x.withColumn(f"g_{key}", F.lit(False)) if gone is None else x.join(gone.select(F.col("key").alias(key), F.lit(True).alias(f"g_{key}")), key, "left")
+        return known.withColumn("part", F.explode(f"parts_{key}"))
 
-    earliest = lambda x, f: x.withColumn("_r", F.row_number().over(Window.partitionBy("part").orderBy(f))).where(F.col("_r") <= FIRST).drop("_r")
-    goes = lambda: F.when(F.col("f_long") < F.col("f_short"), F.coalesce("g_short", F.lit(False))).otherwise(F.coalesce("g_long", F.lit(False)))
-    near = lambda x, y: x.join(y, (x["part"] == y["part"]) & (F.col("long") != F.col("short")) & fits & ~goes() & _close(F.col("bag"), F.col("other"), allowed(F.col("n_short")))).select("long", "short")
-    x, y = sides(flagged(a, "long"), flagged(b, "short"))
-    some = near(x, earliest(y, "f_short")).unionAll(near(earliest(x, "f_long"), y))
-    some = stored(_unordered(some))
-    found = _later(some, long)
-    dropped(some)
-    gone = stored(found if gone is None else found.unionAll(gone).distinct())
-    dropped(found)
-    return near(*sides(flagged(a, "long"), flagged(b, "short"))), gone
+    def near(x: DataFrame, y: DataFrame) -> DataFrame:
+        goes = F.when(F.col("f_long") < F.col("f_short"), F.coalesce("g_short", F.lit(False))).otherwise(F.coalesce("g_long", F.lit(False)))
+        here = F.array_min(F.array_intersect("parts_long", "parts_short")) == x["part"]
+        bound = allowed(F.col("n_short"))
+        # in order of cost; Spark's own distance is banded by the bound and -1 beyond it
+        meet = (x["part"] == y["part"]) & (F.col("long") != F.col("short")) & fits & ~goes & _close(F.col("bag_long"), F.col("bag_short"), bound) & here
+        pairs = x.join(y, meet & (F.call_function("levenshtein", F.col("line_long"), F.col("line_short"), bound) >= 0))
+        return pairs.select(F.when(F.col("f_long") < F.col("f_short"), F.col("short")).otherwise(F.col("long")).alias("key"))
+
+    def earliest(x: DataFrame, key: str) -> DataFrame:
+        # the earliest lines of a part are judged there, whichever other parts a pair shares
+        return x.withColumn("_r", F.row_number().over(Window.partitionBy("part").orderBy(f"f_{key}"))).where(F.col("_r") <= FIRST).drop("_r").withColumn(f"parts_{key}", F.array("part"))
+
+    x, y = flagged(a, "long"), flagged(b, "short")
+    found = near(x, earliest(y, "short")).unionAll(near(earliest(x, "long"), y))
+    gone = stored((found if gone is None else found.unionAll(gone)).distinct())
+    rest = near(flagged(a, "long"), flagged(b, "short"))
+    all_gone = stored(rest.unionAll(gone).distinct())
+    dropped(gone)
+    return all_gone
 
 
 def _candidates(long: DataFrame, edits: int | None, turn: int, gone: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs of lines (a, b) with a segment in common, written; with growing bounds also the keys of lines that are known to go, ``gone`` being those of
-    earlier rounds.
+    """Pairs of lines (a, b) with a segment in common, written; with growing bounds those of crowded segments are judged at once, and the keys of
+    lines that are known to go are the second table, ``gone`` being those of earlier rounds.
 
     A segment that more than CROWD lines share (the variants of one template, say) would pair all of them. Of such segments the probes
     only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds.
@@ -249,16 +258,21 @@ def _candidates(long: DataFrame, edits: int | None, turn: int, gone: DataFrame |
     single = index.join(crowds, "part", "left_anti").select("part", "short", "n_short").unionAll(crowds.select("part", F.lit(None).cast("long"), F.lit(None).cast("int")))
     met = stored(probes.join(single, "part").where(F.col("short").isNull() | ((F.col("long") != F.col("short")) & fits)).select("long", "part", "short"))
 
-    crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line", "first"), key).select(key, f"n_{key}", "parts", _odd(F.col("line")).alias("bag"), *([F.col("first").alias(f"f_{key}")] if edits is None else [])))
+    def crowded(rows: DataFrame, key: str) -> DataFrame:
+        text = long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line", "first")
+        # with a fixed bound pairs are judged later, and neither texts nor places are carried
+        more = [F.col("first").alias(f"f_{key}"), F.col("line").alias(f"line_{key}")] if edits is None else []
+        return stored(rows.groupBy(key).agg(F.collect_set("part").alias(f"parts_{key}")).join(text, key).select(key, f"n_{key}", f"parts_{key}", _odd(F.col("line")).alias(f"bag_{key}"), *more))
+
     bags = crowded(met.where("short IS NULL").select("long", "part"), "long"), crowded(index.join(crowds, "part", "left_semi").select("short", "part"), "short")
+    known = None
+    pairs = met.where("short IS NOT NULL").select("long", "short")
     if edits is None:
-        inside, known = _crowd_pairs(*bags, long, gone, fits)
+        known = _crowd_gone(*bags, gone, fits)
     else:
-        known = None
-        a, b = (x.withColumn("part", F.explode("parts")).drop("parts") for x in bags)
-        b = b.withColumnRenamed("bag", "other")
-        inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag"), F.col("other"), bound))
-    pairs = met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
+        a, b = (x.withColumn("part", F.explode(f"parts_{key}")) for x, key in zip(bags, ("long", "short"), strict=True))
+        inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag_long"), F.col("bag_short"), bound))
+        pairs = pairs.unionAll(inside.select("long", "short"))
     pairs = stored(_unordered(pairs))
     dropped(index, crowds, met, *bags)
     return pairs, known
