@@ -17,7 +17,7 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucketed, dropped, stored
+from .common import bucketed, dropped, partitions, stored
 
 MAX_EDITS = 2
 #: Shorter lines are compared for equality only: a few edits would make them anything. No less than (MAX_EDITS + 1) * MAX_EDITS.
@@ -207,43 +207,53 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct()
 
 
-def _crowd_gone(a: DataFrame, b: DataFrame, gone: DataFrame | None, fits: Column) -> DataFrame:
-    """Keys of crowded lines that go, and those in ``gone``, known from earlier rounds. ``a`` holds the lines that probe (long), ``b`` those that are found (short).
+def _bags(rows: DataFrame, long: DataFrame, key: str) -> DataFrame:
+    """A row for each crowded line: its crowded segments in ``rows`` (``key``, part), character pairs, length, place and text; written."""
+    text = long.select(F.col("key").alias(key), F.col("chars").alias(f"n_{key}"), F.col("first").alias(f"f_{key}"), F.col("line").alias(f"line_{key}"))
+    return stored(rows.groupBy(key).agg(F.collect_set("part").alias(f"parts_{key}")).join(text, key).withColumn(f"bag_{key}", _odd(F.col(f"line_{key}"))))
 
-    All variants of one line meet, and many of them differ by a little more than the bound, so pairs are judged where they meet, at the first of the segments
-    that they share, and only keys of lines leave the join. A line goes for one near line before it, so each line meets the FIRST earliest
-    lines of its crowd at first; then all others meet but those whose later line is known to go.
+
+def _crowd_gone(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Keys of crowded lines that go. ``a`` holds the lines that probe (long), ``b`` those that are found (short), as ``_bags`` makes them.
+
+    All variants of one line meet, and many of them differ by a little more than the bound, so a pair is judged where it meets, once, at the first of the
+    segments that it shares, and only keys of lines leave the join. A line goes for one near line before it, so each line meets the FIRST earliest
+    lines of its crowds at first; then all others meet but those whose later line is known to go.
     """
+    many = partitions(a.sparkSession)
 
-    def flagged(x: DataFrame, key: str) -> DataFrame:
-        known = x.withColumn(f"g_{key}", F.lit(False)) if gone is None else x.join(gone.select(F.col("key").alias(key), F.lit(True).alias(f"g_{key}")), key, "left")
-        return known.withColumn("part", F.explode(f"parts_{key}"))
+    def sides(gone: DataFrame | None) -> list[DataFrame]:
+        out = []
+        for x, key in ((a, "long"), (b, "short")):
+            known = x.withColumn(f"g_{key}", F.lit(False)) if gone is None else x.join(gone.select(F.col("key").alias(key), F.lit(True).alias(f"g_{key}")), key, "left")
+            # lines of one crowd are dealt to all tasks, where the other side is small enough to be sent there
+            out.append(known.repartition(many, key).withColumn("part", F.explode(f"parts_{key}")))
+        return out
 
     def near(x: DataFrame, y: DataFrame) -> DataFrame:
         goes = F.when(F.col("f_long") < F.col("f_short"), F.coalesce("g_short", F.lit(False))).otherwise(F.coalesce("g_long", F.lit(False)))
         here = F.array_min(F.array_intersect("parts_long", "parts_short")) == x["part"]
         bound = allowed(F.col("n_short"))
+        fits = (F.col("n_long") >= F.col("n_short")) & (F.col("n_long") <= F.col("n_short") + bound)
         # in order of cost; Spark's own distance is banded by the bound and -1 beyond it
         meet = (x["part"] == y["part"]) & (F.col("long") != F.col("short")) & fits & ~goes & _close(F.col("bag_long"), F.col("bag_short"), bound) & here
         pairs = x.join(y, meet & (F.call_function("levenshtein", F.col("line_long"), F.col("line_short"), bound) >= 0))
         return pairs.select(F.when(F.col("f_long") < F.col("f_short"), F.col("short")).otherwise(F.col("long")).alias("key"))
 
     def earliest(x: DataFrame, key: str) -> DataFrame:
-        # the earliest lines of a part are judged there, whichever other parts a pair shares
-        return x.withColumn("_r", F.row_number().over(Window.partitionBy("part").orderBy(f"f_{key}"))).where(F.col("_r") <= FIRST).drop("_r").withColumn(f"parts_{key}", F.array("part"))
+        first = x.withColumn("_r", F.row_number().over(Window.partitionBy("part").orderBy(f"f_{key}"))).where(F.col("_r") <= FIRST).drop("_r")
+        return first.withColumn(f"parts_{key}", F.collect_set("part").over(Window.partitionBy(key)))
 
-    x, y = flagged(a, "long"), flagged(b, "short")
-    found = near(x, earliest(y, "short")).unionAll(near(earliest(x, "long"), y))
-    gone = stored((found if gone is None else found.unionAll(gone)).distinct())
-    rest = near(flagged(a, "long"), flagged(b, "short"))
-    all_gone = stored(rest.unionAll(gone).distinct())
-    dropped(gone)
-    return all_gone
+    x, y = sides(None)
+    some = stored(near(x, earliest(y, "short")).unionAll(near(earliest(x, "long"), y)).distinct())
+    out = stored(near(*sides(some)).unionAll(some).distinct())
+    dropped(some)
+    return out
 
 
-def _candidates(long: DataFrame, edits: int | None, turn: int, gone: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs of lines (a, b) with a segment in common, written; with growing bounds those of crowded segments are judged at once, and the keys of
-    lines that are known to go are the second table, ``gone`` being those of earlier rounds.
+def _candidates(long: DataFrame, edits: int | None, turn: int) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Pairs of lines (a, b) with a segment in common, written; with growing bounds only of segments that are not crowded, and then the crowded ones of
+    lines that probe (long, part) and of lines that are found (short, part).
 
     A segment that more than CROWD lines share (the variants of one template, say) would pair all of them. Of such segments the probes
     only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds.
@@ -257,39 +267,37 @@ def _candidates(long: DataFrame, edits: int | None, turn: int, gone: DataFrame |
     probes = long.select(F.col("key").alias("long"), n.alias("n_long"), F.explode(_band_probes(line, n, turn) if edits is None else _probes(line, F.col("chars"), edits)).alias("part"))
     single = index.join(crowds, "part", "left_anti").select("part", "short", "n_short").unionAll(crowds.select("part", F.lit(None).cast("long"), F.lit(None).cast("int")))
     met = stored(probes.join(single, "part").where(F.col("short").isNull() | ((F.col("long") != F.col("short")) & fits)).select("long", "part", "short"))
+    probing, found = met.where("short IS NULL").select("long", "part"), index.join(crowds, "part", "left_semi").select("short", "part")
+    pairs = met.where("short IS NOT NULL").select("long", "short")
+    if edits is None:
+        out = stored(_unordered(pairs)), stored(probing), stored(found)
+        dropped(index, crowds, met)
+        return out
 
     def crowded(rows: DataFrame, key: str) -> DataFrame:
-        text = long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line", "first")
-        # with a fixed bound pairs are judged later, and neither texts nor places are carried
-        more = [F.col("first").alias(f"f_{key}"), F.col("line").alias(f"line_{key}")] if edits is None else []
-        return stored(rows.groupBy(key).agg(F.collect_set("part").alias(f"parts_{key}")).join(text, key).select(key, f"n_{key}", f"parts_{key}", _odd(F.col("line")).alias(f"bag_{key}"), *more))
+        return stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line"), key).select(key, f"n_{key}", "parts", _odd(line).alias(f"bag_{key}")))
 
-    bags = crowded(met.where("short IS NULL").select("long", "part"), "long"), crowded(index.join(crowds, "part", "left_semi").select("short", "part"), "short")
-    known = None
-    pairs = met.where("short IS NOT NULL").select("long", "short")
-    if edits is None:
-        known = _crowd_gone(*bags, gone, fits)
-    else:
-        a, b = (x.withColumn("part", F.explode(f"parts_{key}")) for x, key in zip(bags, ("long", "short"), strict=True))
-        inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag_long"), F.col("bag_short"), bound))
-        pairs = pairs.unionAll(inside.select("long", "short"))
-    pairs = stored(_unordered(pairs))
+    bags = crowded(probing, "long"), crowded(found, "short")
+    a, b = (x.withColumn("part", F.explode("parts")).drop("parts") for x in bags)
+    inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag_long"), F.col("bag_short"), bound))
+    pairs = stored(_unordered(pairs.unionAll(inside.select("long", "short"))))
     dropped(index, crowds, met, *bags)
-    return pairs, known
+    return pairs, None, None
 
 
 def near_lines(table: DataFrame, edits: int | None = MAX_EDITS) -> DataFrame:
     """Keys of the lines that lie within ``edits`` edits (None: as ``allowed``) of another line whose first place comes earlier."""
     long = table.where("line IS NOT NULL")
     if edits is None:
-        turns, gone = [], None
-        for turn in range(PASSES):
-            pairs, gone = _candidates(long, None, turn, gone)
-            turns.append(pairs)
-        pairs = functools.reduce(DataFrame.unionAll, turns).distinct()
-        return _later(pairs, long).unionAll(gone).distinct()
-
-    pairs, _ = _candidates(long, edits, 0)
+        turns = [_candidates(long, None, turn) for turn in range(PASSES)]
+        pairs, probing, found = (functools.reduce(DataFrame.unionAll, x) for x in zip(*turns, strict=True))
+        bags = _bags(probing, long, "long"), _bags(found, long, "short")
+        gone = _crowd_gone(*bags)
+        near = stored(_later(pairs.distinct(), long).unionAll(gone).distinct())
+        dropped(*(t for turn in turns for t in turn), *bags, gone)
+        return near
+
+    pairs, _, _ = _candidates(long, edits, 0)
     text = lambda k: long.select(F.col("key").alias(k), F.col("first").alias(f"f{k}"), F.col("line").alias(f"l{k}"))
     half = stored(pairs.join(text("a"), "a"))
     dropped(pairs)
