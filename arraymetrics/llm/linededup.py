@@ -13,6 +13,7 @@ many places: about t * t / 2 probes, an eighth of the line's length.
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ PASSES = 4
 CROWD, BUCKETS = 8, 256
 #: Earliest lines of a crowd that all its lines meet first.
 FIRST = 4
+#: Characters by which equal beginnings and ends are measured.
+STEPS = tuple(1 << k for k in range(14, 1, -1))
 _LAST = (1 << 63) - 1
 
 
@@ -39,20 +42,32 @@ def _hash(line: Column, n: Column, edits: int, i: Column, shift: Column) -> Colu
     return F.xxhash64(F.substr(line, cut(i) + shift + 1, cut(i + 1) - cut(i)), n, i)
 
 
-def _index(line: Column, n: Column, edits: int) -> Column:
-    """Hashes under which a line can be found."""
-    return F.array(*(_hash(line, n, edits, F.lit(i), F.lit(0)) for i in range(edits + 1)))
+def _by_bytes(line: Column, hashes: Callable[[Column], Column]) -> Column:
+    """``hashes`` of parts of a line. A line of one byte a character is cut as bytes, which needs no count of the characters before a part; the hashes
+    are the same."""
+    return F.when(F.octet_length(line) == F.length(line), hashes(line.cast("binary"))).otherwise(hashes(line))
 
 
-def _probes(line: Column, n: Column, edits: int) -> Column:
-    """Hashes under which a line finds lines that are ``gap`` characters shorter, for every gap up to ``edits``. Of a segment's
+def _places(edits: int, probes: bool) -> list[tuple[int, int, int]]:
+    """(gap, segment, shift) under which a line can be found, or finds lines that are ``gap`` characters shorter, for every gap up to ``edits``. Of a segment's
     possible places only those are taken that leave enough edits for both sides (the multi-match-aware choice)."""
-    return F.array(*(
-        _hash(line, n - gap, edits, F.lit(i), F.lit(shift))
+    if not probes:
+        return [(0, i, 0) for i in range(edits + 1)]
+    return [
+        (gap, i, shift)
         for gap in range(edits + 1)
         for i in range(edits + 1)
         for shift in range(max(-i, gap - (edits - i)), min(i, gap + (edits - i)) + 1)
-    ))
+    ]
+
+
+def _parts(long: DataFrame, name: str, edits: int, probes: bool) -> DataFrame:
+    """A row (``name``: the key, ``part``: the hash) for each place of each line. The places are dealt out first: hashes of all of them in one row make a method so
+    long that the JVM doesn't compile it."""
+    at = F.explode(F.array(*(F.struct(*(F.lit(x).alias(k) for k, x in zip("gis", place, strict=True))) for place in _places(edits, probes)))).alias("at")
+    rows = long.select(F.col("key").alias(name), "line", "chars", at)
+    part = _by_bytes(F.col("line"), lambda x: _hash(x, F.col("chars") - F.col("at.g"), edits, F.col("at.i"), F.col("at.s")))
+    return rows.select(name, F.lit(0).alias(f"n_{name}"), part.alias("part"))  # the hashes tell the lengths themselves
 
 
 def _pieces_fit(a: Column, b: Column, edits: int) -> Column:
@@ -89,38 +104,58 @@ def _numbers(t: Column, turn: int) -> Column:
 
 def _band_index(line: Column, n: Column, turn: int) -> Column:
     """As ``_index``, for the line's own bound."""
-    return F.transform(_numbers(allowed(n), turn), lambda i: _cut(line, n, allowed(n), i, F.lit(0)))
+    return _by_bytes(line, lambda x: F.transform(_numbers(allowed(n), turn), lambda i: _cut(x, n, allowed(n), i, F.lit(0))))
 
 
 def _band_probes(line: Column, n: Column, turn: int) -> Column:
     """Hashes under which a line finds lines no longer than itself: of its own band, and of the one before if its longest lines can
     grow to this one."""
 
-    def places(t: Column) -> Column:
+    def places(text: Column, t: Column) -> Column:
         def around(i: Column) -> Column:
             most = F.when(2 * i <= t, i).otherwise(t - i)
-            return F.transform(F.sequence(-most, most), lambda shift: _cut(line, n, t, i, shift))
+            return F.transform(F.sequence(-most, most), lambda shift: _cut(text, n, t, i, shift))
 
         return F.flatten(F.transform(_numbers(t, turn), around))
 
     t = allowed(n)
     bands = F.filter(F.array(t, t - 1), lambda x: (x == t) | ((x > 0) & (n < _shortest(t) + x)))
-    return F.array_distinct(F.flatten(F.transform(bands, places)))
+    return _by_bytes(line, lambda text: F.array_distinct(F.flatten(F.transform(bands, lambda x: places(text, x)))))
 
 
 def edit_distance(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
     """Edits between two strings if they are ``edits`` at most, else a greater number; for strings whose lengths differ by no more than
-    that.
+    that. What both begin and end with is left out first, but for a few characters.
 
     Column j of the matrix is held as bits for the rows j - edits to j + edits: where the value goes up (vp) and down (vn)
     from the row before. Rows outside count as one more than their neighbour, which no cheap path needs.
     """
     # one-element arrays bind a value to a name, so that it is worked out once: here the characters, above the match mask
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+
     def distance(x: Column) -> Column:
         return _walk(x["p"], x["t"], edits)
 
+    def inner(x: Column) -> Column:
+        short, n, m = F.least(x["n"], x["m"]), x["n"], x["m"]
+
+        def same(begun: Column | None) -> Column:
+            """Characters that both begin with, or end with behind the first ``begun``, to within the least of STEPS."""
+
+            def longer(k: Column, s: Column) -> Column:
+                cut = lambda c, size: F.substr(c, k + 1 if begun is None else size - k - s + 1, s)
+                return F.when((k + s + (F.lit(0) if begun is None else begun) <= short) & (cut(x["a"], n) == cut(x["b"], m)), k + s).otherwise(k)
+
+            return F.aggregate(F.array(*map(F.lit, STEPS)), F.lit(0), longer)
+
+        def cut(y: Column) -> Column:
+            middle = lambda c, size: chars(F.substr(c, y["p"] + 1, size - y["p"] - y["q"]))
+            return F.struct(middle(x["a"], n).alias("p"), middle(x["b"], m).alias("t"))
+
+        return bound(bound(same(None), lambda p: F.struct(p.alias("p"), same(p).alias("q"))), cut)
+
     chars = lambda c: F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(c, ""))
-    return F.get(F.transform(F.array(F.struct(chars(a).alias("p"), chars(b).alias("t"))), distance), F.lit(0))
+    return bound(bound(F.struct(a.alias("a"), b.alias("b"), F.length(a).alias("n"), F.length(b).alias("m")), inner), distance)
 
 
 def _walk(p: Column, t: Column, edits: int) -> Column:
@@ -240,12 +275,13 @@ def _candidates(long: DataFrame, edits: int | None, turn: int, gone: DataFrame |
     only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds.
     """
     line = F.col("line")
-    n = F.col("chars") if edits is None else F.lit(0)  # the hashes of a fixed bound tell the lengths themselves
+    n = F.col("chars") if edits is None else F.lit(0)
     bound = F.lit(edits) if edits is not None else allowed(F.col("n_short"))
     fits = (F.col("n_long") >= F.col("n_short")) & (F.col("n_long") <= F.col("n_short") + bound)
-    index = stored(long.select(F.col("key").alias("short"), n.alias("n_short"), F.explode(_band_index(line, n, turn) if edits is None else _index(line, F.col("chars"), edits)).alias("part")))
+    parts = lambda name, hashes: long.select(F.col("key").alias(name), n.alias(f"n_{name}"), F.explode(hashes(line, n, turn)).alias("part")) if edits is None else _parts(long, name, edits, name == "long")
+    index = stored(parts("short", _band_index))
     crowds = stored(index.groupBy("part").count().where(F.col("count") > CROWD).select("part"))
-    probes = long.select(F.col("key").alias("long"), n.alias("n_long"), F.explode(_band_probes(line, n, turn) if edits is None else _probes(line, F.col("chars"), edits)).alias("part"))
+    probes = parts("long", _band_probes)
     single = index.join(crowds, "part", "left_anti").select("part", "short", "n_short").unionAll(crowds.select("part", F.lit(None).cast("long"), F.lit(None).cast("int")))
     met = stored(probes.join(single, "part").where(F.col("short").isNull() | ((F.col("long") != F.col("short")) & fits)).select("long", "part", "short"))
 
