@@ -242,37 +242,63 @@ def _unordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("long", "short").alias("a"), F.greatest("long", "short").alias("b")).distinct()
 
 
-def _crowd_pairs(a: DataFrame, b: DataFrame, long: DataFrame, gone: DataFrame | None, fits: Column) -> tuple[DataFrame, DataFrame]:
-    """Pairs (long, short) of crowded lines that may be near, and the keys of lines that are known to go.
+def _flagged(side: DataFrame, key: str, gone: DataFrame | None) -> DataFrame:
+    """``side`` with ``g_`` and the name of its key: whether the line is known to go."""
+    if gone is None:
+        return side.withColumn(f"g_{key}", F.lit(False))
+    return side.join(gone.select(F.col("key").alias(key), F.lit(True).alias(f"g_{key}")), key, "left").withColumn(f"g_{key}", F.coalesce(f"g_{key}", F.lit(False)))
 
-    All variants of one line are near each other, so their pairs grow with the square of their number. But a line goes for one near line before it. So each
-    line meets the FIRST earliest lines of its crowd at first; pairs whose later line goes for one of these (or went in an earlier round) are not
-    made. All others are.
-    """
-    flagged = lambda x, key: x.withColumn(f"g_{key}", F.lit(False)) if gone is None else x.join(gone.select(F.col("key").alias(key), F.lit(True).alias(f"g_{key}")), key, "left")
 
-    def sides(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return a.withColumn("part", F.explode("parts")).drop("parts"), b.withColumn("part", F.explode("parts")).drop("parts").withColumnRenamed("bag", "other")
+def _may_be_near() -> Column:
+    """For a pair of crowded lines: lengths and character pairs allow it."""
+    bound = allowed(F.col("n_short"))
+    return (F.col("long") != F.col("short")) & (F.col("n_long") >= F.col("n_short")) & (F.col("n_long") <= F.col("n_short") + bound) & _close(F.col("bag"), F.col("other"), bound)
+
 
+def _crowd_first(a: DataFrame, b: DataFrame, long: DataFrame, gone: DataFrame | None) -> DataFrame:
+    """Keys of lines that are known to go once those of crowds (a, b: as ``_candidates`` has them), unless they were known before, have met the FIRST earliest
+    lines there."""
+    x, y = rows = [stored(_flagged(side, key, gone).withColumn("part", F.explode("parts")).drop("parts")) for key, side in (("long", a), ("short", b))]
     earliest = lambda x, f: x.withColumn("_r", F.row_number().over(Window.partitionBy("part").orderBy(f))).where(F.col("_r") <= FIRST).drop("_r")
-    goes = lambda: F.when(F.col("f_long") < F.col("f_short"), F.coalesce("g_short", F.lit(False))).otherwise(F.coalesce("g_long", F.lit(False)))
-    near = lambda x, y: x.join(y, (x["part"] == y["part"]) & (F.col("long") != F.col("short")) & fits & ~goes() & _close(F.col("bag"), F.col("other"), allowed(F.col("n_short")))).select("long", "short")
-    x, y = sides(flagged(a, "long"), flagged(b, "short"))
-    some = near(x, earliest(y, "f_short")).unionAll(near(earliest(x, "f_long"), y))
+    met = lambda x, y, later: x.join(y.withColumnRenamed("bag", "other"), (x["part"] == y["part"]) & later & _may_be_near()).select("long", "short")
+    some = met(x.where("NOT g_long"), earliest(y, "f_short"), F.col("f_long") > F.col("f_short")).unionAll(met(earliest(x, "f_long"), y.where("NOT g_short"), F.col("f_short") > F.col("f_long")))
     some = stored(_unordered(some))
     found = _later(some, long)
-    dropped(some)
-    gone = stored(found if gone is None else found.unionAll(gone).distinct())
-    dropped(found)
-    return near(*sides(flagged(a, "long"), flagged(b, "short"))), gone
+    dropped(some, *rows)
+    known = stored(found if gone is None else found.unionAll(gone).distinct())
+    dropped(found, *([] if gone is None else [gone]))
+    return known
+
+
+def _crowd_rest(sides: list[tuple[DataFrame, DataFrame]], gone: DataFrame) -> DataFrame:
+    """Pairs (a, b) of crowded lines that may be near, each once, of all rounds (``sides``).
+
+    All variants of one line are near each other, so their pairs grow with the square of their number. But a line goes for one near line before it. So each
+    line has met the FIRST earliest lines of its crowds before, and pairs whose later line is known to go are not made. All others are, in the first crowd
+    that both lines are in.
+    """
+
+    def whole(tables: list[DataFrame], key: str) -> DataFrame:
+        rows = functools.reduce(DataFrame.unionAll, tables).groupBy(key, f"n_{key}").agg(F.array_sort(F.flatten(F.collect_list("parts"))).alias("parts"), F.first("bag").alias("bag"), F.first(f"f_{key}").alias(f"f_{key}"))
+        return stored(rows)
+
+    tables = [whole([side[k] for side in sides], key) for k, key in enumerate(("long", "short"))]
+    x, y = (_flagged(t, key, gone) for t, key in zip(tables, ("long", "short"), strict=True))
+    x = x.select("*", F.explode("parts").alias("part"))
+    y = y.withColumnRenamed("bag", "other").select("*", F.posexplode("parts").alias("at", "part")).withColumn("before", F.expr("slice(parts, 1, at)")).drop("parts", "at")
+    goes = F.when(F.col("f_long") < F.col("f_short"), F.col("g_short")).otherwise(F.col("g_long"))
+    pairs = x.join(y, (x["part"] == y["part"]) & ~goes & _may_be_near() & ~F.exists("before", lambda p: F.array_contains(F.col("parts"), p)))
+    pairs = stored(_unordered(pairs))
+    dropped(*tables)
+    return pairs
 
 
-def _candidates(long: DataFrame, edits: int | None, turn: int, gone: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs of lines (a, b) with a segment in common, written; with growing bounds also the keys of lines that are known to go, ``gone`` being those of
-    earlier rounds.
+def _candidates(long: DataFrame, edits: int | None, turn: int) -> tuple[DataFrame, tuple[DataFrame, DataFrame] | None]:
+    """Pairs of lines (a, b) with a segment in common, written.
 
     A segment that more than CROWD lines share (the variants of one template, say) would pair all of them. Of such segments the probes
-    only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds.
+    only learn that they are crowded; their lines meet under a bound on their character pairs, which no near line exceeds. With growing bounds they have not
+    met yet, and the lines that look for others and those that are found come too, each with its crowded segments.
     """
     line = F.col("line")
     n = F.col("chars") if edits is None else F.lit(0)
@@ -287,27 +313,29 @@ def _candidates(long: DataFrame, edits: int | None, turn: int, gone: DataFrame |
 
     crowded = lambda rows, key: stored(rows.groupBy(key).agg(F.collect_set("part").alias("parts")).join(long.select(F.col("key").alias(key), n.alias(f"n_{key}"), "line", "first"), key).select(key, f"n_{key}", "parts", _odd(F.col("line")).alias("bag"), *([F.col("first").alias(f"f_{key}")] if edits is None else [])))
     bags = crowded(met.where("short IS NULL").select("long", "part"), "long"), crowded(index.join(crowds, "part", "left_semi").select("short", "part"), "short")
-    if edits is None:
-        inside, known = _crowd_pairs(*bags, long, gone, fits)
-    else:
-        known = None
+    pairs = met.where("short IS NOT NULL").select("long", "short")
+    if edits is not None:
         a, b = (x.withColumn("part", F.explode("parts")).drop("parts") for x in bags)
         b = b.withColumnRenamed("bag", "other")
         inside = a.join(b, (a["part"] == b["part"]) & (F.col("long") != F.col("short")) & fits & _close(F.col("bag"), F.col("other"), bound))
-    pairs = met.where("short IS NOT NULL").select("long", "short").unionAll(inside.select("long", "short"))
+        pairs = pairs.unionAll(inside.select("long", "short"))
     pairs = stored(_unordered(pairs))
-    dropped(index, crowds, met, *bags)
-    return pairs, known
+    dropped(index, crowds, met, *(bags if edits is not None else ()))
+    return pairs, bags if edits is None else None
 
 
 def near_lines(table: DataFrame, edits: int | None = MAX_EDITS) -> DataFrame:
     """Keys of the lines that lie within ``edits`` edits (None: as ``allowed``) of another line whose first place comes earlier."""
     long = table.where("line IS NOT NULL")
     if edits is None:
-        turns, gone = [], None
+        turns, sides, gone = [], [], None
         for turn in range(PASSES):
-            pairs, gone = _candidates(long, None, turn, gone)
+            pairs, bags = _candidates(long, None, turn)
+            gone = _crowd_first(*bags, long, gone)
             turns.append(pairs)
+            sides.append(bags)
+        turns.append(_crowd_rest(sides, gone))
+        dropped(*(x for bags in sides for x in bags))
         pairs = functools.reduce(DataFrame.unionAll, turns).distinct()
         return _later(pairs, long).unionAll(gone).distinct()
 
