@@ -31,6 +31,8 @@ PASSES = 4
 CROWD, BUCKETS = 8, 256
 #: Earliest lines of a crowd that all its lines meet first.
 FIRST = 4
+#: Lines of one pivot from which on they are measured by it; the characters of its windows, and how far from its place there a line may have one.
+FOLLOWERS, WINDOW, DRIFT = 64, 16, 32
 #: Characters by which equal beginnings and ends are measured.
 STEPS = tuple(1 << k for k in range(14, 1, -1))
 _LAST = (1 << 63) - 1
@@ -255,6 +257,78 @@ def _may_be_near() -> Column:
     return (F.col("long") != F.col("short")) & (F.col("n_long") >= F.col("n_short")) & (F.col("n_long") <= F.col("n_short") + bound) & _close(F.col("bag"), F.col("other"), bound)
 
 
+def _best_place(piece: Column, text: Column) -> Column:
+    """Least edits between ``piece``, an array of WINDOW characters, and any part of the array ``text`` (Myers' bit vectors, with a free beginning and end)."""
+    long = lambda x: F.lit(x).cast("long")
+    every = long((1 << WINDOW) - 1)
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))
+    top = lambda x: F.shiftright(x, WINDOW - 1).bitwiseAND(long(1))
+    up = lambda x: F.shiftleft(x, 1).bitwiseAND(every)
+
+    def step(s: Column, c: Column) -> Column:
+        match = long(0)
+        for i in range(WINDOW):
+            match = match.bitwiseOR(F.when(F.get(piece, F.lit(i)) == c, long(1 << i)).otherwise(long(0)))
+
+        def steps(m: Column) -> Column:
+            d0 = ((m.bitwiseAND(s["vp"]) + s["vp"]).bitwiseXOR(s["vp"])).bitwiseOR(m).bitwiseAND(every)
+            return F.struct(m.bitwiseOR(s["vn"]).alias("v"), s["vn"].bitwiseOR(F.bitwise_not(d0.bitwiseOR(s["vp"])).bitwiseAND(every)).alias("hp"), s["vp"].bitwiseAND(d0).alias("hn"))
+
+        def advance(x: Column) -> Column:
+            d = s["d"] + top(x["hp"]) - top(x["hn"])
+            vp = up(x["hn"]).bitwiseOR(F.bitwise_not(x["v"].bitwiseOR(up(x["hp"]))).bitwiseAND(every))
+            return F.struct(vp.alias("vp"), up(x["hp"]).bitwiseAND(x["v"]).alias("vn"), d.alias("d"), F.least(s["best"], d).alias("best"))
+
+        return bound(bound(match, steps), advance)
+
+    start = F.struct(every.alias("vp"), long(0).alias("vn"), long(WINDOW).alias("d"), long(WINDOW).alias("best"))
+    return F.aggregate(text, start, step, lambda s: s["best"].cast("int"))
+
+
+def _off(line: Column, pivot: Column) -> Column:
+    """The windows of ``pivot`` (w: number) that ``line`` doesn't have unchanged near their place, one behind the other, and d: the least edits to any part of
+    ``line`` around that place. Null for a line that lacks half of them or more."""
+    count = F.floor(F.length(pivot) / WINDOW).cast("int")
+    piece = lambda w: F.substr(pivot, w * WINDOW + 1, F.lit(WINDOW))
+
+    def look(s: Column, w: Column) -> Column:
+        found = F.position(piece(w), line, F.greatest(s["at"], w * WINDOW + 1 - DRIFT))
+        near = (found > 0) & (found <= w * WINDOW + 1 + DRIFT)
+        step = lambda x: F.struct(F.when(near, found + WINDOW).otherwise(s["at"]).alias("at"), F.when(near, s["off"]).otherwise(F.concat(s["off"], F.array(w))).alias("off"))
+        return F.get(F.transform(F.array(F.lit(0)), step), F.lit(0))
+
+    def measured(w: Column) -> Column:
+        around = DRIFT + allowed(F.length(line))
+        first = F.greatest(w * WINDOW - around, F.lit(0))
+        chars = F.struct(F.split(piece(w), "").alias("p"), F.split(F.substr(line, first + 1, w * WINDOW + WINDOW + around - first), "").alias("t"))
+        return F.get(F.transform(F.array(chars), lambda x: F.struct(w.alias("w"), _best_place(x["p"], x["t"]).alias("d"))), F.lit(0))
+
+    off = F.aggregate(F.sequence(F.lit(0), count - 1), F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("off")), look, lambda s: s["off"])
+    return F.when(count >= 4, F.get(F.transform(F.array(off), lambda x: F.when(2 * F.size(x) < count, F.transform(x, measured))), F.lit(0)))
+
+
+def _measured(rows: DataFrame, long: DataFrame) -> DataFrame:
+    """key, ``pivot`` and ``off`` (as ``_off``) of crowded lines (``rows``: key, f, parts). A line's pivot is the earliest line of its largest crowd."""
+    rows = rows.withColumn("part", F.explode("parts")).drop("parts")
+    heads = rows.groupBy("part").agg(F.count("*").alias("size"), F.min(F.struct("f", "key")).alias("head"))
+    rows = stored(rows.join(heads, "part").groupBy("key").agg(F.min(F.struct(-F.col("size"), F.col("head")))["head"]["key"].alias("pivot")))
+    text = lambda key, name: long.select(F.col("key").alias(key), F.col("line").alias(name))
+    pivots = stored(rows.groupBy("pivot").count().where(F.col("count") >= FOLLOWERS).select("pivot").join(text("pivot", "as"), "pivot"))
+    out = stored(rows.join(pivots, "pivot").join(text("key", "line"), "key").select("key", "pivot", _off(F.col("line"), F.col("as")).alias("off")).where("off IS NOT NULL"))
+    dropped(rows, pivots)
+    return out
+
+
+def _like(bound: Column) -> Column:
+    """For a pair of lines of one pivot: true if they are within ``bound`` edits. A window that one has unchanged is a part of its own text, so the pair has no fewer edits there
+    than the other needs for the window at its best place, and parts that don't overlap add up."""
+
+    def beyond(a: str, b: str) -> Column:
+        return F.aggregate(F.filter(b, lambda x: ~F.array_contains(F.col(f"{a}.w"), x["w"])), F.lit(0), lambda s, x: s + x["d"])
+
+    return F.coalesce((F.col("p_long") != F.col("p_short")) | ((beyond("o_long", "o_short") <= bound) & (beyond("o_short", "o_long") <= bound)), F.lit(True))
+
+
 def _crowd_first(a: DataFrame, b: DataFrame, long: DataFrame, gone: DataFrame | None) -> DataFrame:
     """Keys of lines that are known to go once those of crowds (a, b: as ``_candidates`` has them), unless they were known before, have met the FIRST earliest
     lines there."""
@@ -270,12 +344,12 @@ def _crowd_first(a: DataFrame, b: DataFrame, long: DataFrame, gone: DataFrame |
     return known
 
 
-def _crowd_rest(sides: list[tuple[DataFrame, DataFrame]], gone: DataFrame) -> DataFrame:
+def _crowd_rest(sides: list[tuple[DataFrame, DataFrame]], long: DataFrame, gone: DataFrame) -> DataFrame:
     """Pairs (a, b) of crowded lines that may be near, each once, of all rounds (``sides``).
 
     All variants of one line are near each other, so their pairs grow with the square of their number. But a line goes for one near line before it. So each
     line has met the FIRST earliest lines of its crowds before, and pairs whose later line is known to go are not made. All others are, in the first crowd
-    that both lines are in.
+    that both lines are in, unless what both have of one pivot tells them apart.
     """
 
     def whole(tables: list[DataFrame], key: str) -> DataFrame:
@@ -283,13 +357,16 @@ def _crowd_rest(sides: list[tuple[DataFrame, DataFrame]], gone: DataFrame) -> Da
         return stored(rows)
 
     tables = [whole([side[k] for side in sides], key) for k, key in enumerate(("long", "short"))]
-    x, y = (_flagged(t, key, gone) for t, key in zip(tables, ("long", "short"), strict=True))
+    side = lambda t, key: t.select(F.col(key).alias("key"), F.col(f"f_{key}").alias("f"), "parts")
+    measured = _measured(side(tables[0], "long").unionAll(side(tables[1], "short")), long)
+    by_pivot = lambda t, key: t.join(measured.select(F.col("key").alias(key), F.col("pivot").alias(f"p_{key}"), F.col("off").alias(f"o_{key}")), key, "left")
+    x, y = (by_pivot(_flagged(t, key, gone), key) for t, key in zip(tables, ("long", "short"), strict=True))
     x = x.select("*", F.explode("parts").alias("part"))
     y = y.withColumnRenamed("bag", "other").select("*", F.posexplode("parts").alias("at", "part")).withColumn("before", F.expr("slice(parts, 1, at)")).drop("parts", "at")
     goes = F.when(F.col("f_long") < F.col("f_short"), F.col("g_short")).otherwise(F.col("g_long"))
-    pairs = x.join(y, (x["part"] == y["part"]) & ~goes & _may_be_near() & ~F.exists("before", lambda p: F.array_contains(F.col("parts"), p)))
+    pairs = x.join(y, (x["part"] == y["part"]) & ~goes & _may_be_near() & ~F.exists("before", lambda p: F.array_contains(F.col("parts"), p)) & _like(allowed(F.col("n_short"))))
     pairs = stored(_unordered(pairs))
-    dropped(*tables)
+    dropped(*tables, measured)
     return pairs
 
 
@@ -334,7 +411,7 @@ def near_lines(table: DataFrame, edits: int | None = MAX_EDITS) -> DataFrame:
             gone = _crowd_first(*bags, long, gone)
             turns.append(pairs)
             sides.append(bags)
-        turns.append(_crowd_rest(sides, gone))
+        turns.append(_crowd_rest(sides, long, gone))
         dropped(*(x for bags in sides for x in bags))
         pairs = functools.reduce(DataFrame.unionAll, turns).distinct()
         return _later(pairs, long).unionAll(gone).distinct()
