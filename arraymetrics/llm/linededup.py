@@ -364,7 +364,8 @@ def _crowd_rest(sides: list[tuple[DataFrame, DataFrame]], long: DataFrame, gone:
     x = x.select("*", F.explode("parts").alias("part"))
     y = y.withColumnRenamed("bag", "other").select("*", F.posexplode("parts").alias("at", "part")).withColumn("before", F.expr("slice(parts, 1, at)")).drop("parts", "at")
     goes = F.when(F.col("f_long") < F.col("f_short"), F.col("g_short")).otherwise(F.col("g_long"))
-    pairs = x.join(y, (x["part"] == y["part"]) & ~goes & _may_be_near() & ~F.exists("before", lambda p: F.array_contains(F.col("parts"), p)) & _like(allowed(F.col("n_short"))))
+    once = (F.col("n_long") != F.col("n_short")) | (F.col("long") < F.col("short"))  # lines of one length find each other from both sides
+    pairs = x.join(y, (x["part"] == y["part"]) & ~goes & once & _may_be_near() & ~F.exists("before", lambda p: F.array_contains(F.col("parts"), p)) & _like(allowed(F.col("n_short"))))
     pairs = stored(_unordered(pairs))
     dropped(*tables, measured)
     return pairs
